@@ -90,3 +90,36 @@ def protect(
         F.substring("id_digest", 1, 4).alias("p4"),
         *keep,
     )
+
+
+def protect_outcomes(parsed: DataFrame, keys: Keys) -> DataFrame:
+    """Every parsed line as digest-only columns: accepted lines carry their
+    digests and scheme, rejected lines only ``scope``/``reason``.
+
+    The result holds no clear text, so it may be checkpointed, letting one
+    parse feed both the record sink and the reject/manifest counts.
+    """
+    ok = F.col("reason").isNull()
+    staged = parsed.select(
+        "source", "scope", "reason",
+        F.when(ok, normalise_identifier(F.col("ident"))).alias("_norm"),
+        F.when(ok, F.col("secret")).alias("_secret"),
+        F.when(ok, js_trim(F.col("secret"))).alias("_pw"),
+    )
+    digested = staged.select(
+        "source", "scope", "reason",
+        hmac_sha256_hex(F.col("_norm"), keys.identifier).alias("id_digest"),
+        hmac_sha256_hex(F.col("_secret"), keys.secret).alias("secret_digest"),
+        F.when(ok, hash_scheme(F.col("_pw"), trimmed=True)).alias("hash_type"),
+    )
+    return digested.select(
+        "source", "scope", "reason", "id_digest", "secret_digest",
+        is_hash(F.col("hash_type")).alias("is_hash"),
+        "hash_type",
+        F.substring("id_digest", 1, 2).alias("p2"),
+        F.substring("id_digest", 1, 4).alias("p4"),
+    )
+
+
+def records_of(outcomes: DataFrame) -> DataFrame:
+    return outcomes.where(F.col("reason").isNull()).select(*PROTECTED_COLUMNS)
