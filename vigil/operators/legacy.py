@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.operators.protect import Keys, protect
+from vigil.operators.protect import Keys, protect_outcomes, records_of
+from vigil.operators.sizing import materialise
 
 LEGACY_SCHEMA = T.StructType(
     [
@@ -49,11 +50,18 @@ def parse_legacy(jsonl: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def legacy_outcomes(jsonl: DataFrame, keys: Keys, value: str = "value") -> DataFrame:
+    """Digest-only outcome rows: protected records, plus ``reason =
+    'malformed'`` rows that carry nothing else.  One pass feeds both the
+    record sink and the malformed count."""
+    return protect_outcomes(parse_legacy(jsonl, value), keys)
+
+
 def protect_legacy(jsonl: DataFrame, keys: Keys, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(protected records, malformed count as ``(reason, n)``)."""
-    parsed = parse_legacy(jsonl, value)
-    records = protect(parsed, keys)
-    malformed = parsed.where(F.col("reason").isNotNull()).groupBy("reason").agg(
+    """(protected records, malformed count as ``(reason, n)``), both derived
+    from one materialised outcome frame."""
+    outcomes = materialise(legacy_outcomes(jsonl, keys, value))
+    malformed = outcomes.where(F.col("reason").isNotNull()).groupBy("reason").agg(
         F.count(F.lit(1)).alias("n")
     )
-    return records, malformed
+    return records_of(outcomes), malformed

@@ -100,6 +100,8 @@ def protect_outcomes(parsed: DataFrame, keys: Keys) -> DataFrame:
     parse feed both the record sink and the reject/manifest counts.
     """
     ok = F.col("reason").isNull()
+    if "scope" not in parsed.columns:
+        parsed = parsed.withColumn("scope", F.lit("line"))
     staged = parsed.select(
         "source", "scope", "reason",
         F.when(ok, normalise_identifier(F.col("ident"))).alias("_norm"),

@@ -18,7 +18,7 @@ from vigil.functions.text import lower_trim, normalise_compat, normalise_identif
 from vigil.operators import audit, exposure
 from vigil.operators.dedupe import first_occurrence, insert_if_absent
 from vigil.operators.layout import infer_layout
-from vigil.operators.legacy import protect_legacy
+from vigil.operators.legacy import legacy_outcomes
 from vigil.operators.merge import merge_roots, union_roots
 from vigil.operators.parse import accepted, outcome_counts, parse_first_colon
 from vigil.operators.protect import TEST_KEYS, protect
@@ -213,18 +213,16 @@ def _legacy_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def legacy_protect(spark: SparkSession, d: str) -> DataFrame:
-    records, malformed = protect_legacy(_legacy_lines(spark, d), KEYS)
-    ok = exposure.scheme_profile(records, by=("source", "hash_type")).select(
-        F.lit("protected").alias("outcome"), "source", "hash_type", "n_records", "n_ids"
+    outcomes = legacy_outcomes(_legacy_lines(spark, d), KEYS)
+    outcome = F.coalesce(F.col("reason"), F.lit("protected"))
+    g = outcomes.groupBy(outcome.alias("outcome"), "source", "hash_type").agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.count_distinct("id_digest").alias("_ids"),
     )
-    bad = malformed.select(
-        F.col("reason").alias("outcome"),
-        F.lit(None).cast("string").alias("source"),
-        F.lit(None).cast("string").alias("hash_type"),
-        F.col("n").alias("n_records"),
-        F.lit(None).cast("bigint").alias("n_ids"),
+    return g.select(
+        "outcome", "source", "hash_type", "n_records",
+        F.when(F.col("outcome") == "protected", F.col("_ids")).cast("bigint").alias("n_ids"),
     )
-    return ok.unionByName(bad)
 
 
 def file_roundtrip(spark: SparkSession, d: str) -> DataFrame:

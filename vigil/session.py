@@ -17,6 +17,10 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Parse, HMAC and regex work is CPU-bound per line: keep small
+    # post-shuffle stages spread over the cores (large inputs reach the
+    # advisory partition size anyway, so this only matters at small scale).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
