@@ -128,3 +128,24 @@ def test_stream_resume_loads_each_file_once(spark, tmp_dir):
     assert read_protected(spark, out.records).count() == 5
     m = spark.read.parquet(out.manifest)
     assert m.count() == 2 and m.select("batch_id").distinct().count() == 2
+
+
+def test_stored_lookup_prunes_partitions(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from vigil.plans.checks import exposure_report, range_lookup
+    from vigil.plans.pipeline import protected_detected
+    from vigil.sources import fixtures
+    from tests.conftest import SF_SMALL
+
+    recs = protected_detected(fixtures.raw_lines(spark, SF_SMALL), TEST_KEYS)
+    write_protected(recs, f"{tmp_dir}/shards")
+    wl = recs.select("id_digest").distinct().limit(2)
+    rep = exposure_report(spark, f"{tmp_dir}/shards", wl)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = rep._jdf.queryExecution().explainString(mode)
+    parts = [ln for ln in plan.splitlines() if ln.startswith("PartitionFilters")]
+    assert any(" IN (" in ln for ln in parts), parts
+    assert rep.where("exposed").count() == 2
+    rl = range_lookup(spark, f"{tmp_dir}/shards", wl.select(F.substring("id_digest", 1, 4).alias("prefix")), k=1)
+    assert rl.where("not suppressed").count() >= 2

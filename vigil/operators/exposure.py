@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.operators.sizing import DEFAULT_MAX_BROADCAST_BYTES, bounded_broadcast
+from vigil.operators.sizing import DEFAULT_MAX_BROADCAST_BYTES, bounded_broadcast, sized_side
 
 
 def scheme_profile(records: DataFrame, by: tuple[str, ...] = ("source", "hash_type", "is_hash")) -> DataFrame:
@@ -26,6 +26,17 @@ def shard_histogram(records: DataFrame) -> DataFrame:
     )
 
 
+P2_DIRS = 256
+
+
+def shard_dirs(digests: DataFrame) -> list[str] | None:
+    """Distinct ``p2`` values of a (small, materialised) digest table, for a
+    static partition filter.  The list has at most 256 two-hex entries by
+    construction; ``None`` when every directory is touched anyway."""
+    vals = sorted(r[0] for r in digests.select("p2").distinct().collect() if r[0] is not None)
+    return None if len(vals) >= P2_DIRS else vals
+
+
 def exposure_check(
     records: DataFrame,
     watchlist: DataFrame,
@@ -33,22 +44,32 @@ def exposure_check(
 ) -> DataFrame:
     """For each watched ``id_digest``: records, sources, schemes, exposed flag.
 
-    Records are pre-aggregated per (digest, source, scheme) before the join,
-    so an identifier present in a third of all rows reaches the join as a
-    handful of rows.  The watchlist is broadcast when its measured size fits.
+    A watchlist within the broadcast bound filters the records first with a
+    broadcast semi join on ``(p2, id_digest)``; on ``p2``-partitioned shards
+    this lets dynamic partition pruning skip directories no watched digest
+    falls in.  A larger watchlist takes the shuffle path, with the records
+    pre-aggregated per (digest, source, scheme) first so that an identifier
+    in a third of all rows reaches the exchange as a handful of rows.
     """
-    wl = bounded_broadcast(watchlist.select("id_digest").distinct(), max_broadcast_bytes)
-    per = records.groupBy("id_digest", "source", "hash_type").agg(F.count(F.lit(1)).alias("_n"))
-    hits = (
-        per.join(wl, "id_digest", "left_semi")
-        .groupBy("id_digest")
-        .agg(
-            F.sum("_n").alias("n_records"),
-            F.count_distinct("source").alias("n_sources"),
-            F.array_join(F.array_sort(F.collect_set("hash_type")), ",").alias("schemes"),
-        )
+    wl, small = sized_side(
+        watchlist.select("id_digest").distinct().withColumn("p2", F.substring("id_digest", 1, 2)),
+        max_broadcast_bytes,
+    )
+    if small:
+        watched = records.join(F.broadcast(wl), ["p2", "id_digest"], "left_semi")
+        touched = shard_dirs(wl)
+        if touched is not None:
+            watched = watched.where(F.col("p2").isin(touched))
+        per = watched.groupBy("id_digest", "source", "hash_type").agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        per = records.groupBy("id_digest", "source", "hash_type").agg(F.count(F.lit(1)).alias("_n"))
+        per = per.join(wl.select("id_digest"), "id_digest", "left_semi")
+    hits = per.groupBy("id_digest").agg(
+        F.sum("_n").alias("n_records"),
+        F.count_distinct("source").alias("n_sources"),
+        F.array_join(F.array_sort(F.collect_set("hash_type")), ",").alias("schemes"),
     )
-    return wl.join(hits, "id_digest", "left").select(
+    return wl.select("id_digest").join(hits, "id_digest", "left").select(
         "id_digest",
         F.coalesce(F.col("n_records"), F.lit(0)).cast("bigint").alias("n_records"),
         F.coalesce(F.col("n_sources"), F.lit(0)).cast("bigint").alias("n_sources"),
@@ -76,8 +97,10 @@ def prefix_range(
         .withColumn("p2", F.substring("p4", 1, 2)),
         max_broadcast_bytes,
     )
+    touched = shard_dirs(req)
+    scoped = records.where(F.col("p2").isin(touched)) if touched is not None else records
     hits = (
-        records.join(req, ["p2", "p4"], "left_semi")
+        scoped.join(req, ["p2", "p4"], "left_semi")
         .groupBy("p4", "id_digest")
         .agg(F.count(F.lit(1)).alias("n_records"))
         .withColumn("_ids", F.count(F.lit(1)).over(Window.partitionBy("p4")))

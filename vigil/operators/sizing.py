@@ -38,6 +38,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sized_side(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Materialise ``df`` and report whether it fits the broadcast bound."""
+    m = materialise(df)
+    _, size = estimate_bytes(m)
+    return m, size <= max_bytes
+
+
 def bounded_broadcast(
     df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, materialize: bool = True
 ) -> DataFrame:
