@@ -58,13 +58,16 @@ def insert_if_absent(
     target is scanned once, never shuffled); a bulk batch falls back to a
     shuffle anti join.
     """
-    fresh = materialise(batch.dropDuplicates(list(key)))
     if target is None:
-        return fresh
-    k = _join_key(key, fresh, target)
-    probe = fresh.select(*k)
-    _, size = estimate_bytes(probe)
-    if size <= max_broadcast_bytes:
+        return batch.dropDuplicates(list(key))
+    k = _join_key(key, batch, target)
+    # The raw batch's key size bounds the deduplicated probe: measure it
+    # before deciding, so a bulk batch is never written out an extra time.
+    _, upper = estimate_bytes(batch.select(*k))
+    if upper <= max_broadcast_bytes:
+        fresh = materialise(batch.dropDuplicates(list(key)))
+        probe = fresh.select(*k)
         present = target.select(*k).join(F.broadcast(probe), k, "left_semi")
         return fresh.join(F.broadcast(present), k, "left_anti")
+    fresh = batch.dropDuplicates(list(key))
     return fresh.join(target.select(*k), k, "left_anti")

@@ -2,7 +2,7 @@
 
 A plain ``row_number() OVER (PARTITION BY g ORDER BY k)`` sorts a whole group
 in one task, so one hot group serialises the job.  Here rows are cut into
-buckets of ``bucket_width`` consecutive order-key values; each bucket is
+buckets of ``2**bucket_bits`` consecutive order-key values; each bucket is
 numbered by its own window (bounded size), and a prefix sum over the small
 per-bucket count table supplies each bucket's offset.  The join back reuses
 the bucket partitioning of the numbered side.
@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_WIDTH = 1 << 20
+DEFAULT_BUCKET_BITS = 20
 
 
 def number_within(
@@ -23,7 +23,7 @@ def number_within(
     group: Sequence[str],
     order_key: str,
     out: str = "line_no",
-    bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    bucket_bits: int = DEFAULT_BUCKET_BITS,
 ) -> DataFrame:
     """Add ``out`` = rank of ``order_key`` within ``group`` (1, 2, 3, ...).
 
@@ -31,7 +31,9 @@ def number_within(
     group (for example an event id); ties would make numbering arbitrary.
     """
     group = list(group)
-    bucketed = df.withColumn("_nb_bucket", F.floor(F.col(order_key) / F.lit(bucket_width)))
+    # Arithmetic shift = exact floor division by 2**bucket_bits, also for
+    # negative and very large keys.
+    bucketed = df.withColumn("_nb_bucket", F.shiftright(F.col(order_key).cast("bigint"), bucket_bits))
     local = bucketed.withColumn(
         "_nb_local",
         F.row_number().over(Window.partitionBy(*group, "_nb_bucket").orderBy(order_key)),
