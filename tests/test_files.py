@@ -149,3 +149,18 @@ def test_stored_lookup_prunes_partitions(spark, tmp_dir):
     assert rep.where("exposed").count() == 2
     rl = range_lookup(spark, f"{tmp_dir}/shards", wl.select(F.substring("id_digest", 1, 4).alias("prefix")), k=1)
     assert rl.where("not suppressed").count() >= 2
+
+
+def test_compat_ingest_and_storage_profile(spark, tmp_dir):
+    from vigil.operators.audit import storage_profile
+    from vigil.sources.text_files import list_files
+
+    src = f"{tmp_dir}/in"
+    _tree(src)
+    out = Outputs(f"{tmp_dir}/out")
+    ingest_files(spark, src, out, TEST_KEYS, batch_id=0, compat=True, skip_header=True)
+    recs = read_protected(spark, out.records)
+    assert recs.count() == 4  # first line of each file skipped (a1 and the "h:h" header)
+    assert sorted(r["hash_type"] for r in recs.collect()).count("md5") == 1
+    prof = storage_profile(list_files(spark, out.records, glob="*.parquet")).head()
+    assert prof["n_files"] > 0 and prof["bytes"] > 0 and prof["size"].endswith(("bytes", "kB"))

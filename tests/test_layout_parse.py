@@ -93,3 +93,11 @@ def test_every_nonblank_line_counted_once(spark):
     ctrl_only = lines.where((js_trim(F.col("line")) != "") & (F.regexp_replace("line", r"[\x00-\x1f\x7f\s]", "") == "")).count()
     assert silent == ctrl_only
     assert parsed.select("source", "seq").distinct().count() == parsed.count()
+
+
+def test_skip_header(spark):
+    lines = _lines(spark, {"f": ["", "email;password", "a@x.test;p1", "b@x.test;p2"], "g": ["only"]})
+    keep = sorted(r["seq"] for r in parse_detected(lines, infer_layout(lines)).where("reason is null").collect())
+    skip = sorted(r["seq"] for r in parse_detected(lines, infer_layout(lines), skip_header=True)
+                  .where("reason is null").collect())
+    assert keep == [1, 2, 3] and skip == [2, 3]

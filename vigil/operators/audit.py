@@ -119,3 +119,13 @@ def pretty_bytes(n: F.Column) -> F.Column:
     for size, name in reversed(units):
         out = F.when(n >= size, F.concat(F.format_number(n / F.lit(size), 1), F.lit(" " + name))).otherwise(out)
     return out
+
+
+def storage_profile(files: DataFrame) -> DataFrame:
+    """Stored size of a table from its file listing (AGG-09):
+    ``(n_files, bytes, size)``; ``files`` is ``list_files`` output."""
+    t = files.agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("bytes"),
+    )
+    return t.withColumn("size", pretty_bytes(F.col("bytes")))

@@ -54,9 +54,12 @@ def line_flags(line: F.Column) -> list[F.Column]:
 
 
 def infer_layout(lines: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFrame:
-    """``lines(source, <order...>, line)`` -> ``(source, delim, email_first, status)``.
+    """``lines(source, <order...>, line)`` ->
+    ``(source, delim, email_first, status, header_at)``.
 
-    One row per source present in ``lines``.
+    One row per source present in ``lines``; ``header_at`` is the position
+    (the ``order`` columns) of the first non-blank line, used by
+    ``parse_detected(skip_header=True)``.
     """
     order = list(order)
     flagged = lines.select("source", *order, *line_flags(F.col("line")))
@@ -67,6 +70,7 @@ def infer_layout(lines: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFra
     picked = top2.groupBy("source").agg(
         F.max("_rn").alias("_n"),
         F.max_by(F.struct("_blank", "_delim", "_wide", "_id_first"), "_rn").alias("_r2"),
+        F.min_by(F.struct(*[F.col(c) for c in order], F.col("_blank")), "_rn").alias("_r1"),
     )
     found = (F.col("_n") == 2) & ~F.col("_r2._blank")
     status = (
@@ -74,9 +78,11 @@ def infer_layout(lines: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFra
         .when(F.col("_r2._wide"), F.lit(RECORD2_FIELDS))
         .otherwise(F.lit(LAYOUT_OK))
     )
+    header = F.when(~F.col("_r1._blank"), F.struct(*[F.col(f"_r1.{c}").alias(c) for c in order]))
     return picked.select(
         "source",
         F.when(found, F.col("_r2._delim")).alias("delim"),
         F.when(status == LAYOUT_OK, F.col("_r2._id_first")).alias("email_first"),
         status.alias("status"),
+        header.alias("header_at"),
     )

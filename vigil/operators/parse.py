@@ -50,12 +50,21 @@ def parse_detected(
     layout: DataFrame,
     max_chars: int = MAX_RECORD_CHARS,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+    skip_header: bool = False,
 ) -> DataFrame:
-    """``lines(source, block, seq, line)`` x ``layout`` -> :data:`PARSED_COLUMNS`."""
-    side = bounded_broadcast(
-        layout.select("source", "delim", "email_first", "status"), max_broadcast_bytes
-    )
+    """``lines(source, block, seq, line)`` x ``layout`` -> :data:`PARSED_COLUMNS`.
+
+    By default the first line is parsed like any other (layout detection
+    skips it, loading does not); ``skip_header=True`` drops each file's
+    first non-blank line instead.
+    """
+    cols = ["source", "delim", "email_first", "status"] + (["header_at"] if skip_header else [])
+    side = bounded_broadcast(layout.select(*cols), max_broadcast_bytes)
     j = lines.join(side, "source")
+    if skip_header:
+        at = F.col("header_at")
+        is_header = at.isNotNull() & (F.col("block") == at["block"]) & (F.col("seq") == at["seq"])
+        j = j.where(~is_header).drop("header_at")
     ok = F.col("status") == F.lit(LAYOUT_OK)
     # Staged projections: each intermediate is computed once per row.
     cleaned = j.select(

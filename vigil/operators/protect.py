@@ -92,7 +92,7 @@ def protect(
     )
 
 
-def protect_outcomes(parsed: DataFrame, keys: Keys) -> DataFrame:
+def protect_outcomes(parsed: DataFrame, keys: Keys, compat: bool = False) -> DataFrame:
     """Every parsed line as digest-only columns: accepted lines carry their
     digests and scheme, rejected lines only ``scope``/``reason``.
 
@@ -104,15 +104,16 @@ def protect_outcomes(parsed: DataFrame, keys: Keys) -> DataFrame:
         parsed = parsed.withColumn("scope", F.lit("line"))
     staged = parsed.select(
         "source", "scope", "reason",
-        F.when(ok, normalise_identifier(F.col("ident"))).alias("_norm"),
+        F.when(ok, (normalise_compat if compat else normalise_identifier)(F.col("ident"))).alias("_norm"),
         F.when(ok, F.col("secret")).alias("_secret"),
-        F.when(ok, js_trim(F.col("secret"))).alias("_pw"),
+        F.when(ok, F.col("secret") if compat else js_trim(F.col("secret"))).alias("_pw"),
     )
+    scheme = hash_scheme_compat(F.col("_pw")) if compat else hash_scheme(F.col("_pw"), trimmed=True)
     digested = staged.select(
         "source", "scope", "reason",
         hmac_sha256_hex(F.col("_norm"), keys.identifier).alias("id_digest"),
         hmac_sha256_hex(F.col("_secret"), keys.secret).alias("secret_digest"),
-        F.when(ok, hash_scheme(F.col("_pw"), trimmed=True)).alias("hash_type"),
+        F.when(ok, scheme).alias("hash_type"),
     )
     return digested.select(
         "source", "scope", "reason", "id_digest", "secret_digest",

@@ -60,10 +60,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def parse_lines(lines: DataFrame, mode: str) -> DataFrame:
+def parse_lines(lines: DataFrame, mode: str, skip_header: bool = False) -> DataFrame:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    return detected(lines) if mode == "detected" else parse_first_colon(lines)
+    return detected(lines, skip_header=skip_header) if mode == "detected" else parse_first_colon(lines)
 
 
 def load_outcomes(
@@ -74,13 +74,17 @@ def load_outcomes(
     batch_id: int,
     mode: str = "detected",
     dedupe: bool = True,
+    compat: bool = False,
+    skip_header: bool = False,
 ) -> DataFrame:
     """Parse, protect and load one batch of lines; returns the manifest rows.
 
+    ``compat=True`` protects with the compatibility normaliser and classifier.
+
     Idempotent per ``batch_id``: records are inserted only if absent, and
     reject and manifest rows replace the batch's own partition.
     """
-    outcomes = materialise(protect_outcomes(parse_lines(lines, mode), keys))
+    outcomes = materialise(protect_outcomes(parse_lines(lines, mode, skip_header), keys, compat=compat))
     records = records_of(outcomes)
     if dedupe:
         target = read_protected(spark, out.records) if path_exists(spark, out.records) else None
@@ -121,11 +125,15 @@ def ingest_files(
     mode: str = "detected",
     dedupe: bool = True,
     glob: str = TXT_ANY_CASE,
+    compat: bool = False,
+    skip_header: bool = False,
 ) -> DataFrame:
     """Load every matching file under ``inputs`` as batch ``batch_id`` and
     record a run metric (rows, elapsed time, grade)."""
     t0 = time.monotonic()
-    manifest = load_outcomes(spark, read_lines(spark, inputs, glob=glob), out, keys, batch_id, mode, dedupe)
+    manifest = load_outcomes(
+        spark, read_lines(spark, inputs, glob=glob), out, keys, batch_id, mode, dedupe, compat, skip_header
+    )
     elapsed_ms = int((time.monotonic() - t0) * 1000)
     totals = manifest.agg(
         F.coalesce(F.sum("loaded"), F.lit(0)).cast("bigint").alias("loaded"),

@@ -12,9 +12,15 @@ from vigil.operators.protect import Keys, protect
 from vigil.operators.sizing import DEFAULT_MAX_BROADCAST_BYTES
 
 
-def detected(lines: DataFrame, max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+def detected(
+    lines: DataFrame,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+    skip_header: bool = False,
+) -> DataFrame:
     """Two passes over ``lines``: layout inference, then layout-driven parse."""
-    return parse_detected(lines, infer_layout(lines), max_broadcast_bytes=max_broadcast_bytes)
+    return parse_detected(
+        lines, infer_layout(lines), max_broadcast_bytes=max_broadcast_bytes, skip_header=skip_header
+    )
 
 
 def protected_detected(

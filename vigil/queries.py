@@ -38,7 +38,7 @@ def _protected(spark: SparkSession, d: str, keep=("seq",)) -> DataFrame:
 
 
 def layout_inference(spark: SparkSession, d: str) -> DataFrame:
-    return infer_layout(_lines(spark, d))
+    return infer_layout(_lines(spark, d)).select("source", "delim", "email_first", "status")
 
 
 def parse_detected_rejects(spark: SparkSession, d: str) -> DataFrame:
