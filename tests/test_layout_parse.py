@@ -101,3 +101,18 @@ def test_skip_header(spark):
     skip = sorted(r["seq"] for r in parse_detected(lines, infer_layout(lines), skip_header=True)
                   .where("reason is null").collect())
     assert keep == [1, 2, 3] and skip == [2, 3]
+
+
+def test_layout_join_variants_agree(spark):
+    """Hashed key vs path key, broadcast vs shuffle join: same parse."""
+    lines = fixtures.raw_lines(spark, SF_SMALL)
+    layout = infer_layout(lines)
+    cols = ["source", "seq", "reason"]
+
+    def rows(**kw):
+        return sorted(tuple(r) for r in parse_detected(lines, layout, **kw).select(*cols).collect())
+
+    base = rows()
+    assert rows(hash_key=False) == base
+    assert rows(max_broadcast_bytes=0) == base
+    assert rows(hash_key=False, max_broadcast_bytes=0) == base

@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.text import js_trim, lower_trim, strip_controls, utf16_length
-from vigil.operators.layout import LAYOUT_OK
-from vigil.operators.sizing import DEFAULT_MAX_BROADCAST_BYTES, bounded_broadcast
+from vigil.operators.layout import LAYOUT_OK, RECORD2_FIELDS, UNDETECTABLE
+from vigil.operators.sizing import DEFAULT_MAX_BROADCAST_BYTES, materialise
 
 FIELD_COUNT = "field_count"
 EMPTY_FIELD = "empty_field"
@@ -45,12 +45,69 @@ def _oversize(ident: F.Column, secret: F.Column, source: F.Column, limit: int) -
     return F.when(octets <= limit, F.lit(False)).otherwise(units > limit)
 
 
+# Packed layout code = status index * 8 + delimiter index * 2 + id-first bit.
+STATUS_CODES = (LAYOUT_OK, RECORD2_FIELDS, UNDETECTABLE)
+DELIM_CODES = (":", ";", " ")
+
+
+def _packed(layout: DataFrame) -> F.Column:
+    status = F.array_position(F.array(*[F.lit(x) for x in STATUS_CODES]), F.col("status")) - 1
+    delim = F.coalesce(F.array_position(F.array(*[F.lit(x) for x in DELIM_CODES]), F.col("delim")) - 1, F.lit(0))
+    first = F.coalesce(F.col("email_first").cast("int"), F.lit(0))
+    return (status * 8 + delim * 2 + first).cast("int")
+
+
+def _unpacked(code: F.Column) -> list[F.Column]:
+    status = F.element_at(F.array(*[F.lit(x) for x in STATUS_CODES]), F.shiftright(code, 3) + 1)
+    delim = F.element_at(F.array(*[F.lit(x) for x in DELIM_CODES]), F.shiftright(code, 1).bitwiseAND(3) + 1)
+    return [
+        F.when(status == LAYOUT_OK, delim).alias("delim"),
+        F.when(status == LAYOUT_OK, code.bitwiseAND(1) == 1).alias("email_first"),
+        status.alias("status"),
+    ]
+
+
+def layout_side(
+    layout: DataFrame,
+    max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+    skip_header: bool = False,
+    hash_key: bool = True,
+) -> tuple[DataFrame, str]:
+    """Compact, measured per-file layout table for the line join.
+
+    Each file becomes ``(xxhash64(path), packed layout int)``: about 24 bytes,
+    so millions of files still fit a broadcast.  The hash is used as the key
+    only after checking, in the same job that measures the table, that it is
+    unique over the files present; a collision falls back to the path key.
+    Returns the (possibly broadcast-hinted) side and the join key name.
+    """
+    header = (
+        [F.col("header_at.block").alias("_hb"), F.col("header_at.seq").alias("_hs")] if skip_header else []
+    )
+    full = materialise(
+        layout.select("source", F.xxhash64("source").alias("_fid"), _packed(layout).alias("_code"), *header)
+    )
+    st = full.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("_fid").alias("n_fid"),
+        F.coalesce(F.sum(F.octet_length("source")), F.lit(0)).alias("path_bytes"),
+    ).head()
+    extra = ["_hb", "_hs"] if skip_header else []
+    if hash_key and st["n"] == st["n_fid"]:
+        side, key, size = full.select("_fid", "_code", *extra), "_fid", st["n"] * 8 * (3 + len(extra))
+    else:
+        side, key = full.select("source", "_code", *extra), "source"
+        size = st["n"] * 8 * (4 + len(extra)) + st["path_bytes"]
+    return (F.broadcast(side) if size <= max_broadcast_bytes else side), key
+
+
 def parse_detected(
     lines: DataFrame,
     layout: DataFrame,
     max_chars: int = MAX_RECORD_CHARS,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     skip_header: bool = False,
+    hash_key: bool = True,
 ) -> DataFrame:
     """``lines(source, block, seq, line)`` x ``layout`` -> :data:`PARSED_COLUMNS`.
 
@@ -58,13 +115,13 @@ def parse_detected(
     skips it, loading does not); ``skip_header=True`` drops each file's
     first non-blank line instead.
     """
-    cols = ["source", "delim", "email_first", "status"] + (["header_at"] if skip_header else [])
-    side = bounded_broadcast(layout.select(*cols), max_broadcast_bytes)
-    j = lines.join(side, "source")
+    side, key = layout_side(layout, max_broadcast_bytes, skip_header, hash_key)
+    keyed = lines.withColumn("_fid", F.xxhash64("source")) if key == "_fid" else lines
+    j = keyed.join(side, key)
     if skip_header:
-        at = F.col("header_at")
-        is_header = at.isNotNull() & (F.col("block") == at["block"]) & (F.col("seq") == at["seq"])
-        j = j.where(~is_header).drop("header_at")
+        is_header = (F.col("block") == F.col("_hb")) & (F.col("seq") == F.col("_hs"))
+        j = j.where(~F.coalesce(is_header, F.lit(False)))
+    j = j.select("source", "block", "seq", "line", *_unpacked(F.col("_code")))
     ok = F.col("status") == F.lit(LAYOUT_OK)
     # Staged projections: each intermediate is computed once per row.
     cleaned = j.select(

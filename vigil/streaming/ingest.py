@@ -33,9 +33,18 @@ def start_ingest(
     mode: str = "detected",
     max_files_per_trigger: int | None = None,
     processing_time: str | None = None,
+    dedupe: bool = True,
+    compat: bool = False,
+    skip_header: bool = False,
 ) -> StreamingQuery:
     """Start the ingestion stream.  Without ``processing_time`` it runs as
-    ``availableNow`` (drain what is there, then stop)."""
+    ``availableNow`` (drain what is there, then stop).
+
+    ``dedupe=True`` probes the loaded table for every batch (insert if
+    absent).  That probe reads the target's key columns once per batch; on
+    a very large target, ``dedupe=False`` defers deduplication to the
+    maintenance job (``dedupe_shards``), run when ``maintenance_due`` says
+    so, which amortises one pass over many batches."""
     reader = (
         spark.readStream.format("text")
         .option("pathGlobFilter", TXT_ANY_CASE)
@@ -51,7 +60,10 @@ def start_ingest(
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         lines = batch.withColumn("seq", F.monotonically_increasing_id())
-        load_outcomes(batch.sparkSession, lines, out, keys, batch_id, mode=mode, dedupe=True)
+        load_outcomes(
+            batch.sparkSession, lines, out, keys, batch_id,
+            mode=mode, dedupe=dedupe, compat=compat, skip_header=skip_header,
+        )
 
     writer = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
