@@ -49,7 +49,11 @@ def line_flags(line: F.Column) -> list[F.Column]:
         (trimmed == F.lit("")).alias("_blank"),
         delim.alias("_delim"),
         (F.size(parts) > 2).alias("_wide"),
-        js_trim(F.get(parts, 0)).rlike(EMAIL_SHAPE_RE).alias("_id_first"),
+        # the contains() guards skip the regex for fields that cannot match
+        F.when(
+            trimmed.contains("@") & trimmed.contains("."),
+            js_trim(F.get(parts, 0)).rlike(EMAIL_SHAPE_RE),
+        ).otherwise(F.lit(False)).alias("_id_first"),
     ]
 
 
