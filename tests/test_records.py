@@ -98,3 +98,12 @@ def test_number_within_matches_row_number(spark):
     got = number_within(df, ["g"], "k", out="n", bucket_bits=6)
     ref = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("k")))
     assert _rows(got, ["g", "k", "n"]) == _rows(ref, ["g", "k", "n"])
+
+
+def test_surrogate_ids_dense(spark):
+    from vigil.operators.numbering import surrogate_ids
+
+    df = spark.range(0, 3000).select(((F.col("id") * 7919) % 100003).alias("k"))
+    got = sorted((r["k"], r["id"]) for r in surrogate_ids(df, "k").collect())
+    assert [i for _, i in got] == list(range(1, 3001))
+    assert [k for k, _ in got] == sorted(k for k, _ in got)
