@@ -21,7 +21,8 @@ from vigil.operators.layout import infer_layout
 from vigil.operators.legacy import legacy_outcomes
 from vigil.operators.merge import merge_roots, union_roots
 from vigil.operators.parse import accepted, outcome_counts, parse_first_colon
-from vigil.operators.protect import TEST_KEYS, protect
+from vigil.operators.protect import TEST_KEYS
+from vigil.operators.sizing import materialise
 from vigil.plans import pipeline
 from vigil.sources import fixtures
 
@@ -92,14 +93,15 @@ def dedupe_distinct(spark: SparkSession, d: str) -> DataFrame:
 
 
 def insert_if_absent_query(spark: SparkSession, d: str) -> DataFrame:
-    recs = _protected(spark, d)
+    # digest-only records feed both the batch and the target: checkpoint once
+    recs = materialise(_protected(spark, d))
     target = recs.where(F.col("seq") % 2 == 0).drop("seq")
     new = insert_if_absent(recs.drop("seq"), target)
     return new.select("id_digest", "secret_digest", "source", "hash_type", "is_hash")
 
 
 def _roots(spark: SparkSession, d: str) -> list[DataFrame]:
-    recs = _protected(spark, d)
+    recs = materialise(_protected(spark, d))
     return [
         recs.where(F.col("seq") % 3 != 0).drop("seq"),
         recs.where(F.col("seq") % 3 != 1).drop("seq"),

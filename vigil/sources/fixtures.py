@@ -98,13 +98,24 @@ def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_within(ev, ["event_type"], "event_id", out="line_no")
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
 def raw_lines(spark: SparkSession, sf_dir: str, with_ids: bool = False) -> DataFrame:
     """``(source, block, seq, line)``: one line per event plus a one-line file.
 
     ``seq`` is the dense line number within the source; ``block`` is 0.
     ``with_ids`` keeps ``event_id``/``user_id``/``event_type`` for derived
-    fixtures.
+    fixtures.  The (lazy) plan object is reused per session and directory:
+    building it costs hundreds of driver round trips; no data is cached.
     """
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, with_ids)
+    if key not in _PLANS:
+        _PLANS[key] = _raw_lines(spark, sf_dir, with_ids)
+    return _PLANS[key]
+
+
+def _raw_lines(spark: SparkSession, sf_dir: str, with_ids: bool) -> DataFrame:
     ev = numbered_events(spark, sf_dir)
     eid, u = F.col("event_id"), F.col("user_id")
     ids = ["event_id", "user_id", "event_type"] if with_ids else []
