@@ -103,19 +103,22 @@ def prefix_range(
         scoped.join(req, ["p2", "p4"], "left_semi")
         .groupBy("p4", "id_digest")
         .agg(F.count(F.lit(1)).alias("n_records"))
-        .withColumn("_ids", F.count(F.lit(1)).over(Window.partitionBy("p4")))
     )
-    shown = hits.where(F.col("_ids") >= k)
-    passed = shown.select(
-        F.col("p4").alias("prefix"),
-        F.substring("id_digest", 5, 60).alias("suffix"),
-        "n_records",
-        F.lit(False).alias("suppressed"),
+    # One marker row per requested prefix joins the aggregated hits, so a
+    # single window over p4 decides both the shown rows and the suppressed
+    # prefixes (buckets are small: digests spread evenly over 65,536 keys).
+    markers = req.select(
+        "p4", F.lit(None).cast("string").alias("id_digest"), F.lit(None).cast("bigint").alias("n_records")
+    )
+    sized = hits.unionByName(markers).withColumn(
+        "_ids", F.count("id_digest").over(Window.partitionBy("p4"))
     )
-    suppressed = req.join(shown.select("p4").distinct(), "p4", "left_anti").select(
+    shown = F.col("_ids") >= k
+    return sized.where(
+        (F.col("id_digest").isNotNull() & shown) | (F.col("id_digest").isNull() & ~shown)
+    ).select(
         F.col("p4").alias("prefix"),
-        F.lit(None).cast("string").alias("suffix"),
-        F.lit(None).cast("bigint").alias("n_records"),
-        F.lit(True).alias("suppressed"),
+        F.when(shown, F.substring("id_digest", 5, 60)).alias("suffix"),
+        F.when(shown, F.col("n_records")).alias("n_records"),
+        (~shown).alias("suppressed"),
     )
-    return passed.unionByName(suppressed)
