@@ -164,3 +164,19 @@ def test_compat_ingest_and_storage_profile(spark, tmp_dir):
     assert sorted(r["hash_type"] for r in recs.collect()).count("md5") == 1
     prof = storage_profile(list_files(spark, out.records, glob="*.parquet")).head()
     assert prof["n_files"] > 0 and prof["bytes"] > 0 and prof["size"].endswith(("bytes", "kB"))
+
+
+def test_stream_stops_on_stop_file(spark, tmp_dir):
+    from vigil.streaming.ingest import run_until_stopped, start_ingest
+
+    inbox, out, ckpt = f"{tmp_dir}/inbox", Outputs(f"{tmp_dir}/tables"), f"{tmp_dir}/ckpt"
+    _write(f"{inbox}/a.txt", b"a1@x.test:p1\nb1@x.test:p2\n")
+    q = start_ingest(spark, inbox, out, ckpt, TEST_KEYS, processing_time="1 second")
+    q.processAllAvailable()
+    _write(f"{tmp_dir}/STOP", b"")
+    assert run_until_stopped(spark, q, f"{tmp_dir}/STOP", poll_seconds=0.5, timeout_s=60)
+    assert not q.isActive
+    assert read_protected(spark, out.records).count() == 2
+    # restart from the same checkpoint: nothing new, nothing doubled
+    run_available(spark, inbox, out, ckpt, TEST_KEYS)
+    assert read_protected(spark, out.records).count() == 2

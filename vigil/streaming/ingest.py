@@ -70,6 +70,31 @@ def start_ingest(
     return writer.start()
 
 
+def run_until_stopped(
+    spark: SparkSession, query: StreamingQuery, stop_file: str, poll_seconds: float = 1.0, timeout_s: float | None = None
+) -> bool:
+    """Graceful stop (STR-03): poll for ``stop_file`` on shared storage and
+    stop the query when it appears.  Stopping is safe at any point: a batch
+    that has not committed is replayed on restart and, being idempotent,
+    loads nothing twice.  Returns True when stopped by the file."""
+    import time
+
+    from vigil.plans.ingest import path_exists
+
+    waited = 0.0
+    while query.isActive:
+        if path_exists(spark, stop_file):
+            query.stop()
+            return True
+        query.awaitTermination(poll_seconds)
+        waited += poll_seconds
+        if timeout_s is not None and waited >= timeout_s:
+            query.stop()
+            return False
+        time.sleep(0)
+    return False
+
+
 def run_available(spark: SparkSession, input_root: str, out: Outputs, checkpoint: str, keys: Keys, **kw) -> None:
     q = start_ingest(spark, input_root, out, checkpoint, keys, **kw)
     q.awaitTermination()
