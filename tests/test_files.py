@@ -180,3 +180,13 @@ def test_stream_stops_on_stop_file(spark, tmp_dir):
     # restart from the same checkpoint: nothing new, nothing doubled
     run_available(spark, inbox, out, ckpt, TEST_KEYS)
     assert read_protected(spark, out.records).count() == 2
+
+
+def test_pending_matches_encoded_paths(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    _write(f"{src}/a b%c.txt", b"a@x.test:p\nb@x.test:q\n")
+    out = Outputs(f"{tmp_dir}/out")
+    ingest_files(spark, src, out, TEST_KEYS, batch_id=0)
+    assert pending_files(spark, src, out).count() == 0
+    prof = read_protected(spark, out.records).select("source").distinct().head()[0]
+    assert prof.endswith("a%20b%25c.txt")

@@ -1,7 +1,7 @@
 """Text-file discovery and line scan (SRC-01..03, FLT-10, SET-02, PRJ-08).
 
 Lines come back as ``(source, block, seq, line)``: ``source`` is the full
-file path, ``block`` the byte offset of the split the line was read from
+file path in URI form (``_metadata.file_path``: scheme prefix, percent-encoded), ``block`` the byte offset of the split the line was read from
 and ``seq`` a per-task increasing id, so ``(block, seq)`` orders the lines
 of a file.  Text files split at ``spark.sql.files.maxPartitionBytes``, so a
 large file is read by many tasks; gzip files do not split.
@@ -49,12 +49,15 @@ def list_files(
     recursive: bool = True,
 ) -> DataFrame:
     """``(source, length, modified)`` of matching files; contents are not read
-    (the binary-file source prunes the ``content`` column)."""
+    (the binary-file source prunes the ``content`` column).  ``source`` is
+    ``_metadata.file_path``, the same URI form :func:`read_lines` yields, so
+    listings and loaded sources compare equal (the plain ``path`` column
+    is not percent-encoded)."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     return reader.load(_paths(paths)).select(
-        F.col("path").alias("source"),
+        F.col("_metadata.file_path").alias("source"),
         F.col("length"),
         F.col("modificationTime").alias("modified"),
     )
