@@ -47,8 +47,10 @@ def number_within(
     offsets = counts.select(
         *group, "_nb_bucket", F.coalesce(F.sum("_nb_n").over(before), F.lit(0)).alias("_nb_off")
     )
+    # The numbered side is already hash-partitioned and sorted by
+    # (group, bucket): a merge join shuffles only the small offsets table.
     return (
-        local.join(offsets, [*group, "_nb_bucket"])
+        local.join(offsets.hint("merge"), [*group, "_nb_bucket"])
         .withColumn(out, (F.col("_nb_off") + F.col("_nb_local")).cast("bigint"))
         .drop("_nb_bucket", "_nb_local", "_nb_off")
     )

@@ -22,6 +22,11 @@ SESSION_DEFAULTS = {
     # advisory partition size anyway, so this only matters at small scale).
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Broadcasts only from measured sizes: explicit hints after a size check,
+    # or AQE's runtime conversion, which sees the materialised shuffle size.
+    # Static planning from estimated statistics never broadcasts.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
