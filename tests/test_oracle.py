@@ -1,6 +1,5 @@
 """Registered queries against their DuckDB oracle at sf0.001."""
 
-import os
 
 import duckdb
 import pytest

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -78,4 +77,4 @@ def is_local(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-__all__ = ["build_session", "checkpoint_root", "scratch_path", "local_path", "is_local", "os"]
+__all__ = ["build_session", "checkpoint_root", "scratch_path", "local_path", "is_local"]
