@@ -190,3 +190,19 @@ def test_pending_matches_encoded_paths(spark, tmp_dir):
     assert pending_files(spark, src, out).count() == 0
     prof = read_protected(spark, out.records).select("source").distinct().head()[0]
     assert prof.endswith("a%20b%25c.txt")
+
+
+def test_batch_of_empty_files(spark, tmp_dir):
+    from vigil.plans.ingest import read_manifest, read_rejects
+
+    src = f"{tmp_dir}/in"
+    _write(f"{src}/empty.txt", b"")
+    _write(f"{src}/blank.txt", b"\n\n  \n")
+    out = Outputs(f"{tmp_dir}/out")
+    m = {os.path.basename(r["source"]): (r["loaded"], r["rejected"])
+         for r in ingest_files(spark, src, out, TEST_KEYS, batch_id=0).collect()}
+    # blank lines are silent but the file is processed; a zero-byte file has no line
+    assert m == {"blank.txt": (0, 0)}
+    assert read_manifest(spark, out).count() == 1
+    assert pending_files(spark, src, out).count() == 0
+    assert read_rejects(spark, out).count() == 0

@@ -46,7 +46,7 @@ def line_flags(line: F.Column) -> list[F.Column]:
     delim = delimiter_of(trimmed)
     parts = F.split(trimmed, delim, -1)
     return [
-        (trimmed == F.lit("")).alias("_blank"),
+        F.coalesce(trimmed == F.lit(""), F.lit(True)).alias("_blank"),
         delim.alias("_delim"),
         (F.size(parts) > 2).alias("_wide"),
         # the contains() guards skip the regex for fields that cannot match

@@ -29,6 +29,7 @@ EMPTY_FIELD = "empty_field"
 OVERSIZE = "oversize"
 NO_SEPARATOR = "no_separator"
 NO_AT = "no_at"
+BLANK = "blank"  # silent: never counted as a reject
 SCOPE_LINE = "line"
 SCOPE_FILE = "file"
 # Fixed value: combined length limit of identifier, secret and source path.
@@ -108,12 +109,15 @@ def parse_detected(
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     skip_header: bool = False,
     hash_key: bool = True,
+    keep_blank: bool = False,
 ) -> DataFrame:
     """``lines(source, block, seq, line)`` x ``layout`` -> :data:`PARSED_COLUMNS`.
 
     By default the first line is parsed like any other (layout detection
     skips it, loading does not); ``skip_header=True`` drops each file's
-    first non-blank line instead.
+    first non-blank line instead.  Blank lines are dropped, or kept with
+    the silent reason ``blank`` when ``keep_blank`` (so a file of blank
+    lines still shows up in a manifest).
     """
     side, key = layout_side(layout, max_broadcast_bytes, skip_header, hash_key)
     keyed = lines.withColumn("_fid", F.xxhash64("source")) if key == "_fid" else lines
@@ -129,26 +133,30 @@ def parse_detected(
         F.when(ok, js_trim(strip_controls(F.col("line")))).alias("_clean"),
         F.when(~ok, js_trim(F.col("line")) != F.lit("")).alias("_nonblank"),
     )
-    kept = cleaned.where(F.when(ok, F.col("_clean") != F.lit("")).otherwise(F.col("_nonblank")))
+    nonblank = F.when(ok, F.col("_clean") != F.lit("")).otherwise(F.col("_nonblank"))
+    kept = cleaned.withColumn("_blank", ~nonblank)
+    if not keep_blank:
+        kept = kept.where(~F.col("_blank"))
     split = kept.select(
-        "source", "block", "seq", "email_first", "status",
+        "source", "block", "seq", "email_first", "status", "_blank",
         F.split(F.col("_clean"), F.col("delim"), -1).alias("_parts"),
     )
     fields = split.select(
-        "source", "block", "seq", "email_first", "status",
+        "source", "block", "seq", "email_first", "status", "_blank",
         F.size("_parts").alias("_n"),
         js_trim(F.get(F.col("_parts"), 0)).alias("_r1"),
         js_trim(F.get(F.col("_parts"), 1)).alias("_r2"),
     )
     email_first = F.col("email_first")
     staged = fields.select(
-        "source", "block", "seq", "status", "_n",
+        "source", "block", "seq", "status", "_n", "_blank",
         F.when(email_first, F.col("_r1")).otherwise(F.col("_r2")).alias("ident"),
         F.when(email_first, F.col("_r2")).otherwise(F.col("_r1")).alias("secret"),
     )
     ok = F.col("status") == F.lit(LAYOUT_OK)
     reason = (
-        F.when(~ok, F.col("status"))
+        F.when(F.col("_blank"), F.lit(BLANK))
+        .when(~ok, F.col("status"))
         .when(F.col("_n") != 2, F.lit(FIELD_COUNT))
         .when((F.col("ident") == "") | (F.col("secret") == ""), F.lit(EMPTY_FIELD))
         .when(_oversize(F.col("ident"), F.col("secret"), F.col("source"), max_chars), F.lit(OVERSIZE))
@@ -160,17 +168,22 @@ def parse_detected(
     )
 
 
-def parse_first_colon(lines: DataFrame) -> DataFrame:
-    """First-``:`` parse (PRJ-01, FLT-01..03) -> :data:`PARSED_COLUMNS`."""
+def parse_first_colon(lines: DataFrame, keep_blank: bool = False) -> DataFrame:
+    """First-``:`` parse (PRJ-01, FLT-01..03) -> :data:`PARSED_COLUMNS`.
+
+    Zero-length lines are dropped, or kept as ``blank`` when ``keep_blank``.
+    """
     v = F.col("line")
     sep = F.instr(v, ":")
     raw_ident = v.substr(F.lit(1), sep - F.lit(1))
     raw_secret = v.substr(sep + F.lit(1), F.length(v))
     reason = (
-        F.when(sep < 2, F.lit(NO_SEPARATOR))
+        F.when(F.length(v) == 0, F.lit(BLANK))
+        .when(sep < 2, F.lit(NO_SEPARATOR))
         .when(~lower_trim(raw_ident).contains("@"), F.lit(NO_AT))
     )
-    return lines.where(F.length(v) > 0).select(
+    rows = lines if keep_blank else lines.where(F.length(v) > 0)
+    return rows.select(
         "source", "block", "seq",
         F.when(sep >= 2, raw_ident).alias("ident"),
         F.when(sep >= 2, raw_secret).alias("secret"),
@@ -183,10 +196,15 @@ def accepted(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reason").isNull())
 
 
+def counted_reject(reason: F.Column) -> F.Column:
+    """A reject that is counted (blank lines are silent)."""
+    return reason.isNotNull() & (reason != F.lit(BLANK))
+
+
 def reject_counts(parsed: DataFrame) -> DataFrame:
     """``rejects`` sink rows: ``(source, scope, reason, n)``; no line text."""
     return (
-        parsed.where(F.col("reason").isNotNull())
+        parsed.where(counted_reject(F.col("reason")))
         .groupBy("source", "scope", "reason")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -195,6 +213,7 @@ def reject_counts(parsed: DataFrame) -> DataFrame:
 def outcome_counts(parsed: DataFrame) -> DataFrame:
     """Accepted and rejected counts per source: ``(source, scope, reason, n)``
     with ``reason = 'accepted'`` for loaded lines (AGG-02)."""
-    return parsed.groupBy(
+    counted = parsed.where(F.col("reason").isNull() | (F.col("reason") != F.lit(BLANK)))
+    return counted.groupBy(
         "source", "scope", F.coalesce(F.col("reason"), F.lit("accepted")).alias("reason")
     ).agg(F.count(F.lit(1)).alias("n"))

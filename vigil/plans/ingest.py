@@ -16,10 +16,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.operators import audit
 from vigil.operators.dedupe import insert_if_absent
-from vigil.operators.parse import parse_first_colon
+from vigil.operators.parse import counted_reject, parse_first_colon
 from vigil.operators.protect import Keys, protect_outcomes, records_of
 from vigil.operators.sizing import materialise
 from vigil.plans.pipeline import detected
@@ -29,6 +30,35 @@ from vigil.sources.text_files import TXT_ANY_CASE, list_files, read_lines
 
 MODES = ("detected", "first_colon")
 
+MANIFEST_SCHEMA = T.StructType(
+    [
+        T.StructField("source", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("loaded", T.LongType()),
+        T.StructField("rejected", T.LongType()),
+        T.StructField("committed_at", T.TimestampType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+REJECT_SCHEMA = T.StructType(
+    [
+        T.StructField("source", T.StringType()),
+        T.StructField("scope", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+
+def read_manifest(spark: SparkSession, out: "Outputs") -> DataFrame:
+    """Manifest rows (empty when nothing was committed yet)."""
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(out.manifest)
+
+
+def read_rejects(spark: SparkSession, out: "Outputs") -> DataFrame:
+    return spark.read.schema(REJECT_SCHEMA).parquet(out.rejects)
+
 
 @dataclass(frozen=True)
 class Outputs:
@@ -61,9 +91,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def parse_lines(lines: DataFrame, mode: str, skip_header: bool = False) -> DataFrame:
+    """Parse keeping blank lines as silent ``blank`` rows, so every file with
+    at least one line reaches the manifest."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    return detected(lines, skip_header=skip_header) if mode == "detected" else parse_first_colon(lines)
+    if mode == "detected":
+        return detected(lines, skip_header=skip_header, keep_blank=True)
+    return parse_first_colon(lines, keep_blank=True)
 
 
 def load_outcomes(
@@ -91,7 +125,7 @@ def load_outcomes(
         records = insert_if_absent(records, target)
     write_protected(records, out.records)
     rejects = (
-        outcomes.where(F.col("reason").isNotNull())
+        outcomes.where(counted_reject(F.col("reason")))
         .groupBy("source", "scope", "reason")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -101,7 +135,7 @@ def load_outcomes(
         outcomes.groupBy("source")
         .agg(
             F.count_if(F.col("reason").isNull()).alias("loaded"),
-            F.count_if(F.col("reason").isNotNull()).alias("rejected"),
+            F.count_if(counted_reject(F.col("reason"))).alias("rejected"),
         )
         .select(
             "source",
@@ -113,7 +147,7 @@ def load_outcomes(
         )
     )
     write_table(manifest, out.manifest, partition="batch_id")
-    return spark.read.parquet(out.manifest).where(F.col("batch_id") == batch_id)
+    return read_manifest(spark, out).where(F.col("batch_id") == batch_id)
 
 
 def ingest_files(
@@ -153,5 +187,5 @@ def pending_files(spark: SparkSession, inputs: str | Sequence[str], out: Outputs
     files = list_files(spark, inputs, glob=glob)
     if not path_exists(spark, out.manifest):
         return files
-    done = spark.read.parquet(out.manifest).where(F.col("status") == "done").select("source")
+    done = read_manifest(spark, out).where(F.col("status") == "done").select("source")
     return files.join(done, "source", "left_anti")

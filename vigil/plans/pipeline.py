@@ -16,10 +16,12 @@ def detected(
     lines: DataFrame,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     skip_header: bool = False,
+    keep_blank: bool = False,
 ) -> DataFrame:
     """Two passes over ``lines``: layout inference, then layout-driven parse."""
     return parse_detected(
-        lines, infer_layout(lines), max_broadcast_bytes=max_broadcast_bytes, skip_header=skip_header
+        lines, infer_layout(lines), max_broadcast_bytes=max_broadcast_bytes,
+        skip_header=skip_header, keep_blank=keep_blank,
     )
 
 
