@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from vigil.functions import classify
-from vigil.functions.digest import TEST_ID_KEY, HmacKey, hmac_sha256_hex
+from vigil.functions.digest import TEST_ID_KEY, TEST_SECRET_KEY, HmacKey, with_hmacs
 from vigil.functions.text import JS_WHITESPACE, js_trim, normalise_compat, normalise_identifier, strip_controls
 
 NORMALISE_CASES = [
@@ -94,10 +94,21 @@ def test_js_trim_and_controls(spark):
 
 def test_hmac_matches_python(spark):
     key = HmacKey(bytes(range(7, 39)))
-    values = ["bob@ex.test", "é@ü.test", "", "x" * 300]
-    df = spark.createDataFrame([(v,) for v in values], "v string")
-    got = [r["h"] for r in df.select(hmac_sha256_hex(F.col("v"), key).alias("h")).collect()]
-    assert got == [hmac.new(key.material, v.encode(), hashlib.sha256).hexdigest() for v in values]
+    values = ["bob@ex.test", "é@ü.test", "", "x" * 300, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = dict(with_hmacs(df, [("h", "v", key)]).select("i", "h").collect())
+    for i, v in enumerate(values):
+        want = None if v is None else hmac.new(key.material, v.encode(), hashlib.sha256).hexdigest()
+        assert got[i] == want
+
+
+def test_two_keys_in_one_join(spark):
+    df = spark.createDataFrame([("a@b.test",)], "v string")
+    r = with_hmacs(df, [("x", "v", TEST_ID_KEY), ("y", "v", TEST_SECRET_KEY)]).head()
+    assert r["x"] == hmac.new(TEST_ID_KEY.material, b"a@b.test", hashlib.sha256).hexdigest()
+    assert r["y"] == hmac.new(TEST_SECRET_KEY.material, b"a@b.test", hashlib.sha256).hexdigest()
+    plan = with_hmacs(df, [("x", "v", TEST_ID_KEY)])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_key_validation_and_repr():
@@ -110,10 +121,42 @@ def test_key_validation_and_repr():
     assert TEST_ID_KEY.material.hex() not in repr(TEST_ID_KEY)
 
 
-def test_key_absent_from_plan(spark):
-    df = spark.createDataFrame([("a@b.test",)], "v string").select(hmac_sha256_hex(F.col("v"), TEST_ID_KEY).alias("h"))
-    plan = df._jdf.queryExecution().explainString(
-        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("extended"))
-    ipad, opad = TEST_ID_KEY.pads()
-    for secret in (ipad.hex(), opad.hex(), TEST_ID_KEY.material.hex()):
-        assert secret.lower() not in plan.lower()
+_EVENT_LOG_PROBE = r"""
+import glob, sys
+sys.path.insert(0, sys.argv[2])
+from vigil.session import build_session
+from vigil.functions.digest import TEST_ID_KEY, with_hmacs
+d = sys.argv[1]
+spark = build_session("local[2]", **{"spark.eventLog.enabled": "true", "spark.eventLog.dir": d,
+                                     "spark.eventLog.compress": "false"})
+spark.sparkContext.setLogLevel("ERROR")
+df = spark.createDataFrame([("a@b.test",)], "v string")
+out = with_hmacs(df, [("h", "v", TEST_ID_KEY)])
+out.collect()
+plan = out._jdf.queryExecution().explainString(
+    spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("extended"))
+spark.stop()
+logs = glob.glob(d + "/*/events*")
+text = plan.lower() + "".join(open(f).read().lower() for f in logs)
+ipad, opad = TEST_ID_KEY.pads()
+leaks = [n for n, s in (("ipad", ipad.hex()), ("opad", opad.hex()), ("key", TEST_ID_KEY.material.hex())) if s in text]
+print("LOGS", len(logs), "SQLSTART", text.count("sqlexecutionstart"), "LEAKS", leaks)
+"""
+
+
+def test_key_absent_from_plan_and_event_log(tmp_dir):
+    """Plan strings reach explain output, the event log and the UI unredacted,
+    so the key (and its pads) must never be a literal in them.  Runs in its
+    own process so the event log belongs to a fresh session."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    res = subprocess.run([sys.executable, "-c", _EVENT_LOG_PROBE, tmp_dir, root],
+                         capture_output=True, text=True, timeout=300)
+    line = [ln for ln in res.stdout.splitlines() if ln.startswith("LOGS")]
+    assert line, res.stderr[-2000:]
+    parts = line[0].split()
+    assert int(parts[1]) >= 1 and int(parts[3]) >= 1
+    assert line[0].endswith("LEAKS []"), line[0]

@@ -1,7 +1,7 @@
 """Column-level building blocks (pure ``pyspark.sql.Column`` functions)."""
 
 from vigil.functions.classify import hash_scheme, hash_scheme_compat, is_hash
-from vigil.functions.digest import HmacKey, hmac_sha256_hex
+from vigil.functions.digest import HmacKey, with_hmacs
 from vigil.functions.text import (
     js_trim,
     normalise_compat,
@@ -13,7 +13,7 @@ __all__ = [
     "HmacKey",
     "hash_scheme",
     "hash_scheme_compat",
-    "hmac_sha256_hex",
+    "with_hmacs",
     "is_hash",
     "js_trim",
     "normalise_compat",

@@ -1,9 +1,15 @@
 """Keyed HMAC-SHA256 composed from native ``sha2`` / ``concat`` / ``unhex``.
 
 HMAC(K, m) = SHA256((K0 ^ opad) || SHA256((K0 ^ ipad) || m)), K0 = K padded
-to the 64-byte block.  The pads enter the plan as 64-byte binary literals;
-:func:`hmac_sha256_hex` registers a redaction pattern on the session so they
-never appear in ``explain`` output or SQL event-log plan strings.
+to the 64-byte block.
+
+Key material never enters a plan as a literal: plan node strings reach
+event logs and the UI unredacted.  :func:`with_hmacs` instead joins the
+rows to a tiny key table (:data:`KEY_BUCKETS` identical rows holding the
+pads, built in memory, so plan strings show only its column names) through
+a broadcast hash join on ``pmod(xxhash64(message), KEY_BUCKETS)``.  That is
+a real equi-join on a data-derived column (a constant key would be folded
+into a cartesian product) with a fixed, tiny build side.
 """
 
 from __future__ import annotations
@@ -11,8 +17,11 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 KEY_BYTES = 32
 BLOCK_BYTES = 64
@@ -68,10 +77,43 @@ def ensure_redaction(spark: SparkSession | None = None) -> None:
         spark.conf.set(_REDACTION_CONF, f"(?:{current})|(?:{PAD_REDACTION})")
 
 
-def hmac_sha256_hex(message: Column | str, key: HmacKey) -> Column:
-    """Lower-case hex HMAC-SHA256 of the UTF-8 bytes of ``message``."""
-    ensure_redaction()
-    m = F.col(message) if isinstance(message, str) else message
-    ipad, opad = key.pads()
-    inner = F.unhex(F.sha2(F.concat(F.lit(ipad), F.encode(m, "UTF-8")), 256))
-    return F.sha2(F.concat(F.lit(opad), inner), 256)
+KEY_BUCKETS = 16
+
+
+def key_table(spark: SparkSession, keys: Sequence[HmacKey]) -> DataFrame:
+    """``(_kb, _k{i}_ipad, _k{i}_opad ...)``: KEY_BUCKETS identical rows."""
+    fields = [T.StructField("_kb", T.IntegerType(), False)]
+    for i in range(len(keys)):
+        fields += [
+            T.StructField(f"_k{i}_ipad", T.BinaryType(), False),
+            T.StructField(f"_k{i}_opad", T.BinaryType(), False),
+        ]
+    pads = [p for k in keys for p in k.pads()]
+    rows = [tuple([b] + [bytearray(p) for p in pads]) for b in range(KEY_BUCKETS)]
+    return spark.createDataFrame(rows, T.StructType(fields))
+
+
+def _col(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def with_hmacs(df: DataFrame, specs: Sequence[tuple[str, Column | str, HmacKey]]) -> DataFrame:
+    """``df`` plus one lower-case hex HMAC-SHA256 column per ``(out, message,
+    key)``; the digest of a null message is null."""
+    if not specs:
+        return df
+    ensure_redaction(df.sparkSession)
+    keys: list[HmacKey] = []
+    index: dict[bytes, int] = {}
+    for _, _, k in specs:
+        if bytes(k.material) not in index:
+            index[bytes(k.material)] = len(keys)
+            keys.append(k)
+    bucket = F.pmod(F.xxhash64(_col(specs[0][1])), F.lit(KEY_BUCKETS)).cast("int")
+    joined = df.withColumn("_kb", bucket).join(F.broadcast(key_table(df.sparkSession, keys)), "_kb")
+    outs = []
+    for out, message, k in specs:
+        i = index[bytes(k.material)]
+        inner = F.unhex(F.sha2(F.concat(F.col(f"_k{i}_ipad"), F.encode(_col(message), "UTF-8")), 256))
+        outs.append(F.sha2(F.concat(F.col(f"_k{i}_opad"), inner), 256).alias(out))
+    return joined.select(*[F.col(c) for c in df.columns], *outs)

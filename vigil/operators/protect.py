@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.functions.classify import hash_scheme, hash_scheme_compat, is_hash
-from vigil.functions.digest import TEST_ID_KEY, TEST_SECRET_KEY, HmacKey, hmac_sha256_hex
+from vigil.functions.digest import TEST_ID_KEY, TEST_SECRET_KEY, HmacKey, with_hmacs
 from vigil.functions.text import js_trim, normalise_compat, normalise_identifier
 
 PROTECTED_COLUMNS = ["id_digest", "secret_digest", "is_hash", "hash_type", "source", "p2", "p4"]
@@ -47,11 +47,6 @@ class Keys:
 TEST_KEYS = Keys(TEST_ID_KEY, TEST_SECRET_KEY)
 
 
-def id_digest(ident: F.Column, keys: Keys, compat: bool = False) -> F.Column:
-    norm = normalise_compat(ident) if compat else normalise_identifier(ident)
-    return hmac_sha256_hex(norm, keys.identifier)
-
-
 def protect(
     parsed: DataFrame,
     keys: Keys,
@@ -73,13 +68,10 @@ def protect(
         *keep,
     )
     scheme = hash_scheme_compat(F.col("_pw")) if compat else hash_scheme(F.col("_pw"), trimmed=True)
-    digested = staged.select(
-        hmac_sha256_hex(F.col("_norm"), keys.identifier).alias("id_digest"),
-        hmac_sha256_hex(F.col("secret"), keys.secret).alias("secret_digest"),
-        scheme.alias("hash_type"),
-        "source",
-        *keep,
+    hashed = with_hmacs(
+        staged, [("id_digest", "_norm", keys.identifier), ("secret_digest", "secret", keys.secret)]
     )
+    digested = hashed.select("id_digest", "secret_digest", scheme.alias("hash_type"), "source", *keep)
     return digested.select(
         "id_digest",
         "secret_digest",
@@ -109,11 +101,11 @@ def protect_outcomes(parsed: DataFrame, keys: Keys, compat: bool = False) -> Dat
         F.when(ok, F.col("secret") if compat else js_trim(F.col("secret"))).alias("_pw"),
     )
     scheme = hash_scheme_compat(F.col("_pw")) if compat else hash_scheme(F.col("_pw"), trimmed=True)
-    digested = staged.select(
-        "source", "scope", "reason",
-        hmac_sha256_hex(F.col("_norm"), keys.identifier).alias("id_digest"),
-        hmac_sha256_hex(F.col("_secret"), keys.secret).alias("secret_digest"),
-        F.when(ok, scheme).alias("hash_type"),
+    hashed = with_hmacs(
+        staged, [("id_digest", "_norm", keys.identifier), ("secret_digest", "_secret", keys.secret)]
+    )
+    digested = hashed.select(
+        "source", "scope", "reason", "id_digest", "secret_digest", F.when(ok, scheme).alias("hash_type")
     )
     return digested.select(
         "source", "scope", "reason", "id_digest", "secret_digest",

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.functions.digest import hmac_sha256_hex
+from vigil.functions.digest import with_hmacs
 from vigil.functions.text import lower_trim, normalise_compat, normalise_identifier
 from vigil.operators import audit, exposure
 from vigil.operators.dedupe import first_occurrence, insert_if_absent
@@ -54,12 +54,8 @@ def normalise_compare(spark: SparkSession, d: str) -> DataFrame:
     rows = accepted(pipeline.detected(_lines(spark, d)))
     a = normalise_identifier(F.col("ident"))
     b = normalise_compat(F.col("ident"))
-    digested = rows.select(
-        "source",
-        (a != b).alias("_differ"),
-        hmac_sha256_hex(a, KEYS.identifier).alias("_da"),
-        hmac_sha256_hex(b, KEYS.identifier).alias("_db"),
-    )
+    normed = rows.select("source", (a != b).alias("_differ"), a.alias("_na"), b.alias("_nb"))
+    digested = with_hmacs(normed, [("_da", "_na", KEYS.identifier), ("_db", "_nb", KEYS.identifier)])
     return digested.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if("_differ").alias("n_differ"),
@@ -148,9 +144,8 @@ def progress_summary(spark: SparkSession, d: str) -> DataFrame:
 def _watchlist(spark: SparkSession, d: str) -> DataFrame:
     unseen = spark.createDataFrame([(a,) for a in fixtures.UNSEEN_ADDRESSES], "address string")
     addresses = fixtures.watch_users(spark, d).unionByName(unseen)
-    return addresses.select(
-        hmac_sha256_hex(normalise_identifier(F.col("address")), KEYS.identifier).alias("id_digest")
-    )
+    normed = addresses.select(normalise_identifier(F.col("address")).alias("_n"))
+    return with_hmacs(normed, [("id_digest", "_n", KEYS.identifier)]).select("id_digest")
 
 
 def exposure_check(spark: SparkSession, d: str) -> DataFrame:
