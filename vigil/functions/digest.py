@@ -7,7 +7,7 @@ Key material never enters a plan as a literal: plan node strings reach
 event logs and the UI unredacted.  :func:`with_hmacs` instead joins the
 rows to a tiny key table (:data:`KEY_BUCKETS` identical rows holding the
 pads, built in memory, so plan strings show only its column names) through
-a broadcast hash join on ``pmod(xxhash64(message), KEY_BUCKETS)``.  That is
+a broadcast hash join on ``xxhash64(message) & (KEY_BUCKETS - 1)``.  That is
 a real equi-join on a data-derived column (a constant key would be folded
 into a cartesian product) with a fixed, tiny build side.
 """
@@ -77,20 +77,47 @@ def ensure_redaction(spark: SparkSession | None = None) -> None:
         spark.conf.set(_REDACTION_CONF, f"(?:{current})|(?:{PAD_REDACTION})")
 
 
-KEY_BUCKETS = 16
+KEY_BUCKETS = 16  # a power of two (bucket = hash & (KEY_BUCKETS - 1))
+
+
+_KEY_TABLES: dict[tuple, DataFrame] = {}
+_ARROW_CONF = "spark.sql.execution.arrow.pyspark.enabled"
 
 
 def key_table(spark: SparkSession, keys: Sequence[HmacKey]) -> DataFrame:
-    """``(_kb, _k{i}_ipad, _k{i}_opad ...)``: KEY_BUCKETS identical rows."""
+    """``(_kb, _k{i}_ipad, _k{i}_opad ...)``: KEY_BUCKETS identical rows.
+
+    Built from pandas through Arrow, which yields a JVM-side local relation:
+    no Python job runs when it is broadcast, and plan strings show only
+    column names.  Reused per session and key set.
+    """
+    import pandas as pd
+
+    cache_key = (spark.sparkContext.applicationId, tuple(bytes(k.material) for k in keys))
+    if cache_key in _KEY_TABLES:
+        return _KEY_TABLES[cache_key]
     fields = [T.StructField("_kb", T.IntegerType(), False)]
-    for i in range(len(keys)):
+    data: dict[str, list] = {"_kb": list(range(KEY_BUCKETS))}
+    for i, k in enumerate(keys):
+        ipad, opad = k.pads()
         fields += [
             T.StructField(f"_k{i}_ipad", T.BinaryType(), False),
             T.StructField(f"_k{i}_opad", T.BinaryType(), False),
         ]
-    pads = [p for k in keys for p in k.pads()]
-    rows = [tuple([b] + [bytearray(p) for p in pads]) for b in range(KEY_BUCKETS)]
-    return spark.createDataFrame(rows, T.StructType(fields))
+        data[f"_k{i}_ipad"] = [ipad] * KEY_BUCKETS
+        data[f"_k{i}_opad"] = [opad] * KEY_BUCKETS
+    pdf = pd.DataFrame(data).astype({"_kb": "int32"})
+    previous = spark.conf.get(_ARROW_CONF, None)
+    spark.conf.set(_ARROW_CONF, "true")
+    try:
+        table = spark.createDataFrame(pdf, T.StructType(fields))
+    finally:
+        if previous is None:
+            spark.conf.unset(_ARROW_CONF)
+        else:
+            spark.conf.set(_ARROW_CONF, previous)
+    _KEY_TABLES[cache_key] = table
+    return table
 
 
 def _col(c: Column | str) -> Column:
@@ -109,7 +136,11 @@ def with_hmacs(df: DataFrame, specs: Sequence[tuple[str, Column | str, HmacKey]]
         if bytes(k.material) not in index:
             index[bytes(k.material)] = len(keys)
             keys.append(k)
-    bucket = F.pmod(F.xxhash64(_col(specs[0][1])), F.lit(KEY_BUCKETS)).cast("int")
+    # Non-nullable by construction (xxhash64 is never null): a nullable join
+    # key would make Catalyst infer an is-not-null filter and push it down
+    # through every projection below, re-evaluating the whole message
+    # expression per row.
+    bucket = F.xxhash64(_col(specs[0][1])).bitwiseAND(F.lit(KEY_BUCKETS - 1)).cast("int")
     joined = df.withColumn("_kb", bucket).join(F.broadcast(key_table(df.sparkSession, keys)), "_kb")
     outs = []
     for out, message, k in specs:

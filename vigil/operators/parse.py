@@ -212,8 +212,8 @@ def reject_counts(parsed: DataFrame) -> DataFrame:
 
 def outcome_counts(parsed: DataFrame) -> DataFrame:
     """Accepted and rejected counts per source: ``(source, scope, reason, n)``
-    with ``reason = 'accepted'`` for loaded lines (AGG-02)."""
-    counted = parsed.where(F.col("reason").isNull() | (F.col("reason") != F.lit(BLANK)))
-    return counted.groupBy(
+    with ``reason = 'accepted'`` for loaded lines (AGG-02).  A parse run with
+    ``keep_blank`` also reports its silent ``blank`` lines under that name."""
+    return parsed.groupBy(
         "source", "scope", F.coalesce(F.col("reason"), F.lit("accepted")).alias("reason")
     ).agg(F.count(F.lit(1)).alias("n"))
