@@ -160,3 +160,48 @@ def test_key_absent_from_plan_and_event_log(tmp_dir):
     parts = line[0].split()
     assert int(parts[1]) >= 1 and int(parts[3]) >= 1
     assert line[0].endswith("LEAKS []"), line[0]
+
+
+def _model_scheme(value: str) -> str:
+    """Python model of the canonical classifier, rule by rule."""
+    pw = value.strip(JS_WHITESPACE)
+    if re.fullmatch(r"\$2[aby]\$[0-9]{2}\$[A-Za-z0-9./]{53}", pw):
+        return "bcrypt"
+    if re.fullmatch(r"\$argon2(?:i|d|id)\$v=[0-9]+\$.*\$.*\$.*", pw):
+        return "argon2"
+    m = re.fullmatch(r"\$([156])\$[^$]+\$[A-Za-z0-9./]+", pw)
+    if m:
+        return {"1": "md5-crypt", "5": "sha256-crypt", "6": "sha512-crypt"}[m.group(1)]
+    if re.fullmatch(r"\{SSHA\}[A-Za-z0-9+/=]+", pw):
+        return "ssha"
+    if re.fullmatch(r"\{SHA\}[A-Za-z0-9+/=]+", pw):
+        return "sha1-base64"
+    if re.fullmatch(r"[A-Fa-f0-9]+", pw) and len(pw) in (32, 40, 64, 128):
+        return {32: "md5-hex", 40: "sha1-hex", 64: "sha256-hex", 128: "sha512-hex"}[len(pw)]
+    return "plaintext"
+
+
+_HASH_CHARS = "aAfF09./$=+{}SHAbxyz"
+_shapes = st.one_of(
+    st.text(alphabet=_HASH_CHARS + " ", max_size=20),
+    st.builds(lambda v, d, body: f"$2{v}${d}${body}", st.sampled_from("abyc"),
+              st.text(alphabet="0123456789a", min_size=1, max_size=3),
+              st.text(alphabet="abAB09./$", min_size=51, max_size=55)),
+    st.builds(lambda k, salt, body: f"${k}${salt}${body}", st.sampled_from("1562"),
+              st.text(alphabet="ab$=", min_size=0, max_size=4), st.text(alphabet="aZ9./!", min_size=0, max_size=6)),
+    st.builds(lambda tag, body: f"{{{tag}}}{body}", st.sampled_from(["SHA", "SSHA", "sha", "MD5"]),
+              st.text(alphabet="aZ9+/=!", min_size=0, max_size=8)),
+    st.builds(lambda n, c, pad: pad + c * n + pad, st.sampled_from([31, 32, 33, 40, 64, 128]),
+              st.sampled_from(["a", "F", "0", "g"]), st.sampled_from(["", " ", "\t"])),
+    st.builds(lambda v, rest: f"$argon2{v}$v={rest}", st.sampled_from(["i", "d", "id", "x"]),
+              st.text(alphabet="19$m=,a", max_size=12)),
+)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(_shapes, min_size=1, max_size=30))
+def test_classifier_matches_model(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = dict(df.select("i", classify.hash_scheme(F.col("v")).alias("s")).collect())
+    for i, v in enumerate(values):
+        assert got[i] == _model_scheme(v), repr(v)
