@@ -116,3 +116,76 @@ def test_layout_join_variants_agree(spark):
     assert rows(hash_key=False) == base
     assert rows(max_broadcast_bytes=0) == base
     assert rows(hash_key=False, max_broadcast_bytes=0) == base
+
+
+import re as _re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from vigil.functions.text import JS_WHITESPACE
+
+
+def _model_detected(lines, source):
+    """Python model of the layout-driven parse for one file: a list of
+    (index, reason or None, ident, secret) for every line that is counted."""
+    trimmed = [ln.strip(JS_WHITESPACE) for ln in lines]
+    nonblank = [t for t in trimmed if t]
+    out = []
+    if len(nonblank) < 2:
+        return [(i, "undetectable", None, None) for i, t in enumerate(trimmed) if t]
+    second = nonblank[1]
+    delim = ":" if ":" in second else ";" if ";" in second else " "
+    if len(second.split(delim)) > 2:
+        return [(i, "record2_fields", None, None) for i, t in enumerate(trimmed) if t]
+    first = second.split(delim)[0].strip(JS_WHITESPACE)
+    email_first = _re.search(r"\S+@\S+\.\S+", first) is not None
+    for i, line in enumerate(lines):
+        clean = _re.sub(r"[\x00-\x1f\x7f]", "", line).strip(JS_WHITESPACE)
+        if not clean:
+            continue
+        fields = clean.split(delim)
+        if len(fields) != 2:
+            out.append((i, "field_count", None, None))
+            continue
+        r1, r2 = (f.strip(JS_WHITESPACE) for f in fields)
+        ident, secret = (r1, r2) if email_first else (r2, r1)
+        if not ident or not secret:
+            out.append((i, "empty_field", ident, secret))
+        elif len(ident) + len(secret) + len(source) > 4000:
+            out.append((i, "oversize", ident, secret))
+        else:
+            out.append((i, None, ident, secret))
+    return out
+
+
+_line = st.one_of(
+    st.text(alphabet="ab@.:; \t\x07x", max_size=14),
+    st.builds(lambda u, d, p: f"{u}@ex.test{d}{p}", st.sampled_from(["a", "B", " c"]),
+              st.sampled_from([":", ";", " ", "::", "\t"]), st.text(alphabet="pw1:; ", max_size=6)),
+    st.builds(lambda p, d: f"{p}{d}u@ex.test", st.text(alphabet="pw1", min_size=1, max_size=4),
+              st.sampled_from([":", ";", " "])),
+    st.just(""),
+    st.just("x" * 3990 + "@e.t:p" + "q" * 20),
+)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.lists(_line, min_size=0, max_size=8), min_size=1, max_size=4))
+def test_detected_parse_matches_model(spark, files):
+    rows = [(f"f{k}", 0, i, ln) for k, lines in enumerate(files) for i, ln in enumerate(lines)]
+    if not rows:
+        return
+    df = spark.createDataFrame(rows, "source string, block bigint, seq bigint, line string")
+    parsed = parse_detected(df, infer_layout(df))
+    got = sorted(
+        (r["source"], r["seq"], r["reason"], r["ident"] if r["reason"] is None else None,
+         r["secret"] if r["reason"] is None else None)
+        for r in parsed.collect()
+    )
+    want = sorted(
+        (f"f{k}", i, reason, ident if reason is None else None, secret if reason is None else None)
+        for k, lines in enumerate(files)
+        for i, reason, ident, secret in _model_detected(lines, f"f{k}")
+    )
+    assert got == want
