@@ -107,3 +107,49 @@ def test_surrogate_ids_dense(spark):
     got = sorted((r["k"], r["id"]) for r in surrogate_ids(df, "k").collect())
     assert [i for _, i in got] == list(range(1, 3001))
     assert [k for k, _ in got] == sorted(k for k, _ in got)
+
+
+import hashlib as _hashlib
+import hmac as _hmac
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tests.test_functions import _model_normalise, _model_scheme
+from vigil.functions.text import JS_WHITESPACE as JS_WS
+
+
+def _model_first_colon(line, keys):
+    if not line:
+        return None
+    sep = line.find(":")
+    if sep < 1:
+        return "no_separator"
+    raw_id, raw_pw = line[:sep], line[sep + 1:]
+    if "@" not in raw_id.lower().strip(JS_WS):
+        return "no_at"
+    idd = _hmac.new(keys.identifier.material, _model_normalise(raw_id).encode(), _hashlib.sha256).hexdigest()
+    sd = _hmac.new(keys.secret.material, raw_pw.encode(), _hashlib.sha256).hexdigest()
+    return (idd, sd, _model_scheme(raw_pw))
+
+
+_fc_line = st.one_of(
+    st.text(alphabet="aB+@.:- \"x", max_size=16),
+    st.builds(lambda u, p: f"{u}:{p}", st.sampled_from(["Bob+x@Ex.test", " --a@b.c ", "@x", "u"]),
+              st.sampled_from(["pw", "", ":", "a" * 32, "$1$s$abc", " {SHA}ab= "])),
+)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(_fc_line, min_size=1, max_size=25))
+def test_first_colon_protect_matches_model(spark, lines):
+    from vigil.operators.parse import parse_first_colon
+    from vigil.operators.protect import protect
+
+    df = spark.createDataFrame([("s", 0, i, ln) for i, ln in enumerate(lines)],
+                               "source string, block bigint, seq bigint, line string")
+    got = sorted((r["seq"], r["id_digest"], r["secret_digest"], r["hash_type"])
+                 for r in protect(parse_first_colon(df), TEST_KEYS, keep=["seq"]).collect())
+    want = sorted((i, *m) for i, m in ((i, _model_first_colon(ln, TEST_KEYS)) for i, ln in enumerate(lines))
+                  if isinstance(m, tuple))
+    assert got == want
