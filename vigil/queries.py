@@ -4,6 +4,12 @@ Each takes ``(spark, sf_dir)``, derives synthetic credential lines from the
 ``events`` table of that scale factor (see ``vigil.sources.fixtures``) and
 returns a DataFrame whose columns match the DuckDB oracle in
 ``vigil.oracle``.  Results hold digests and counts only.
+
+Every query reads every line derived from the whole ``events`` table.  The
+modulo rules in the fixtures only shape the synthetic input: which lines
+are perturbed, which lines a target already holds (``seq % 2``), how two
+shard roots overlap (``seq % 3``) and which users a caller watches
+(``user_id % 10``).  None of them thins the data a query scans.
 """
 
 from __future__ import annotations
