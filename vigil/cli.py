@@ -57,6 +57,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--no-dedupe", action="store_true")
     s.add_argument("--compat", action="store_true")
     s.add_argument("--skip-header", action="store_true")
+    s.add_argument("--layout-reader", choices=ingest.LAYOUT_READERS, default="scan",
+                   help="heads: read only each file's head for layout inference")
     keyed(s)
 
     s = sub.add_parser("stream", help="incremental, exactly-once ingestion of a folder")
@@ -133,6 +135,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         ingest.ingest_files(
             spark, a.input, ingest.Outputs(a.out), _keys(spark, a), a.batch_id,
             mode=a.mode, dedupe=not a.no_dedupe, compat=a.compat, skip_header=a.skip_header,
+            layout_reader=a.layout_reader,
         )
     elif c == "stream":
         from vigil.streaming.ingest import run_until_stopped, start_ingest

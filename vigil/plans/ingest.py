@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from vigil.operators import audit
 from vigil.operators.dedupe import insert_if_absent
-from vigil.operators.parse import counted_reject, parse_first_colon
+from vigil.operators.parse import counted_reject, parse_detected, parse_first_colon
 from vigil.operators.protect import Keys, protect_outcomes, records_of
 from vigil.operators.sizing import materialise
 from vigil.plans.pipeline import detected
@@ -90,14 +90,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def parse_lines(lines: DataFrame, mode: str, skip_header: bool = False) -> DataFrame:
+LAYOUT_READERS = ("scan", "heads")
+
+
+def parse_lines(
+    lines: DataFrame, mode: str, skip_header: bool = False, layout: DataFrame | None = None
+) -> DataFrame:
     """Parse keeping blank lines as silent ``blank`` rows, so every file with
-    at least one line reaches the manifest."""
+    at least one line reaches the manifest.  ``layout`` (detected mode) may
+    come from :func:`vigil.sources.heads.infer_layout_from_heads`; by default
+    it is inferred from ``lines``."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    if mode == "detected":
+    if mode == "first_colon":
+        return parse_first_colon(lines, keep_blank=True)
+    if layout is None:
         return detected(lines, skip_header=skip_header, keep_blank=True)
-    return parse_first_colon(lines, keep_blank=True)
+    return parse_detected(lines, layout, skip_header=skip_header, keep_blank=True)
 
 
 def load_outcomes(
@@ -110,6 +119,7 @@ def load_outcomes(
     dedupe: bool = True,
     compat: bool = False,
     skip_header: bool = False,
+    layout: DataFrame | None = None,
 ) -> DataFrame:
     """Parse, protect and load one batch of lines; returns the manifest rows.
 
@@ -118,7 +128,7 @@ def load_outcomes(
     Idempotent per ``batch_id``: records are inserted only if absent, and
     reject and manifest rows replace the batch's own partition.
     """
-    outcomes = materialise(protect_outcomes(parse_lines(lines, mode, skip_header), keys, compat=compat))
+    outcomes = materialise(protect_outcomes(parse_lines(lines, mode, skip_header, layout), keys, compat=compat))
     records = records_of(outcomes)
     if dedupe:
         target = read_protected(spark, out.records) if path_exists(spark, out.records) else None
@@ -161,12 +171,27 @@ def ingest_files(
     glob: str = TXT_ANY_CASE,
     compat: bool = False,
     skip_header: bool = False,
+    layout_reader: str = "scan",
 ) -> DataFrame:
     """Load every matching file under ``inputs`` as batch ``batch_id`` and
-    record a run metric (rows, elapsed time, grade)."""
+    record a run metric (rows, elapsed time, grade).
+
+    ``layout_reader="heads"`` infers layouts by reading only the head of
+    each file instead of a full extra pass over the input (see
+    ``vigil.sources.heads``); it does not support ``skip_header``."""
+    if layout_reader not in LAYOUT_READERS:
+        raise ValueError(f"layout_reader must be one of {LAYOUT_READERS}")
+    layout = None
+    if layout_reader == "heads" and mode == "detected":
+        if skip_header:
+            raise ValueError("skip_header needs the scan-based layout reader")
+        from vigil.sources.heads import infer_layout_from_heads
+
+        layout = infer_layout_from_heads(spark, inputs, glob=glob)
     t0 = time.monotonic()
     manifest = load_outcomes(
-        spark, read_lines(spark, inputs, glob=glob), out, keys, batch_id, mode, dedupe, compat, skip_header
+        spark, read_lines(spark, inputs, glob=glob), out, keys, batch_id, mode, dedupe, compat, skip_header,
+        layout,
     )
     elapsed_ms = int((time.monotonic() - t0) * 1000)
     totals = manifest.agg(
