@@ -27,6 +27,10 @@ SESSION_DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
+    # Each batch checkpoints its digest-only intermediates; let Spark delete
+    # those files once the DataFrames are unreachable so a long-running
+    # stream does not grow the checkpoint folder without bound.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
