@@ -74,3 +74,69 @@ def test_codegen_stays_on(spark):
     recs = protected_detected(fixtures.raw_lines(spark, SF_SMALL), TEST_KEYS)
     plan = _plan(spark, recs, "codegen")
     assert "Found " in plan and "WholeStageCodegen subtrees" in plan
+
+
+def _shuffle_records(spark, df):
+    """Sum of records written by every shuffle exchange of an executed plan."""
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan()
+    final = plan.finalPhysicalPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+    total = 0
+    nodes = [final]
+    while nodes:
+        node = nodes.pop()
+        name = node.nodeName()
+        if name in ("ShuffleQueryStage", "TableCacheQueryStage"):
+            node = node.plan()
+            name = node.nodeName()
+        if name == "Exchange":
+            metrics = node.metrics()
+            if metrics.contains("shuffleRecordsWritten"):
+                total += metrics.apply("shuffleRecordsWritten").value()
+        children = node.children()
+        for i in range(children.size()):
+            nodes.append(children.apply(i))
+    return total
+
+
+def test_hot_file_shuffles_at_most_two_rows_per_task(spark):
+    hot = spark.range(0, 54000).select(F.lit("hot").alias("source"), F.lit(0).cast("bigint").alias("block"),
+                                       F.col("id").alias("seq"),
+                                       F.concat(F.lit("u"), F.col("id").cast("string"), F.lit("@x.test:p")).alias("line"))
+    cold = spark.range(0, 6000).select((F.col("id") % 10).cast("string").alias("source"),
+                                       F.lit(0).cast("bigint").alias("block"), F.col("id").alias("seq"),
+                                       F.lit("a@x.test;p").alias("line"))
+    from vigil.operators.sizing import materialise
+
+    lines = materialise(hot.unionByName(cold).repartition(8))  # 8 map tasks, no exchange of its own
+    layout = infer_layout(lines)
+    written = _shuffle_records(spark, layout)
+    # at most 2 rows per file per map task (8 tasks, 11 files), not 60,000 lines
+    assert 0 < written <= 2 * 11 * 8
+    row = {r["source"]: r["status"] for r in layout.collect()}
+    assert row["hot"] == "ok" and len(row) == 11
+
+
+def test_hot_identifier_preaggregated_before_shuffle(spark):
+    from vigil.operators.sizing import materialise
+
+    hot_id = "ab" + "0" * 62
+    recs = materialise(
+        spark.range(0, 40000).select(
+            F.when(F.col("id") < 36000, F.lit(hot_id))
+            .otherwise(F.sha2(F.col("id").cast("string"), 256)).alias("id_digest"),
+            F.sha2(F.concat(F.lit("s"), F.col("id").cast("string")), 256).alias("secret_digest"),
+            F.lit(False).alias("is_hash"), F.lit("plaintext").alias("hash_type"),
+            F.lit("/s/a.txt").alias("source"),
+        ).withColumn("p2", F.substring("id_digest", 1, 2)).withColumn("p4", F.substring("id_digest", 1, 4))
+        .repartition(8)
+    )
+    wl = spark.createDataFrame([(hot_id,)], "id_digest string")
+    res = exposure_check(recs, wl, max_broadcast_bytes=0)  # force the shuffle path
+    written = _shuffle_records(spark, res)
+    # two exchanges of the pre-aggregated rows: 4,000 cold ids plus at most one
+    # partial row per map task for the hot id; without map-side combine the
+    # hot id alone would ship 36,000 rows
+    assert written <= 2 * (4000 + 8) + 50
+    row = res.head()
+    assert row["n_records"] == 36000 and row["exposed"]
