@@ -153,3 +153,16 @@ def test_first_colon_protect_matches_model(spark, lines):
     want = sorted((i, *m) for i, m in ((i, _model_first_colon(ln, TEST_KEYS)) for i, ln in enumerate(lines))
                   if isinstance(m, tuple))
     assert got == want
+
+
+def test_record_key_is_not_an_ambiguous_string(spark):
+    """password "a:b" from source "c" and password "a" from source "b:c" would
+    share the joined key "h:a:b:c"; as a column triple they stay distinct."""
+    from vigil.operators.parse import parse_first_colon
+    from vigil.operators.protect import protect
+
+    lines = spark.createDataFrame(
+        [("c", 0, 0, "u@x.test:a:b"), ("b:c", 0, 0, "u@x.test:a"), ("c", 0, 1, "u@x.test:a:b")],
+        "source string, block bigint, seq bigint, line string")
+    recs = protect(parse_first_colon(lines), TEST_KEYS)
+    assert recs.count() == 3 and dedupe(recs).count() == 2
