@@ -140,3 +140,23 @@ def test_hot_identifier_preaggregated_before_shuffle(spark):
     assert written <= 2 * (4000 + 8) + 50
     row = res.head()
     assert row["n_records"] == 36000 and row["exposed"]
+
+
+def test_fallback_layout_join_spreads_a_hot_file(spark):
+    from vigil.operators.parse import SALTS, parse_detected
+    from vigil.operators.sizing import materialise
+
+    lines = materialise(spark.range(0, 20000).select(
+        F.lit("hot").alias("source"), F.lit(0).cast("bigint").alias("block"), F.col("id").alias("seq"),
+        F.concat(F.lit("u"), F.col("id").cast("string"), F.lit("@x.test:p")).alias("line")).repartition(4))
+    parsed = parse_detected(lines, infer_layout(lines), max_broadcast_bytes=0)
+    # observe the raw join partitions (AQE would merge these small ones)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        per_task = parsed.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(r["count"] for r in per_task) == 20000
+    # without salting one task would hold all 20,000 lines of the file; with
+    # 16 salts over the 8 test shuffle partitions no task holds half of it
+    assert len(per_task) >= 4 and max(r["count"] for r in per_task) < 20000 // 2

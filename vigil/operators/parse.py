@@ -99,7 +99,17 @@ def layout_side(
     else:
         side, key = full.select("source", "_code", *extra), "source"
         size = st["n"] * 8 * (4 + len(extra)) + st["path_bytes"]
-    return (F.broadcast(side) if size <= max_broadcast_bytes else side), key
+    if size <= max_broadcast_bytes:
+        return F.broadcast(side), key
+    # Shuffle-join fallback: replicate each file's compact row over SALTS
+    # salts, so the lines of one very large file spread over SALTS join
+    # partitions (AQE can split further) instead of landing in one.
+    salted = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted, key
+
+
+# Fixed value: salts of the shuffle-join fallback (the side grows by this factor).
+SALTS = 16
 
 
 def parse_detected(
@@ -121,7 +131,11 @@ def parse_detected(
     """
     side, key = layout_side(layout, max_broadcast_bytes, skip_header, hash_key)
     keyed = lines.withColumn("_fid", F.xxhash64("source")) if key == "_fid" else lines
-    j = keyed.join(side, key)
+    if "_salt" in side.columns:
+        keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64("block", "seq"), F.lit(SALTS)).cast("int"))
+        j = keyed.join(side, [key, "_salt"])
+    else:
+        j = keyed.join(side, key)
     if skip_header:
         is_header = (F.col("block") == F.col("_hb")) & (F.col("seq") == F.col("_hs"))
         j = j.where(~F.coalesce(is_header, F.lit(False)))
