@@ -134,7 +134,7 @@ def test_stored_lookup_prunes_partitions(spark, tmp_dir):
     from pyspark.sql import functions as F
 
     from vigil.plans.checks import exposure_report, range_lookup
-    from vigil.plans.pipeline import protected_detected
+    from vigil.plans.parse_protect import protected_detected
     from vigil.sources import fixtures
     from tests.conftest import SF_SMALL
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from vigil.operators.layout import infer_layout
 from vigil.operators.parse import parse_detected, parse_first_colon
-from vigil.plans.pipeline import detected
+from vigil.plans.parse_protect import detected
 from vigil.sources import fixtures
 from vigil.functions.text import js_trim
 

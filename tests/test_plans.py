@@ -8,7 +8,7 @@ from vigil.operators.exposure import exposure_check
 from vigil.operators.layout import infer_layout
 from vigil.operators.parse import parse_detected
 from vigil.operators.protect import TEST_KEYS
-from vigil.plans.pipeline import protected_detected
+from vigil.plans.parse_protect import protected_detected
 from vigil.sinks.shards import layout_for_write, write_protected
 from vigil.sources import fixtures
 from vigil.sources.shards import read_protected

@@ -7,7 +7,7 @@ from vigil.operators.dedupe import dedupe, first_occurrence, insert_if_absent
 from vigil.operators.merge import merge_roots, union_roots
 from vigil.operators.numbering import number_within
 from vigil.operators.protect import RECORD_KEY, TEST_KEYS
-from vigil.plans.pipeline import protected_detected
+from vigil.plans.parse_protect import protected_detected
 from vigil.sources import fixtures
 
 from tests.conftest import SF_SMALL

@@ -23,7 +23,7 @@ from vigil.operators.dedupe import insert_if_absent
 from vigil.operators.parse import counted_reject, parse_detected, parse_first_colon
 from vigil.operators.protect import Keys, protect_outcomes, records_of
 from vigil.operators.sizing import materialise
-from vigil.plans.pipeline import detected
+from vigil.plans.parse_protect import detected
 from vigil.sinks.shards import write_protected, write_table
 from vigil.sources.shards import read_protected
 from vigil.sources.text_files import TXT_ANY_CASE, list_files, read_lines

@@ -1,4 +1,4 @@
-"""Composed parse -> protect pipelines shared by jobs and registered queries."""
+"""Composed parse -> protect steps shared by jobs and registered queries."""
 
 from __future__ import annotations
 

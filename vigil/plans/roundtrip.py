@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.paths import partition_value
 from vigil.operators.protect import Keys
-from vigil.plans.pipeline import protected_first_colon
+from vigil.plans.parse_protect import protected_first_colon
 from vigil.session import scratch_path
 from vigil.sinks.shards import write_protected
 from vigil.sources.shards import read_protected

@@ -29,7 +29,7 @@ from vigil.operators.merge import merge_roots, union_roots
 from vigil.operators.parse import accepted, outcome_counts, parse_first_colon
 from vigil.operators.protect import TEST_KEYS
 from vigil.operators.sizing import materialise
-from vigil.plans import pipeline
+from vigil.plans import parse_protect
 from vigil.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,7 +41,7 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _protected(spark: SparkSession, d: str, keep=("seq",)) -> DataFrame:
-    return pipeline.protected_detected(_lines(spark, d), KEYS, keep=list(keep))
+    return parse_protect.protected_detected(_lines(spark, d), KEYS, keep=list(keep))
 
 
 def layout_inference(spark: SparkSession, d: str) -> DataFrame:
@@ -49,7 +49,7 @@ def layout_inference(spark: SparkSession, d: str) -> DataFrame:
 
 
 def parse_detected_rejects(spark: SparkSession, d: str) -> DataFrame:
-    return outcome_counts(pipeline.detected(_lines(spark, d)))
+    return outcome_counts(parse_protect.detected(_lines(spark, d)))
 
 
 def parse_first_colon_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -57,7 +57,7 @@ def parse_first_colon_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def normalise_compare(spark: SparkSession, d: str) -> DataFrame:
-    rows = accepted(pipeline.detected(_lines(spark, d)))
+    rows = accepted(parse_protect.detected(_lines(spark, d)))
     a = normalise_identifier(F.col("ident"))
     b = normalise_compat(F.col("ident"))
     normed = rows.select("source", (a != b).alias("_differ"), a.alias("_na"), b.alias("_nb"))
@@ -79,7 +79,7 @@ def scheme_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def scheme_profile_compat(spark: SparkSession, d: str) -> DataFrame:
-    recs = pipeline.protected_detected(_lines(spark, d), KEYS, compat=True)
+    recs = parse_protect.protected_detected(_lines(spark, d), KEYS, compat=True)
     return exposure.scheme_profile(recs, by=("source", "hash_type"))
 
 
@@ -175,7 +175,7 @@ def _run_metrics(spark: SparkSession, d: str) -> DataFrame:
     lines = _lines(spark, d).where(F.col("source") != fixtures.SOLO_SOURCE)
     loaded = lines.groupBy("source").agg(F.count(F.lit(1)).alias("loaded"))
     rejected = (
-        pipeline.detected(lines)
+        parse_protect.detected(lines)
         .groupBy("source")
         .agg(F.count_if(F.col("reason").isNotNull()).alias("rejected"))
     )
