@@ -160,3 +160,24 @@ def test_fallback_layout_join_spreads_a_hot_file(spark):
     # without salting one task would hold all 20,000 lines of the file; with
     # 16 salts over the 8 test shuffle partitions no task holds half of it
     assert len(per_task) >= 4 and max(r["count"] for r in per_task) < 20000 // 2
+
+
+def test_hot_duplicate_key_collapses_before_shuffle(spark):
+    from vigil.operators.dedupe import dedupe
+    from vigil.operators.sizing import materialise
+
+    hot = F.col("id") < 36000
+    recs = materialise(
+        spark.range(0, 40000).select(
+            F.when(hot, F.lit("ab" + "0" * 62)).otherwise(F.sha2(F.col("id").cast("string"), 256)).alias("id_digest"),
+            F.when(hot, F.lit("cd" + "0" * 62)).otherwise(F.lit("ef" + "0" * 62)).alias("secret_digest"),
+            F.lit(False).alias("is_hash"), F.lit("plaintext").alias("hash_type"),
+            F.lit("/s/a.txt").alias("source"),
+        ).withColumn("p2", F.substring("id_digest", 1, 2)).withColumn("p4", F.substring("id_digest", 1, 4))
+        .repartition(8)
+    )
+    out = dedupe(recs)
+    written = _shuffle_records(spark, out)
+    # 4,000 distinct cold keys plus at most one partial row per map task for the hot key
+    assert written <= 4000 + 8
+    assert out.count() == 4001
