@@ -181,7 +181,9 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:
     a = _parser().parse_args(argv)
     own = spark is None
-    spark = spark or build_session(a.master, app=f"vigil-{a.command}")
+    if own:
+        spark = build_session(a.master, app=f"vigil-{a.command}")
+        spark.sparkContext.setLogLevel("WARN")
     try:
         return run(spark, a)
     finally:
