@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.operators.sizing import DEFAULT_MAX_BROADCAST_BYTES, bounded_broadcast, sized_side
+from vigil.operators.sizing import DEFAULT_MAX_BROADCAST_BYTES, materialise
 
 
 def scheme_profile(records: DataFrame, by: tuple[str, ...] = ("source", "hash_type", "is_hash")) -> DataFrame:
@@ -42,6 +42,22 @@ def shard_dirs(digests: DataFrame) -> list[str] | None:
     return None if len(vals) >= P2_DIRS else vals
 
 
+def measured_digests(df: DataFrame, max_bytes: int) -> tuple[DataFrame, bool, list[str] | None]:
+    """Materialise a small digest table and, in one aggregate job, measure
+    it and collect its ``p2`` directories (a set of at most 256 values).
+    Returns (table, fits the broadcast bound, directories or None)."""
+    m = materialise(df)
+    var = [c for c in m.columns if c != "p2"]
+    row = m.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.coalesce(F.sum(F.octet_length(c)), F.lit(0)).alias(f"_b{i}") for i, c in enumerate(var)],
+        F.array_sort(F.collect_set("p2")).alias("dirs"),
+    ).head()
+    size = int(row["n"]) * 8 * (len(m.columns) + 1) + sum(int(row[f"_b{i}"]) for i in range(len(var)))
+    dirs = [d for d in row["dirs"] if d is not None]
+    return m, size <= max_bytes, (None if len(dirs) >= P2_DIRS else dirs)
+
+
 def exposure_check(
     records: DataFrame,
     watchlist: DataFrame,
@@ -56,13 +72,12 @@ def exposure_check(
     pre-aggregated per (digest, source, scheme) first so that an identifier
     in a third of all rows reaches the exchange as a handful of rows.
     """
-    wl, small = sized_side(
+    wl, small, touched = measured_digests(
         watchlist.select("id_digest").distinct().withColumn("p2", F.substring("id_digest", 1, 2)),
         max_broadcast_bytes,
     )
     if small:
         watched = records.join(F.broadcast(wl), ["p2", "id_digest"], "left_semi")
-        touched = shard_dirs(wl)
         if touched is not None:
             watched = watched.where(F.col("p2").isin(touched))
         per = watched.groupBy("id_digest", "source", "hash_type").agg(F.count(F.lit(1)).alias("_n"))
@@ -96,13 +111,11 @@ def prefix_range(
     the bucket holds at least ``k`` distinct identifiers; otherwise a single
     row with ``suppressed = true`` and no suffix or count.
     """
-    req = bounded_broadcast(
-        prefixes.select(F.lower(F.col("prefix")).alias("p4"))
-        .distinct()
-        .withColumn("p2", F.substring("p4", 1, 2)),
+    req, small, touched = measured_digests(
+        prefixes.select(F.lower(F.col("prefix")).alias("p4")).distinct().withColumn("p2", F.substring("p4", 1, 2)),
         max_broadcast_bytes,
     )
-    touched = shard_dirs(req)
+    req = F.broadcast(req) if small else req
     scoped = records.where(F.col("p2").isin(touched)) if touched is not None else records
     hits = (
         scoped.join(req, ["p2", "p4"], "left_semi")
