@@ -34,3 +34,4 @@ def test_cli_end_to_end(spark, tmp_dir):
     assert main(["pending", "--input", f"{tmp_dir}/in", "--out", out, "--output", f"{tmp_dir}/pend"], spark) == 0
     assert spark.read.option("header", "true").csv(f"{tmp_dir}/pend").count() == 0
     assert main(["maintenance-due", "--out", out], spark) == 0
+    assert main(["storage", "--path", f"{out}/records", "--glob", "*.parquet"], spark) == 0

@@ -123,6 +123,10 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("audit", help="constraint and schema audit of stored records")
     s.add_argument("--records", required=True)
 
+    s = sub.add_parser("storage", help="stored size of a table (files and bytes)")
+    s.add_argument("--path", required=True)
+    s.add_argument("--glob", default="*", help="file name pattern, e.g. *.parquet")
+
     s = sub.add_parser("maintenance-due", help="is compaction due since a batch id?")
     s.add_argument("--out", required=True)
     s.add_argument("--since-batch", type=int, default=-1)
@@ -172,6 +176,10 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         recs = read_protected(spark, a.records)
         audit.constraint_audit(recs).show(vertical=True, truncate=False)
         audit.schema_audit(recs).orderBy("column_name").show(truncate=False)
+    elif c == "storage":
+        from vigil.sources.text_files import list_files
+
+        audit.storage_profile(list_files(spark, a.path, glob=a.glob)).show(truncate=False)
     elif c == "maintenance-due":
         out = ingest.Outputs(a.out)
         maintenance.maintenance_due(ingest.read_manifest(spark, out), a.since_batch).show(truncate=False)
