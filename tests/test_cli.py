@@ -35,3 +35,15 @@ def test_cli_end_to_end(spark, tmp_dir):
     assert spark.read.option("header", "true").csv(f"{tmp_dir}/pend").count() == 0
     assert main(["maintenance-due", "--out", out], spark) == 0
     assert main(["storage", "--path", f"{out}/records", "--glob", "*.parquet"], spark) == 0
+
+
+def test_cli_stream_drains_and_resumes(spark, tmp_dir):
+    _write(f"{tmp_dir}/keys/id.hex", bytes(range(32)).hex().encode())
+    _write(f"{tmp_dir}/keys/secret.hex", bytes(range(32, 64)).hex().encode())
+    keys = ["--id-key", f"{tmp_dir}/keys/id.hex", "--secret-key", f"{tmp_dir}/keys/secret.hex"]
+    args = ["stream", "--input", f"{tmp_dir}/inbox", "--out", f"{tmp_dir}/ds", "--checkpoint", f"{tmp_dir}/ckpt", *keys]
+    _write(f"{tmp_dir}/inbox/a.txt", b"a@x.test:p1\nb@x.test:p2\n")
+    assert main(args, spark) == 0
+    _write(f"{tmp_dir}/inbox/b.txt", b"c@x.test;p3\nd@x.test;p4\n")
+    assert main(args, spark) == 0
+    assert read_protected(spark, f"{tmp_dir}/ds/records").count() == 4
