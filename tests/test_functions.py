@@ -205,3 +205,15 @@ def test_classifier_matches_model(spark, values):
     got = dict(df.select("i", classify.hash_scheme(F.col("v")).alias("s")).collect())
     for i, v in enumerate(values):
         assert got[i] == _model_scheme(v), repr(v)
+
+
+def test_path_helpers(spark):
+    from vigil.functions.paths import base_name, dir_name, partition_value, strip_gz
+
+    df = spark.createDataFrame([("file:/data/root/p2=ab/ab/abcd.jsonl.gz",)], "p string")
+    r = df.select(base_name(F.col("p")).alias("b"), dir_name(F.col("p")).alias("d"),
+                  strip_gz(F.col("p")).alias("s"), partition_value(F.col("p"), "p2").alias("v")).head()
+    assert r["b"] == "abcd.jsonl.gz"
+    assert r["d"] == "file:/data/root/p2=ab/ab"
+    assert r["s"] == "file:/data/root/p2=ab/ab/abcd.jsonl"
+    assert r["v"] == "ab"
