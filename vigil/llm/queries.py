@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from vigil.llm.packing import op1_best_fit_packing
+from vigil.llm.token_counts import op10_token_counts
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}
