@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from vigil.llm.packing import op1_best_fit_packing
 from vigil.llm.simhash import op2_simhash
+from vigil.llm.substring import op9_substring_dedup
 from vigil.llm.token_counts import op10_token_counts
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_simhash": op2_simhash,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
