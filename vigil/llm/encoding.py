@@ -69,6 +69,19 @@ def encoder(path: str) -> TextEncoder:
     return TextEncoder(path)
 
 
+@lru_cache(maxsize=4)
+def byte_table(path: str) -> list[bytes]:
+    """The bytes of each id of a byte-level vocabulary (none for special tokens)."""
+    with open(path, encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    byte = _byte_of_char()
+    found = [b""] * (max(vocab.values()) + 1)
+    for token, i in vocab.items():
+        if all(c in byte for c in token):
+            found[i] = bytes(byte[c] for c in token)
+    return found
+
+
 def vocabulary_path(name: str) -> str:
     """Place of a public vocabulary file on this machine."""
     import public_tokenizers

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from vigil.llm.chat import op5_chat
+from vigil.llm.langid import op7_language_id
 from vigil.llm.packing import op1_best_fit_packing
 from vigil.llm.simhash import op2_simhash
+from vigil.llm.sketches import op4_fingerprints
 from vigil.llm.substring import op9_substring_dedup
 from vigil.llm.token_counts import op10_token_counts
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_simhash": op2_simhash,
+    "op4_fingerprints": op4_fingerprints,
+    "op5_chat": op5_chat,
+    "op7_language_id": op7_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
 }
