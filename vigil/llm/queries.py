@@ -5,6 +5,7 @@ from __future__ import annotations
 from vigil.llm.chat import op5_chat
 from vigil.llm.langid import op7_language_id
 from vigil.llm.packing import op1_best_fit_packing
+from vigil.llm.shards import op8_token_shards
 from vigil.llm.simhash import op2_simhash
 from vigil.llm.sketches import op4_fingerprints
 from vigil.llm.substring import op9_substring_dedup
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_fingerprints": op4_fingerprints,
     "op5_chat": op5_chat,
     "op7_language_id": op7_language_id,
+    "op8_token_shards": op8_token_shards,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
 }
