@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from vigil.llm.chat import op5_chat
+from vigil.llm.embeddings import op3_embedding_dedup
 from vigil.llm.langid import op7_language_id
 from vigil.llm.packing import op1_best_fit_packing
 from vigil.llm.shards import op8_token_shards
@@ -14,6 +15,7 @@ from vigil.llm.token_counts import op10_token_counts
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_simhash": op2_simhash,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_fingerprints": op4_fingerprints,
     "op5_chat": op5_chat,
     "op7_language_id": op7_language_id,
