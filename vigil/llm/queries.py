@@ -5,6 +5,8 @@ from __future__ import annotations
 from vigil.llm.chat import op5_chat
 from vigil.llm.embeddings import op3_embedding_dedup
 from vigil.llm.langid import op7_language_id
+from vigil.llm.mixing import SQL as _MIXING_SQL
+from vigil.llm.mixing import op6_mixing
 from vigil.llm.packing import op1_best_fit_packing
 from vigil.llm.shards import op8_token_shards
 from vigil.llm.simhash import op2_simhash
@@ -18,10 +20,11 @@ QUERIES = {
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_fingerprints": op4_fingerprints,
     "op5_chat": op5_chat,
+    "op6_mixing": op6_mixing,
     "op7_language_id": op7_language_id,
     "op8_token_shards": op8_token_shards,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_mixing": _MIXING_SQL}
