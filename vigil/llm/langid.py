@@ -29,7 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -191,6 +191,13 @@ def predict(docs: DataFrame, learned: dict[str, np.ndarray], text_col: str = "te
     return docs.mapInArrow(run, schema)
 
 
+def recognised(lang: Column, score: Column, text: Column, dimensions: int = DIMENSIONS) -> Column:
+    """False for texts without a language: ``und``, or texts of some length whose
+    cosine is no larger than unrelated vectors have (three spreads of 1/sqrt(dimensions))."""
+    noise = 3 / dimensions**0.5
+    return (lang != UNKNOWN) & ((score >= noise) | (F.char_length(text) < 200))
+
+
 def held_out(id_col):
     """True for documents that are not learned from: crc32 of the id as text, mod 5, is 0."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -72,18 +72,19 @@ def majority_bits(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp``: the 64-bit fingerprint of every whole text, as a signed long."""
+    """``doc_id, tag, fp``: the 64-bit fingerprint of every whole text, as a signed
+    long; ``tag`` is a hash of the text, which tells rows with equal ids apart."""
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(1).cast(pa.large_binary())
             found = [majority_bits(shingle_hashes(t.as_py() or b"", words)) for t in raw]
             fps = pa.array(np.array(found, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), fps], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), fps], ["doc_id", "tag", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        make, "doc_id long, fp long"
-    )
+    text = F.col(f"`{text_col}`").cast("string")
+    given = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tag"))
+    return given.mapInArrow(make, "doc_id long, tag long, fp long")
 
 
 def _long(bits: int):
@@ -156,7 +157,8 @@ def grid_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, words: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id, fp, component_id``: the smallest doc_id reachable over links of at most ``max_bits`` bits."""
+    """``doc_id, tag, fp, group, component_id`` per row: ``component_id`` is the smallest
+    doc_id reachable over links of at most ``max_bits`` bits, ``group`` the group's own name."""
     rows = frozen(fingerprints(docs, words, id_col, text_col))
     # one node per fingerprint; doc_ids come back only at the end
     nodes = frozen(rows.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumnRenamed("fp", "id"))
@@ -169,8 +171,26 @@ def near_duplicates(
     merged = component_ids(between.distinct()).withColumnRenamed("id", "grp")
     labelled = nodes.join(merged, "grp", "left").select("id", "least", F.coalesce("component", "grp").alias("_c"))
     least = labelled.groupBy("_c").agg(F.min("least").alias("component_id"))
-    named = labelled.join(least, "_c").select(F.col("id").alias("fp"), "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = labelled.join(least, "_c").select(F.col("id").alias("fp"), F.col("_c").alias("group"), "component_id")
+    return rows.join(named, "fp").select("doc_id", "tag", "fp", "group", "component_id")
+
+
+def one_per_group(
+    docs: DataFrame, words: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: that with the smallest id
+    (of rows without an id, that with the smallest text hash)."""
+    found = near_duplicates(docs, words, max_bits, id_col, text_col)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("first")
+    kept = found.groupBy("group").agg(first).select(F.col("first.doc_id").alias("_i"), F.col("first.tag").alias("_t"))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{id_col}`").cast("long").alias("_id"),
+        F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("_tag"),
+    )
+    met = rows.join(kept, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_tag") == F.col("_t")))
+    nth = F.row_number().over(Window.partitionBy("_id", "_tag").orderBy(F.xxhash64("row")))  # repeated rows
+    return met.withColumn("_n", nth).where("_n = 1").select("row.*")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
