@@ -29,6 +29,7 @@ PLAINTEXT = "plaintext"
 COMPAT_MD5_RE = r"^[0-9a-fA-F]{32}\z"
 COMPAT_SHA1_RE = r"^[0-9a-fA-F]{40}\z"
 COMPAT_BCRYPT_RE = r"^\$2[aby]\$"
+COMPAT_NAMES = ("md5", "sha1", "bcrypt", PLAINTEXT)
 
 SCHEMES = (
     "bcrypt",

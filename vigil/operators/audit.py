@@ -12,11 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.functions.classify import SCHEMES
+from vigil.functions.classify import COMPAT_NAMES, SCHEMES
 from vigil.operators.protect import PROTECTED_SCHEMA, RECORD_KEY
 
 DIGEST_RE = r"^[0-9a-f]{64}\z"
-COMPAT_SCHEMES = ("md5", "sha1", "bcrypt", "plaintext")
 # Load-rate grades in minutes per million rows.
 GOOD_MAX_MIN = 30.0
 ACCEPTABLE_MAX_MIN = 40.0
@@ -40,7 +39,7 @@ def constraint_audit(records: DataFrame, key: Sequence[str] = RECORD_KEY) -> Dat
             (F.col("p2") == F.substring(idd, 1, 2)) & (F.col("p4") == F.substring(idd, 1, 4)), F.lit(False)
         ),
         "n_bad_hash_flag": ~F.coalesce(F.col("is_hash") == (F.col("hash_type") != "plaintext"), F.lit(False)),
-        "n_unknown_scheme": ~F.coalesce(F.col("hash_type").isin(*sorted(set(SCHEMES) | set(COMPAT_SCHEMES))), F.lit(False)),
+        "n_unknown_scheme": ~F.coalesce(F.col("hash_type").isin(*sorted(set(SCHEMES) | set(COMPAT_NAMES))), F.lit(False)),
     }
     per_key = records.groupBy(*key).agg(
         F.count(F.lit(1)).alias("_c"), *[F.count_if(v).alias(n) for n, v in checks.items()]
@@ -88,9 +87,9 @@ def schema_audit(df: DataFrame, expected: T.StructType = PROTECTED_SCHEMA) -> Da
 
 
 def minutes_per_million(loaded: F.Column, elapsed_ms: F.Column) -> F.Column:
-    """Elapsed minutes per million rows, one decimal; 0 when nothing loaded."""
+    """Elapsed minutes per million rows; 0 when nothing loaded."""
     rate = (elapsed_ms / F.lit(60000.0)) / (loaded / F.lit(1e6))
-    return F.when(loaded > 0, F.round(rate, 1)).otherwise(F.lit(0.0))
+    return F.when(loaded > 0, rate).otherwise(F.lit(0.0))
 
 
 def grade(rate: F.Column) -> F.Column:
@@ -102,13 +101,16 @@ def grade(rate: F.Column) -> F.Column:
 
 
 def run_grades(metrics: DataFrame) -> DataFrame:
-    """``run_metric`` rows -> rate, grade and alert flag (AUD-03, AGG-03)."""
+    """``run_metric`` rows -> rate, grade and alert flag (AUD-03, AGG-03).
+
+    Grade and alert follow the exact rate; the shown rate has one decimal.
+    """
     rate = minutes_per_million(F.col("loaded"), F.col("elapsed_ms"))
-    return metrics.withColumn("min_per_million", rate).select(
+    return metrics.withColumn("_rate", rate).select(
         *metrics.columns,
-        "min_per_million",
-        grade(F.col("min_per_million")).alias("grade"),
-        (F.col("min_per_million") > ALERT_ABOVE_MIN).alias("alert"),
+        F.round("_rate", 1).alias("min_per_million"),
+        grade(F.col("_rate")).alias("grade"),
+        (F.col("_rate") > ALERT_ABOVE_MIN).alias("alert"),
     )
 
 

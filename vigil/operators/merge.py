@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.protect import RECORD_KEY
+from vigil.operators.dedupe import one_per_key
 
 
 def union_roots(roots: Sequence[DataFrame]) -> DataFrame:
@@ -18,12 +18,6 @@ def union_roots(roots: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), roots)
 
 
-def merge_roots(roots: Sequence[DataFrame], key: Sequence[str] = RECORD_KEY) -> DataFrame:
+def merge_roots(roots: Sequence[DataFrame]) -> DataFrame:
     """Each key once, with ``copies`` = number of rows across all roots."""
-    key = list(key)
-    u = union_roots(roots)
-    rest = [c for c in u.columns if c not in key]
-    return u.groupBy(*key).agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in rest],
-        F.count(F.lit(1)).alias("copies"),
-    )
+    return one_per_key(union_roots(roots), F.count(F.lit(1)).alias("copies"))
