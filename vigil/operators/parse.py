@@ -6,7 +6,8 @@ Two modes:
   applied through a size-checked broadcast join; control characters are
   stripped, fields split and trimmed, and each line is accepted or counted
   under ``field_count`` / ``empty_field`` / ``oversize``.  Lines of rejected
-  or undetectable files are counted under the file's status.
+  or undetectable files are counted under the file's status, lines of files
+  without any layout under ``no_layout``.
 * :func:`parse_first_colon` - split at the first ``:``; the secret keeps its
   raw text; lines without a separator or without ``@`` are counted.
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.functions.paths import plain_path
 from vigil.functions.text import js_trim, lower_trim, strip_controls, utf16_length
 from vigil.operators.layout import LAYOUT_OK, RECORD2_FIELDS, UNDETECTABLE
 from vigil.operators.sizing import DEFAULT_MAX_BROADCAST_BYTES, materialise
@@ -39,13 +41,16 @@ PARSED_COLUMNS = ["source", "block", "seq", "ident", "secret", "scope", "reason"
 
 
 def _oversize(ident: F.Column, secret: F.Column, source: F.Column, limit: int) -> F.Column:
-    # UTF-16 units (what the limit counts) never exceed UTF-8 bytes, so the
-    # exact UTF-16 count is only computed for the few rows above the byte bound.
+    # UTF-16 units (what the limit counts) never exceed UTF-8 bytes, and a path
+    # is never longer than its encoded URI, so the exact count is only computed
+    # for the few rows above the byte bound.
     octets = F.octet_length(ident) + F.octet_length(secret) + F.octet_length(source)
-    units = utf16_length(ident) + utf16_length(secret) + utf16_length(source)
+    units = utf16_length(ident) + utf16_length(secret) + utf16_length(plain_path(source))
     return F.when(octets <= limit, F.lit(False)).otherwise(units > limit)
 
 
+# The status of lines whose file has no layout row (it came after the layout pass).
+NO_LAYOUT = "no_layout"
 # Packed layout code = status index * 8 + delimiter index * 2 + id-first bit.
 STATUS_CODES = (LAYOUT_OK, RECORD2_FIELDS, UNDETECTABLE)
 DELIM_CODES = (":", ";", " ")
@@ -59,7 +64,9 @@ def _packed(layout: DataFrame) -> F.Column:
 
 
 def _unpacked(code: F.Column) -> list[F.Column]:
-    status = F.element_at(F.array(*[F.lit(x) for x in STATUS_CODES]), F.shiftright(code, 3) + 1)
+    named = F.element_at(F.array(*[F.lit(x) for x in STATUS_CODES]), F.shiftright(code, 3) + 1)
+    # asked of the code itself: Spark takes an element of such an array to be never null
+    status = F.when(code.isNull(), F.lit(NO_LAYOUT)).otherwise(named)
     delim = F.element_at(F.array(*[F.lit(x) for x in DELIM_CODES]), F.shiftright(code, 1).bitwiseAND(3) + 1)
     return [
         F.when(status == LAYOUT_OK, delim).alias("delim"),
@@ -68,19 +75,21 @@ def _unpacked(code: F.Column) -> list[F.Column]:
     ]
 
 
-def layout_side(
+def layout_sides(
     layout: DataFrame,
     max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
     skip_header: bool = False,
     hash_key: bool = True,
-) -> tuple[DataFrame, str]:
-    """Compact, measured per-file layout table for the line join.
+) -> tuple[list[DataFrame], str]:
+    """Compact, measured per-file layout table for the line join, in slices.
 
     Each file becomes ``(xxhash64(path), packed layout int)``: about 24 bytes,
     so millions of files still fit a broadcast.  The hash is used as the key
     only after checking, in the same job that measures the table, that it is
     unique over the files present; a collision falls back to the path key.
-    Returns the (possibly broadcast-hinted) side and the join key name.
+    A table above the bound is cut into slices under it, each broadcast, so
+    that a line of clear text is never shuffled to meet its layout.
+    Returns the slices and the join key's name.
     """
     header = (
         [F.col("header_at.block").alias("_hb"), F.col("header_at.seq").alias("_hs")] if skip_header else []
@@ -95,21 +104,13 @@ def layout_side(
     ).head()
     extra = ["_hb", "_hs"] if skip_header else []
     if hash_key and st["n"] == st["n_fid"]:
-        side, key, size = full.select("_fid", "_code", *extra), "_fid", st["n"] * 8 * (3 + len(extra))
+        key, size = "_fid", st["n"] * 8 * (3 + len(extra))
     else:
-        side, key = full.select("source", "_code", *extra), "source"
-        size = st["n"] * 8 * (4 + len(extra)) + st["path_bytes"]
-    if size <= max_broadcast_bytes:
-        return F.broadcast(side), key
-    # Shuffle-join fallback: replicate each file's compact row over SALTS
-    # salts, so the lines of one very large file spread over SALTS join
-    # partitions (AQE can split further) instead of landing in one.
-    salted = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted, key
-
-
-# Fixed value: salts of the shuffle-join fallback (the side grows by this factor).
-SALTS = 16
+        key, size = "source", st["n"] * 8 * (4 + len(extra)) + st["path_bytes"]
+    n = max(1, -(-size // max(1, max_broadcast_bytes)))
+    n = min(n, max(1, st["n"]))
+    sides = [full] if n == 1 else [full.where(F.pmod(F.col("_fid"), F.lit(n)) == k) for k in range(n)]
+    return [F.broadcast(s.select(key, "_code", *extra)) for s in sides], key
 
 
 def parse_detected(
@@ -129,13 +130,15 @@ def parse_detected(
     the silent reason ``blank`` when ``keep_blank`` (so a file of blank
     lines still shows up in a manifest).
     """
-    side, key = layout_side(layout, max_broadcast_bytes, skip_header, hash_key)
-    keyed = lines.withColumn("_fid", F.xxhash64("source")) if key == "_fid" else lines
-    if "_salt" in side.columns:
-        keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64("block", "seq"), F.lit(SALTS)).cast("int"))
-        j = keyed.join(side, [key, "_salt"])
-    else:
-        j = keyed.join(side, key)
+    sides, key = layout_sides(layout, max_broadcast_bytes, skip_header, hash_key)
+    j = lines.withColumn("_fid", F.xxhash64("source"))
+    found = ["_code", *(["_hb", "_hs"] if skip_header else [])]
+    for k, side in enumerate(sides):
+        named = side.select(F.col(key).alias("_key"), *[F.col(c).alias(f"{c}{k}") for c in found])
+        # the broadcast hint survives the renaming; a file is in one slice at most
+        j = j.join(F.broadcast(named), F.col(key) == F.col("_key"), "left").drop("_key")
+    for c in found:
+        j = j.withColumn(c, F.coalesce(*[F.col(f"{c}{k}") for k in range(len(sides))]))
     if skip_header:
         is_header = (F.col("block") == F.col("_hb")) & (F.col("seq") == F.col("_hs"))
         j = j.where(~F.coalesce(is_header, F.lit(False)))
@@ -215,15 +218,6 @@ def counted_reject(reason: F.Column) -> F.Column:
     return reason.isNotNull() & (reason != F.lit(BLANK))
 
 
-def reject_counts(parsed: DataFrame) -> DataFrame:
-    """``rejects`` sink rows: ``(source, scope, reason, n)``; no line text."""
-    return (
-        parsed.where(counted_reject(F.col("reason")))
-        .groupBy("source", "scope", "reason")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
 def outcome_counts(parsed: DataFrame) -> DataFrame:
     """Accepted and rejected counts per source: ``(source, scope, reason, n)``
     with ``reason = 'accepted'`` for loaded lines (AGG-02).  A parse run with

@@ -9,6 +9,7 @@ large file is read by many tasks; gzip files do not split.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,7 @@ def list_files(
     glob: str = TXT_ANY_CASE,
     recursive: bool = True,
 ) -> DataFrame:
-    """``(source, length, modified)`` of matching files; contents are not read
+    """``(source, path, length, modified)`` of matching files with content; contents are not read
     (the binary-file source prunes the ``content`` column).  ``source`` is
     ``_metadata.file_path``, the same URI form :func:`read_lines` yields, so
     listings and loaded sources compare equal (the plain ``path`` column
@@ -58,6 +59,28 @@ def list_files(
         reader = reader.option("recursiveFileLookup", "true")
     return reader.load(_paths(paths)).select(
         F.col("_metadata.file_path").alias("source"),
+        F.col("path"),
         F.col("length"),
         F.col("modificationTime").alias("modified"),
     )
+
+
+def empty_files(
+    spark: SparkSession, paths: str | Sequence[str], glob: str = TXT_ANY_CASE, recursive: bool = True
+) -> DataFrame:
+    """``(source)`` of matching files of zero bytes, which no scan hands out.
+
+    The names come from Spark's own file index, which the driver holds anyway.
+    """
+    reader = spark.read.option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    # the index writes file:///a where scans write file:/a
+    files = [re.sub("^file:///", "file:/", f) for f in reader.text(_paths(paths)).inputFiles()]
+    names = spark.createDataFrame([(f,) for f in files], "source string")
+    return names.join(list_files(spark, paths, glob, recursive).select("source"), "source", "left_anti")
+
+
+def literal_path(path: str) -> str:
+    """``path`` with glob characters escaped, for a reader that expands globs."""
+    return re.sub(r"([\\*?\[\]{},])", r"\\\1", path)
