@@ -20,13 +20,18 @@ from pyspark.sql import types as T
 
 from vigil.operators import audit
 from vigil.operators.dedupe import insert_if_absent
-from vigil.operators.parse import counted_reject, parse_detected, parse_first_colon
+from vigil.operators.layout import UNDETECTABLE
+from vigil.operators.parse import BLANK, SCOPE_FILE, counted_reject, parse_detected, parse_first_colon
 from vigil.operators.protect import Keys, protect_outcomes, records_of
 from vigil.operators.sizing import materialise
 from vigil.plans.parse_protect import detected
-from vigil.sinks.shards import write_protected, write_table
-from vigil.sources.shards import read_protected
-from vigil.sources.text_files import TXT_ANY_CASE, list_files, read_lines
+from vigil.sinks.shards import write_batch, write_table
+from vigil.sources.shards import read_batches, read_protected
+from vigil.sources.text_files import TXT_ANY_CASE, empty_files, list_files, literal_path, read_lines
+
+# A file's status: a rejected file was read and could not be loaded as a whole.
+NEW, IN_PROGRESS, DONE, REJECTED = "new", "in-progress", "done", "rejected"
+PROCESSED = (DONE, REJECTED)
 
 MODES = ("detected", "first_colon")
 
@@ -60,15 +65,29 @@ def read_rejects(spark: SparkSession, out: "Outputs") -> DataFrame:
     return spark.read.schema(REJECT_SCHEMA).parquet(out.rejects)
 
 
+VERSION_SCHEMA = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("through_batch", T.LongType()),
+        T.StructField("maintained_at", T.TimestampType()),
+    ]
+)
+
+
 @dataclass(frozen=True)
 class Outputs:
-    """Locations of one dataset's tables under a shared root."""
+    """Locations of one dataset's tables under a shared root.
+
+    Records live in numbered versions; maintenance writes the next one and
+    then adds a row to ``versions``, which loads and readers follow.
+    """
 
     root: str
 
     @property
     def records(self) -> str:
-        return f"{self.root}/records"
+        """The first version; see ``records_path`` for the current one."""
+        return self.records_of(0)
 
     @property
     def rejects(self) -> str:
@@ -82,6 +101,30 @@ class Outputs:
     def metrics(self) -> str:
         return f"{self.root}/run_metrics"
 
+    @property
+    def versions(self) -> str:
+        return f"{self.root}/versions"
+
+    def records_of(self, version: int) -> str:
+        return f"{self.root}/records" if version == 0 else f"{self.root}/records-v{version}"
+
+
+def latest_version(spark: SparkSession, out: Outputs) -> tuple[int, int, object]:
+    """(version, last batch that maintenance covered, when): (0, -1, None) before any maintenance."""
+    if not path_exists(spark, out.versions):
+        return 0, -1, None
+    row = spark.read.schema(VERSION_SCHEMA).parquet(out.versions).orderBy(F.col("version").desc()).head()
+    return (0, -1, None) if row is None else (row["version"], row["through_batch"], row["maintained_at"])
+
+
+def records_path(spark: SparkSession, out: Outputs) -> str:
+    """Where the current version's records are."""
+    return out.records_of(latest_version(spark, out)[0])
+
+
+def current_records(spark: SparkSession, out: Outputs) -> DataFrame:
+    return read_protected(spark, records_path(spark, out))
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -109,6 +152,28 @@ def parse_lines(
     return parse_detected(lines, layout, skip_header=skip_header, keep_blank=True)
 
 
+def _claim(spark: SparkSession, out: Outputs, files: DataFrame, batch_id: int) -> None:
+    """Mark ``files`` (source) as in progress under ``batch_id``.
+
+    A batch id names one set of files for ever: the same set may be tried again,
+    another one is refused, since its rows would replace the first set's.
+    """
+    if path_exists(spark, out.manifest):
+        known = read_manifest(spark, out).where(F.col("batch_id") == batch_id).select("source")
+        other = known.exceptAll(files).unionAll(files.exceptAll(known))
+        if known.limit(1).count() and other.limit(1).count():
+            raise ValueError(f"batch id {batch_id} already belongs to other files")
+    _write_manifest(files.select("source", F.lit(IN_PROGRESS).alias("status"), F.lit(0).alias("loaded"), F.lit(0).alias("rejected")), out, batch_id)
+
+
+def _write_manifest(rows: DataFrame, out: Outputs, batch_id: int) -> None:
+    typed = rows.select(
+        "source", "status", F.col("loaded").cast("bigint").alias("loaded"), F.col("rejected").cast("bigint").alias("rejected"),
+        F.current_timestamp().alias("committed_at"), F.lit(batch_id).cast("bigint").alias("batch_id"),
+    )
+    write_table(typed, out.manifest, partition="batch_id")
+
+
 def load_outcomes(
     spark: SparkSession,
     lines: DataFrame,
@@ -120,46 +185,74 @@ def load_outcomes(
     compat: bool = False,
     skip_header: bool = False,
     layout: DataFrame | None = None,
+    without_lines: DataFrame | None = None,
 ) -> DataFrame:
     """Parse, protect and load one batch of lines; returns the manifest rows.
 
     ``compat=True`` protects with the compatibility normaliser and classifier.
+    ``without_lines`` (source) names files of the batch that have no line.
 
-    Idempotent per ``batch_id``: records are inserted only if absent, and
-    reject and manifest rows replace the batch's own partition.
+    Exactly once per ``batch_id``, with and without ``dedupe``: the batch's
+    files are marked in progress first, its records, rejects and manifest rows
+    replace the batch's own partitions, and the manifest says ``done`` (or
+    ``rejected``, for a file that could not be read as a whole) last.
     """
     outcomes = materialise(protect_outcomes(parse_lines(lines, mode, skip_header, layout), keys, compat=compat))
+    per_file = outcomes.groupBy("source").agg(
+        F.count_if(F.col("reason").isNull()).alias("loaded"),
+        F.count_if(counted_reject(F.col("reason"))).alias("rejected"),
+        F.max(F.when(F.col("scope") == SCOPE_FILE, F.coalesce(F.nullif("reason", F.lit(BLANK)), F.lit(UNDETECTABLE)))).alias("failed"),
+    )
+    if without_lines is not None:
+        failed = F.lit(UNDETECTABLE) if mode == "detected" else F.lit(None).cast("string")
+        none = F.lit(0).cast("bigint")
+        per_file = per_file.unionByName(
+            without_lines.select("source", none.alias("loaded"), none.alias("rejected"), failed.alias("failed"))
+        )
+    per_file = materialise(per_file)
+    _claim(spark, out, per_file.select("source"), batch_id)
+
     records = records_of(outcomes)
+    path = records_path(spark, out)
     if dedupe:
-        target = read_protected(spark, out.records) if path_exists(spark, out.records) else None
-        records = insert_if_absent(records, target)
-    write_protected(records, out.records)
-    rejects = (
+        # what an earlier try of this batch has written is replaced, not kept
+        stored = read_batches(spark, path) if path_exists(spark, path) else None
+        others = None if stored is None else stored.where(F.col("batch_id") != batch_id).drop("batch_id")
+        records = insert_if_absent(records, others)
+        if others is not None:
+            records = materialise(records)  # the target is not read while it is written
+    write_batch(records, path, batch_id)
+
+    counted = (
         outcomes.where(counted_reject(F.col("reason")))
         .groupBy("source", "scope", "reason")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     )
-    write_table(rejects, out.rejects, partition="batch_id")
-    manifest = (
-        outcomes.groupBy("source")
-        .agg(
-            F.count_if(F.col("reason").isNull()).alias("loaded"),
-            F.count_if(counted_reject(F.col("reason"))).alias("rejected"),
-        )
-        .select(
-            "source",
-            F.lit("done").alias("status"),
-            "loaded",
-            "rejected",
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-            F.current_timestamp().alias("committed_at"),
-        )
+    # a file that failed as a whole without a line to count still gets its row
+    silent = per_file.where((F.col("rejected") == 0) & F.col("failed").isNotNull()).select(
+        "source", F.lit(SCOPE_FILE).alias("scope"), F.col("failed").alias("reason"), F.lit(0).cast("bigint").alias("n")
     )
-    write_table(manifest, out.manifest, partition="batch_id")
+    rejects = counted.unionByName(silent).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    write_table(rejects, out.rejects, partition="batch_id")
+    status = F.when(F.col("failed").isNotNull(), F.lit(REJECTED)).otherwise(F.lit(DONE))
+    _write_manifest(per_file.select("source", status.alias("status"), "loaded", "rejected"), out, batch_id)
     return read_manifest(spark, out).where(F.col("batch_id") == batch_id)
 
 
+def _unloaded(
+    spark: SparkSession, inputs: str | Sequence[str], out: Outputs, batch_id: int, glob: str
+) -> tuple[list[str] | None, DataFrame]:
+    """(paths of files with content that no other batch has processed, or None for
+    all; such files of zero bytes)."""
+    empty = empty_files(spark, inputs, glob)
+    if not path_exists(spark, out.manifest):
+        return None, empty
+    seen = read_manifest(spark, out).where(F.col("status").isin(*PROCESSED) & (F.col("batch_id") != batch_id)).select("source")
+    files = list_files(spark, inputs, glob=glob).join(seen, "source", "left_anti")
+    # as many names as Spark's own file index holds for the read that follows
+    return [literal_path(r["path"]) for r in files.select("path").toLocalIterator()], empty.join(seen, "source", "left_anti")
+
+
 def ingest_files(
     spark: SparkSession,
     inputs: str | Sequence[str],
@@ -171,27 +264,37 @@ def ingest_files(
     glob: str = TXT_ANY_CASE,
     compat: bool = False,
     skip_header: bool = False,
-    layout_reader: str = "scan",
+    layout_reader: str | None = None,
 ) -> DataFrame:
-    """Load every matching file under ``inputs`` as batch ``batch_id`` and
-    record a run metric (rows, elapsed time, grade).
-
-    ``layout_reader="heads"`` infers layouts by reading only the head of
-    each file instead of a full extra pass over the input (see
-    ``vigil.sources.heads``); it does not support ``skip_header``."""
+    """Load the matching files under ``inputs`` that no earlier batch has
+    processed, as batch ``batch_id``, and record a run metric (rows, elapsed
+    time, grade).  Returns the batch's manifest rows; none if nothing is new.
+
+    ``layout_reader="heads"`` (the default, but for ``skip_header``) infers
+    layouts from the head of each file; ``"scan"`` with a full extra pass over
+    the input (see ``vigil.sources.heads``)."""
+    layout_reader = layout_reader or ("scan" if skip_header else "heads")
     if layout_reader not in LAYOUT_READERS:
         raise ValueError(f"layout_reader must be one of {LAYOUT_READERS}")
+    if layout_reader == "heads" and mode == "detected" and skip_header:
+        raise ValueError("skip_header needs the scan-based layout reader")
+    t0 = time.monotonic()
+    paths, empty = _unloaded(spark, inputs, out, batch_id, glob)
+    if paths is None:
+        lines, files = read_lines(spark, inputs, glob=glob), inputs
+    elif paths:
+        lines, files = read_lines(spark, paths, glob=glob), paths
+    elif empty.limit(1).count():
+        lines, files = spark.createDataFrame([], "source string, block bigint, seq bigint, line string"), []
+    else:
+        return read_manifest(spark, out).where(F.lit(False))
     layout = None
-    if layout_reader == "heads" and mode == "detected":
-        if skip_header:
-            raise ValueError("skip_header needs the scan-based layout reader")
+    if layout_reader == "heads" and mode == "detected" and files:
         from vigil.sources.heads import infer_layout_from_heads
 
-        layout = infer_layout_from_heads(spark, inputs, glob=glob)
-    t0 = time.monotonic()
+        layout = infer_layout_from_heads(spark, files, glob=glob)
     manifest = load_outcomes(
-        spark, read_lines(spark, inputs, glob=glob), out, keys, batch_id, mode, dedupe, compat, skip_header,
-        layout,
+        spark, lines, out, keys, batch_id, mode, dedupe, compat, skip_header, layout, without_lines=empty
     )
     elapsed_ms = int((time.monotonic() - t0) * 1000)
     totals = manifest.agg(
@@ -207,10 +310,37 @@ def ingest_files(
     return manifest
 
 
+def prior_status(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``files`` (source, ...) with ``prior_status``: the manifest's latest word on each, or ``new``."""
+    latest = manifest.groupBy("source").agg(F.max_by("status", "batch_id").alias("_status"))
+    return files.join(latest, "source", "left").select(
+        *files.columns, F.coalesce(F.col("_status"), F.lit(NEW)).alias("prior_status")
+    )
+
+
+def pending(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Files that are not processed yet, with their prior status (JON-01, SET-03)."""
+    return prior_status(files, manifest).where(~F.col("prior_status").isin(*PROCESSED))
+
+
+def progress(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """One row of counts of ``files`` by status (AGG-05)."""
+    status = F.col("prior_status")
+    return prior_status(files, manifest).agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.count_if(status.isin(*PROCESSED)).alias("n_done"),
+        F.count_if(status == IN_PROGRESS).alias("n_in_progress"),
+        F.count_if(~status.isin(*PROCESSED)).alias("n_pending"),
+    )
+
+
 def pending_files(spark: SparkSession, inputs: str | Sequence[str], out: Outputs, glob: str = TXT_ANY_CASE) -> DataFrame:
-    """Candidate files not yet marked ``done`` (JON-01, SET-03)."""
-    files = list_files(spark, inputs, glob=glob)
+    """Candidate files, also those of zero bytes, that no batch has processed."""
+    listed = list_files(spark, inputs, glob=glob).select("source", "length", "modified")
+    empty = empty_files(spark, inputs, glob).select(
+        "source", F.lit(0).cast("bigint").alias("length"), F.lit(None).cast("timestamp").alias("modified")
+    )
+    files = listed.unionByName(empty)
     if not path_exists(spark, out.manifest):
         return files
-    done = read_manifest(spark, out).where(F.col("status") == "done").select("source")
-    return files.join(done, "source", "left_anti")
+    return pending(files, read_manifest(spark, out)).drop("prior_status")

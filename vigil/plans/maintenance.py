@@ -1,7 +1,8 @@
 """Shard maintenance jobs (MNT-01..04, SET-01, SNK-05/06, STR-06).
 
 Every job writes a new output location and never overwrites a path it is
-reading; the caller switches readers to the new location afterwards.
+reading.  ``maintain`` also switches the dataset's readers to it; after the
+other jobs that is the caller's step.
 """
 
 from __future__ import annotations
@@ -13,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators.legacy import protect_legacy
+from vigil.operators.dedupe import one_per_key
 from vigil.operators.merge import union_roots
-from vigil.operators.protect import PROTECTED_COLUMNS, RECORD_KEY, Keys
-from vigil.sinks.shards import write_protected
+from vigil.operators.protect import PROTECTED_COLUMNS, Keys
+from vigil.plans.ingest import Outputs, latest_version, path_exists, read_manifest
+from vigil.sinks.shards import write_batch, write_protected
 from vigil.sources.shards import read_legacy_jsonl, read_protected
 
 
@@ -30,14 +33,14 @@ def dedupe_shards(spark: SparkSession, src: str, dst: str, fmt: str = "parquet")
     a hot key before the exchange."""
     _distinct_paths([src], dst)
     recs = read_protected(spark, src, fmt)
-    write_protected(recs.dropDuplicates(RECORD_KEY), dst, fmt=fmt, mode="errorifexists")
+    write_protected(one_per_key(recs), dst, fmt=fmt, mode="errorifexists")
 
 
 def merge_shard_roots(spark: SparkSession, roots: Sequence[str], dst: str, fmt: str = "parquet", dedupe: bool = True) -> None:
     """Union of several shard roots (SET-01), deduplicated by key (MNT-02)."""
     _distinct_paths(roots, dst)
     u = union_roots([read_protected(spark, r, fmt) for r in roots])
-    write_protected(u.dropDuplicates(RECORD_KEY) if dedupe else u, dst, fmt=fmt, mode="errorifexists")
+    write_protected(one_per_key(u) if dedupe else u, dst, fmt=fmt, mode="errorifexists")
 
 
 def compact(spark: SparkSession, src: str, dst: str, src_fmt: str = "parquet", fmt: str = "parquet", compression: str | None = None) -> None:
@@ -49,13 +52,15 @@ def compact(spark: SparkSession, src: str, dst: str, src_fmt: str = "parquet", f
 
 def protect_legacy_shards(spark: SparkSession, roots: Sequence[str], dst: str, keys: Keys) -> DataFrame:
     """Legacy clear-text JSONL shards -> protected shards (MNT-03, PRJ-11).
-    Returns the malformed-line count ``(reason, n)``."""
+    Returns the malformed-line counts ``(source, scope, reason, n)`` by file."""
     _distinct_paths(roots, dst)
     records, malformed = protect_legacy(read_legacy_jsonl(spark, roots), keys)
     write_protected(records.select(*PROTECTED_COLUMNS), dst, mode="errorifexists")
     return malformed
 
 
+# The batch that a compacted version's records carry.
+COMPACTED = -1
 # Maintenance thresholds (records, files, minutes since the last run).
 MAINTENANCE_RECORDS = 1_000_000
 MAINTENANCE_FILES = 20
@@ -69,21 +74,51 @@ class Thresholds:
     minutes: int = MAINTENANCE_MINUTES
 
 
-def maintenance_due(manifest: DataFrame, since_batch: int, limits: Thresholds = Thresholds()) -> DataFrame:
+def maintenance_due(
+    manifest: DataFrame, since_batch: int, limits: Thresholds = Thresholds(), since_time: object = None
+) -> DataFrame:
     """One row: counters since ``since_batch`` and whether compaction is due
-    (AGG-04, STR-06)."""
+    (AGG-04, STR-06).  A file that was loaded twice counts once; minutes run
+    from ``since_time``, or from the first load if there was no maintenance."""
     recent = manifest.where(F.col("batch_id") > since_batch)
-    t = recent.agg(
+    latest = recent.groupBy("source").agg(F.max_by("loaded", "batch_id").alias("loaded"), F.min("committed_at").alias("committed_at"))
+    start = F.lit(since_time) if since_time is not None else F.min("committed_at")
+    t = latest.agg(
         F.coalesce(F.sum("loaded"), F.lit(0)).cast("bigint").alias("records"),
-        F.count_distinct("source").alias("files"),
-        F.coalesce(
-            (F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(F.min("committed_at"))) / 60.0,
-            F.lit(0.0),
-        ).alias("minutes"),
+        F.count(F.lit(1)).alias("files"),
+        F.when(
+            F.count(F.lit(1)) > 0, (F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp(start)) / 60.0
+        ).otherwise(F.lit(0.0)).alias("minutes"),
     )
     due = (
         (F.col("records") >= limits.records)
         | (F.col("files") >= limits.files)
         | (F.col("minutes") >= limits.minutes)
     )
-    return t.withColumn("due", due)
+    return t.withColumn("due", due & (F.col("files") > 0))
+
+
+def maintain(spark: SparkSession, out: Outputs, limits: Thresholds = Thresholds()) -> bool:
+    """Compact and deduplicate the dataset's records if that is due (STR-06, SNK-06).
+
+    The next version is written to a location of its own; only then a row in
+    ``versions`` makes readers and loads follow it, and marks the batches that
+    it covers.  A run that dies before that leaves the current version as it
+    was, and its leftovers are replaced by the next try.  Run it between loads.
+    """
+    if not path_exists(spark, out.manifest):
+        return False
+    version, since, when = latest_version(spark, out)
+    manifest = read_manifest(spark, out)
+    if not maintenance_due(manifest, since, limits, when).head()["due"]:
+        return False
+    through = manifest.agg(F.max("batch_id")).head()[0]
+    whole = one_per_key(read_protected(spark, out.records_of(version)))
+    write_batch(whole, out.records_of(version + 1), COMPACTED)
+    row = spark.range(1).select(
+        F.lit(version + 1).cast("bigint").alias("version"),
+        F.lit(through).cast("bigint").alias("through_batch"),
+        F.current_timestamp().alias("maintained_at"),
+    )
+    row.write.mode("append").parquet(out.versions)
+    return True

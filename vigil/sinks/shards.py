@@ -10,12 +10,33 @@ one or two directories, and no directory is funnelled through one task.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vigil.operators.protect import PROTECTED_COLUMNS
+from vigil.sources.shards import CSV_DIALECT
 
 FORMATS = ("parquet", "json", "csv")
 
 
+BATCH = "batch_id"
+
+
+def write_batch(records: DataFrame, path: str, batch_id: int) -> None:
+    """Write one batch's records under ``path/p2=xx/batch_id=n/``.
+
+    Only the batch's own directories are replaced, so a batch that is tried
+    again holds its records once, with or without deduplication.
+    """
+    laid = layout_for_write(records).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    (
+        laid.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
+        .partitionBy("p2", BATCH)
+        .parquet(path)
+    )
+
+
 def layout_for_write(records: DataFrame) -> DataFrame:
     return (
         records.select(*PROTECTED_COLUMNS)
@@ -46,9 +67,8 @@ def write_protected(
     else:
         (
             w.option("compression", compression or "none")
-            .option("header", "true")
+            .options(**CSV_DIALECT)
             .option("quoteAll", "true")
-            .option("escape", '"')
             .csv(path)
         )
 

@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.operators.protect import PROTECTED_SCHEMA
+from vigil.operators.protect import PROTECTED_COLUMNS, PROTECTED_SCHEMA
+
+# One dialect for the CSV writer and reader: quotes inside a field are doubled.
+CSV_DIALECT = {"header": "true", "escape": '"'}
 
 # Fixed value: legacy shard files end in ``.jsonl`` or ``.jsonl.gz``.
-JSONL_GLOB = "*.jsonl*"
+JSONL_GLOB = "*.{jsonl,jsonl.gz}"
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
@@ -22,10 +25,19 @@ def read_protected(spark: SparkSession, paths: str | Sequence[str], fmt: str = "
     directory names, typed by the explicit schema)."""
     reader = spark.read.schema(PROTECTED_SCHEMA)
     if fmt == "json":
-        return reader.json(_paths(paths))
-    if fmt == "csv":
-        return reader.option("header", "true").csv(_paths(paths))
-    return reader.parquet(*_paths(paths))
+        found = reader.json(_paths(paths))
+    elif fmt == "csv":
+        found = reader.options(**CSV_DIALECT).csv(_paths(paths))
+    else:
+        found = reader.parquet(*_paths(paths))
+    return found.select(*PROTECTED_COLUMNS)
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Protected records of a loaded dataset with the batch that brought each."""
+    found = spark.read.schema(PROTECTED_SCHEMA).parquet(path)
+    batch = F.col("batch_id") if "batch_id" in found.columns else F.lit(None)
+    return found.select(*PROTECTED_COLUMNS, batch.cast("bigint").alias("batch_id"))
 
 
 def read_legacy_jsonl(spark: SparkSession, roots: str | Sequence[str]) -> DataFrame:

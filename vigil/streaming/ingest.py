@@ -17,13 +17,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.operators.protect import Keys
-from vigil.plans.ingest import Outputs, load_outcomes
+from vigil.functions.paths import partition_value
+from vigil.plans.ingest import Outputs, current_records, latest_version, load_outcomes
+from vigil.plans.maintenance import Thresholds, maintain
 from vigil.plans.roundtrip import write_named_text
 from vigil.session import scratch_path
-from vigil.sources.shards import read_protected
 from vigil.sources.text_files import TXT_ANY_CASE
 
 
+#: Files per micro-batch where neither bound is given.
+FILES_PER_TRIGGER = 10_000
+
+
 def start_ingest(
     spark: SparkSession,
     input_root: str,
@@ -36,6 +41,8 @@ def start_ingest(
     dedupe: bool = True,
     compat: bool = False,
     skip_header: bool = False,
+    max_bytes_per_trigger: str | None = None,
+    limits: Thresholds | None = None,
 ) -> StreamingQuery:
     """Start the ingestion stream.  Without ``processing_time`` it runs as
     ``availableNow`` (drain what is there, then stop).
@@ -43,15 +50,20 @@ def start_ingest(
     ``dedupe=True`` probes the loaded table for every batch (insert if
     absent).  That probe reads the target's key columns once per batch; on
     a very large target, ``dedupe=False`` defers deduplication to the
-    maintenance job (``dedupe_shards``), run when ``maintenance_due`` says
-    so, which amortises one pass over many batches."""
+    maintenance, which amortises one pass over many batches.  With
+    ``limits``, maintenance runs after any batch that crosses them.
+
+    A batch is bounded by ``max_bytes_per_trigger`` (such as ``"200g"``) or by a
+    number of files, also on the first load of a full folder."""
     reader = (
         spark.readStream.format("text")
         .option("pathGlobFilter", TXT_ANY_CASE)
         .option("recursiveFileLookup", "true")
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    else:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger or FILES_PER_TRIGGER))
     stream = reader.load(input_root).select(
         F.col("_metadata.file_path").alias("source"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -64,6 +76,8 @@ def start_ingest(
             batch.sparkSession, lines, out, keys, batch_id,
             mode=mode, dedupe=dedupe, compat=compat, skip_header=skip_header,
         )
+        if limits is not None:
+            maintain(batch.sparkSession, out, limits)
 
     writer = stream.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=processing_time) if processing_time else writer.trigger(availableNow=True)
@@ -102,9 +116,17 @@ def run_available(spark: SparkSession, input_root: str, out: Outputs, checkpoint
         raise RuntimeError(str(q.exception()))
 
 
+def _named(records: DataFrame) -> DataFrame:
+    """Records by the name of their file, since a run's own folder is not part of a result."""
+    name = partition_value(F.col("source"), "name")
+    return records.groupBy(name.alias("name"), "hash_type").agg(
+        F.count(F.lit(1)).alias("n_records"), F.count_distinct("id_digest").alias("n_ids")
+    )
+
+
 def stream_resume_demo(spark: SparkSession, lines: DataFrame, keys: Keys) -> DataFrame:
     """Two arrivals of files and three ``availableNow`` runs against one
-    checkpoint; returns the loaded records (each file loaded once)."""
+    checkpoint; the loaded records (each file loaded once)."""
     root = scratch_path(spark, "stream")
     inbox, out, ckpt = f"{root}/input", Outputs(f"{root}/tables"), f"{root}/checkpoint"
     first = F.col("source").isin("/syn/view.txt", "/syn/click.txt", "/syn/error.txt")
@@ -113,4 +135,25 @@ def stream_resume_demo(spark: SparkSession, lines: DataFrame, keys: Keys) -> Dat
     write_named_text(lines.where(~first), inbox, mode="append")
     run_available(spark, inbox, out, ckpt, keys)
     run_available(spark, inbox, out, ckpt, keys)
-    return read_protected(spark, out.records)
+    return _named(current_records(spark, out))
+
+
+def replay_demo(spark: SparkSession, lines: DataFrame, keys: Keys) -> DataFrame:
+    """One batch loaded twice without deduplication: its rows are there once."""
+    out = Outputs(scratch_path(spark, "replay"))
+    for _ in range(2):
+        load_outcomes(spark, lines, out, keys, batch_id=7, dedupe=False)
+    return current_records(spark, out).groupBy("source", "hash_type").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+def maintained_demo(spark: SparkSession, lines: DataFrame, keys: Keys) -> DataFrame:
+    """Two batches without deduplication, each followed by maintenance that
+    only the second makes due; readers then see the compacted version."""
+    out = Outputs(scratch_path(spark, "maintained"))
+    some = F.col("source").isin("/syn/view.txt", "/syn/click.txt")
+    limits = Thresholds(records=1 << 40, files=3, minutes=1 << 20)
+    for batch_id, part in enumerate((lines.where(some), lines.where(~some))):
+        load_outcomes(spark, part, out, keys, batch_id, dedupe=False)
+        maintain(spark, out, limits)
+    version = F.lit(latest_version(spark, out)[0]).cast("bigint")
+    return current_records(spark, out).groupBy("source", version.alias("version")).agg(F.count(F.lit(1)).alias("n_records"))
