@@ -40,6 +40,13 @@ def _read_digests(spark: SparkSession, path: str, column: str) -> DataFrame:
     return spark.read.parquet(path).select(column)
 
 
+def _k(text: str) -> int:
+    k = int(text)
+    if k < 2:
+        raise argparse.ArgumentTypeError("must be 2 or more")
+    return k
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="vigil")
     p.add_argument("--master", help="Spark master for local runs (omit under spark-submit)")
@@ -111,7 +118,7 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("range", help="k-anonymous range lookup for 4-hex prefixes")
     s.add_argument("--records", required=True)
     s.add_argument("--prefixes", required=True, help="parquet or .csv with a prefix column")
-    s.add_argument("--k", type=int, default=2)
+    s.add_argument("--k", type=_k, default=2, help="identifiers a bucket must hold, at least 2")
     s.add_argument("--output", required=True)
     s.add_argument("--output-format", choices=("parquet", "csv"), default="csv")
 
@@ -151,6 +158,8 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         )
         if a.stop_file:
             run_until_stopped(spark, q, a.stop_file)
+            if q.exception() is not None:
+                raise q.exception()
         else:
             q.awaitTermination()
     elif c == "pending":

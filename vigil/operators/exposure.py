@@ -3,7 +3,7 @@ PRJ-09).  Inputs and outputs hold digests and counts only."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.operators.sizing import DEFAULT_MAX_BROADCAST_BYTES, materialise
@@ -32,20 +32,14 @@ def shard_histogram(records: DataFrame) -> DataFrame:
 
 
 P2_DIRS = 256
-
-
-def shard_dirs(digests: DataFrame) -> list[str] | None:
-    """Distinct ``p2`` values of a (small, materialised) digest table, for a
-    static partition filter.  The list has at most 256 two-hex entries by
-    construction; ``None`` when every directory is touched anyway."""
-    vals = sorted(r[0] for r in digests.select("p2").distinct().collect() if r[0] is not None)
-    return None if len(vals) >= P2_DIRS else vals
+# Requested digests or shard keys up to this number go into the scan's filter as a list.
+PUSHED_VALUES = 1000
 
 
 def measured_digests(df: DataFrame, max_bytes: int) -> tuple[DataFrame, bool, list[str] | None]:
     """Materialise a small digest table and, in one aggregate job, measure
     it and collect its ``p2`` directories (a set of at most 256 values).
-    Returns (table, fits the broadcast bound, directories or None)."""
+    Returns (table, fits the broadcast bound, directories or None if all)."""
     m = materialise(df)
     var = [c for c in m.columns if c != "p2"]
     row = m.agg(
@@ -58,6 +52,20 @@ def measured_digests(df: DataFrame, max_bytes: int) -> tuple[DataFrame, bool, li
     return m, size <= max_bytes, (None if len(dirs) >= P2_DIRS else dirs)
 
 
+def _scoped(records: DataFrame, wanted: DataFrame, column: str, dirs: list[str] | None) -> DataFrame:
+    """``records`` with static filters for the scan: the shard directories of
+    what is ``wanted`` and, if it has few values of ``column``, these too (files
+    are sorted by shard key and digest, so row groups are skipped)."""
+    if dirs is not None:
+        records = records.where(F.col("p2").isin(dirs))
+    few = [r[0] for r in wanted.select(column).limit(PUSHED_VALUES + 1).collect()]
+    if len(few) <= PUSHED_VALUES:
+        records = records.where(F.col(column).isin(few))
+        if column == "id_digest":
+            records = records.where(F.col("p4").isin(sorted({v[:4] for v in few})))
+    return records
+
+
 def exposure_check(
     records: DataFrame,
     watchlist: DataFrame,
@@ -66,9 +74,8 @@ def exposure_check(
     """For each watched ``id_digest``: records, sources, schemes, exposed flag.
 
     A watchlist within the broadcast bound filters the records first with a
-    broadcast semi join on ``(p2, id_digest)``; on ``p2``-partitioned shards
-    this lets dynamic partition pruning skip directories no watched digest
-    falls in.  A larger watchlist takes the shuffle path, with the records
+    broadcast semi join; its shard directories and, if they are few, the digests
+    themselves are static filters of the scan.  A larger watchlist takes the shuffle path, with the records
     pre-aggregated per (digest, source, scheme) first so that an identifier
     in a third of all rows reaches the exchange as a handful of rows.
     """
@@ -77,9 +84,7 @@ def exposure_check(
         max_broadcast_bytes,
     )
     if small:
-        watched = records.join(F.broadcast(wl), ["p2", "id_digest"], "left_semi")
-        if touched is not None:
-            watched = watched.where(F.col("p2").isin(touched))
+        watched = _scoped(records, wl, "id_digest", touched).join(F.broadcast(wl), ["p2", "id_digest"], "left_semi")
         per = watched.groupBy("id_digest", "source", "hash_type").agg(F.count(F.lit(1)).alias("_n"))
     else:
         per = records.groupBy("id_digest", "source", "hash_type").agg(F.count(F.lit(1)).alias("_n"))
@@ -111,30 +116,31 @@ def prefix_range(
     the bucket holds at least ``k`` distinct identifiers; otherwise a single
     row with ``suppressed = true`` and no suffix or count.
     """
+    if k < 2:
+        raise ValueError("k must be 2 or more: smaller values would switch suppression off")
     req, small, touched = measured_digests(
         prefixes.select(F.lower(F.col("prefix")).alias("p4")).distinct().withColumn("p2", F.substring("p4", 1, 2)),
         max_broadcast_bytes,
     )
-    req = F.broadcast(req) if small else req
-    scoped = records.where(F.col("p2").isin(touched)) if touched is not None else records
-    hits = (
-        scoped.join(req, ["p2", "p4"], "left_semi")
+    scoped = _scoped(records, req, "p4", touched)
+    side = F.broadcast(req) if small else req
+    hits = materialise(
+        scoped.join(side, ["p2", "p4"], "left_semi")
         .groupBy("p4", "id_digest")
         .agg(F.count(F.lit(1)).alias("n_records"))
     )
-    # One marker row per requested prefix joins the aggregated hits, so a
-    # single window over p4 decides both the shown rows and the suppressed
-    # prefixes (buckets are small: digests spread evenly over 65,536 keys).
-    markers = req.select(
-        "p4", F.lit(None).cast("string").alias("id_digest"), F.lit(None).cast("bigint").alias("n_records")
-    )
-    sized = hits.unionByName(markers).withColumn(
-        "_ids", F.count("id_digest").over(Window.partitionBy("p4"))
+    # One count per requested prefix: joined back, not a window over a bucket
+    # (the 65,536 buckets grow with the data).
+    counts = hits.groupBy("p4").agg(F.count(F.lit(1)).alias("_ids"))
+    counts = req.select("p4").join(counts, "p4", "left").select("p4", F.coalesce("_ids", F.lit(0)).alias("_ids"))
+    counts = F.broadcast(counts) if small else counts
+    shown_rows = hits.join(counts.where(F.col("_ids") >= k), "p4")
+    hidden = counts.where(F.col("_ids") < k).select(
+        "p4", F.lit(None).cast("string").alias("id_digest"), F.lit(None).cast("bigint").alias("n_records"), "_ids"
     )
+    sized = shown_rows.unionByName(hidden)
     shown = F.col("_ids") >= k
-    return sized.where(
-        (F.col("id_digest").isNotNull() & shown) | (F.col("id_digest").isNull() & ~shown)
-    ).select(
+    return sized.select(
         F.col("p4").alias("prefix"),
         F.when(shown, F.substring("id_digest", 5, 60)).alias("suffix"),
         F.when(shown, F.col("n_records")).alias("n_records"),

@@ -84,9 +84,10 @@ def protect(
     )
 
 
-def protect_outcomes(parsed: DataFrame, keys: Keys, compat: bool = False) -> DataFrame:
+def protect_outcomes(parsed: DataFrame, keys: Keys, compat: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Every parsed line as digest-only columns: accepted lines carry their
-    digests and scheme, rejected lines only ``scope``/``reason``.
+    digests and scheme, rejected lines only ``scope``/``reason``; ``keep``
+    names further columns, free of clear text, that stay.
 
     The result holds no clear text, so it may be checkpointed, letting one
     parse feed both the record sink and the reject/manifest counts.
@@ -95,7 +96,7 @@ def protect_outcomes(parsed: DataFrame, keys: Keys, compat: bool = False) -> Dat
     if "scope" not in parsed.columns:
         parsed = parsed.withColumn("scope", F.lit("line"))
     staged = parsed.select(
-        "source", "scope", "reason",
+        "source", "scope", "reason", *keep,
         F.when(ok, (normalise_compat if compat else normalise_identifier)(F.col("ident"))).alias("_norm"),
         F.when(ok, F.col("secret")).alias("_secret"),
         F.when(ok, F.col("secret") if compat else js_trim(F.col("secret"))).alias("_pw"),
@@ -105,10 +106,10 @@ def protect_outcomes(parsed: DataFrame, keys: Keys, compat: bool = False) -> Dat
         staged, [("id_digest", "_norm", keys.identifier), ("secret_digest", "_secret", keys.secret)]
     )
     digested = hashed.select(
-        "source", "scope", "reason", "id_digest", "secret_digest", F.when(ok, scheme).alias("hash_type")
+        "source", "scope", "reason", *keep, "id_digest", "secret_digest", F.when(ok, scheme).alias("hash_type")
     )
     return digested.select(
-        "source", "scope", "reason", "id_digest", "secret_digest",
+        "source", "scope", "reason", *keep, "id_digest", "secret_digest",
         is_hash(F.col("hash_type")).alias("is_hash"),
         "hash_type",
         F.substring("id_digest", 1, 2).alias("p2"),
