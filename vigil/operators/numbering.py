@@ -1,23 +1,40 @@
 """Dense 1-based numbering within groups without a one-task-per-group window.
 
 A plain ``row_number() OVER (PARTITION BY g ORDER BY k)`` sorts a whole group
-in one task, so one hot group serialises the job.  Here rows are cut into
-buckets of ``2**bucket_bits`` consecutive order-key values; each bucket is
-numbered by its own window (bounded size), and a prefix sum over the small
-per-bucket count table supplies each bucket's offset.  The join back reuses
-the bucket partitioning of the numbered side.
+in one task, so one hot group serialises the job.  Here the order key is cut
+at quantiles into as many ranges as the session has shuffle partitions; each
+(group, range) is numbered by its own window, and a prefix sum over the count
+table - groups x ranges rows at most, however sparse the keys - supplies each
+range's offset.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# 2**14 order-key values per bucket: window groups stay small and many, and
-# the per-bucket count table stays a tiny fraction of the input.
-DEFAULT_BUCKET_BITS = 14
+
+def quantile_bounds(df: DataFrame, key: str, ranges: int) -> list[int]:
+    """At most ``ranges - 1`` ascending cuts of an integral column, about evenly filled."""
+    if ranges < 2:
+        return []
+    at = [i / ranges for i in range(1, ranges)]
+    found = df.agg(F.percentile_approx(F.col(key).cast("bigint"), at, 20 * ranges).alias("q")).first()["q"]
+    return sorted(set(found or []))
+
+
+def range_of(value: Column, bounds: Sequence[int]) -> Column:
+    """How many of the ascending ``bounds`` are at most ``value``, searched in two steps."""
+    if not bounds:
+        return F.lit(0)
+    step = math.isqrt(len(bounds)) + 1
+    coarse = F.array(*[F.lit(b).cast("bigint") for b in bounds[::step]])
+    fine = F.array(*[F.lit(b).cast("bigint") for b in bounds])
+    block = F.greatest(F.size(F.filter(coarse, lambda b: b <= value)) - 1, F.lit(0)) * step
+    return block + F.size(F.filter(F.slice(fine, block + 1, step), lambda b: b <= value))
 
 
 def number_within(
@@ -25,7 +42,7 @@ def number_within(
     group: Sequence[str],
     order_key: str,
     out: str = "line_no",
-    bucket_bits: int = DEFAULT_BUCKET_BITS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``out`` = rank of ``order_key`` within ``group`` (1, 2, 3, ...).
 
@@ -33,9 +50,9 @@ def number_within(
     group (for example an event id); ties would make numbering arbitrary.
     """
     group = list(group)
-    # Arithmetic shift = exact floor division by 2**bucket_bits, also for
-    # negative and very large keys.
-    bucketed = df.withColumn("_nb_bucket", F.shiftright(F.col(order_key).cast("bigint"), bucket_bits))
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucket = range_of(F.col(order_key).cast("bigint"), quantile_bounds(df, order_key, n))
+    bucketed = df.withColumn("_nb_bucket", bucket.cast("int"))
     local = bucketed.withColumn(
         "_nb_local",
         F.row_number().over(Window.partitionBy(*group, "_nb_bucket").orderBy(order_key)),
@@ -59,6 +76,6 @@ def number_within(
 def surrogate_ids(df: DataFrame, order_key: str, out: str = "id", start: int = 1) -> DataFrame:
     """Gap-free sequential ids over the whole table in ``order_key`` order
     (WIN-03), without funnelling the table through one task: only the
-    small per-bucket count table is ordered globally."""
+    per-range counts are ordered globally."""
     numbered = number_within(df, [], order_key, out=out)
     return numbered.withColumn(out, F.col(out) + F.lit(start - 1)) if start != 1 else numbered

@@ -51,8 +51,9 @@ def build_session(master: str | None = None, app: str = "vigil", **conf: str) ->
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names (``spark.checkpoint.dir``).
 
-    Only when the session names none (local runs, tests) is a private
-    temporary folder created and registered.
+    Only when a local session names none (tests) is a private temporary folder
+    created; on a cluster that would put parts on each node's own disk, so
+    there the setting is required.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,6 +63,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not named:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="vigil-ckpt-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named
@@ -73,12 +76,4 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/vigil-{label}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-__all__ = ["build_session", "checkpoint_root", "scratch_path", "local_path", "is_local"]
+__all__ = ["build_session", "checkpoint_root", "scratch_path"]

@@ -16,6 +16,8 @@ from vigil.operators.numbering import number_within
 
 SOLO_SOURCE = "/syn/solo.txt"
 SOLO_LINE = "only line"
+BLANK_SOURCE = "/syn/blank.txt"
+BLANK_LINES = ("", "  ")
 # Event type -> line shape (delimiter and column order).
 SHAPES = {
     "view": ("ident", ":", "secret", ""),
@@ -59,14 +61,20 @@ def _secret(eid: F.Column, u: F.Column) -> F.Column:
     md5_a = F.md5(F.concat(F.lit("a"), us))
     md5_b = F.md5(F.concat(F.lit("b"), us))
     md5_s = F.md5(F.concat(F.lit("s"), us))
-    k = eid % 6
+    k = eid % 12
     return (
         F.when(k == 0, F.concat(F.lit("pw"), _s(eid % 50)))
         .when(k == 1, md5_s)
         .when(k == 2, F.upper(F.sha1(F.concat(F.lit("s"), us))))
         .when(k == 3, F.concat(F.lit("$2b$10$"), md5_a, F.substring(md5_b, 1, 21)))
         .when(k == 4, F.concat(md5_a, md5_b))
-        .otherwise(F.concat(F.lit("{SHA}"), F.substring(md5_s, 1, 27), F.lit("=")))
+        .when(k == 5, F.concat(F.lit("{SHA}"), F.substring(md5_s, 1, 27), F.lit("=")))
+        .when(k == 6, F.concat(F.lit("$argon2id$v=19$m=65536,t=2,p=1$"), F.substring(md5_a, 1, 16), F.lit("$"), md5_b))
+        .when(k == 7, F.concat(F.lit("$1$"), F.substring(md5_a, 1, 8), F.lit("$"), F.substring(md5_b, 1, 22)))
+        .when(k == 8, F.concat(F.lit("$5$"), F.substring(md5_a, 1, 16), F.lit("$"), md5_b))
+        .when(k == 9, F.concat(F.lit("$6$"), F.substring(md5_a, 1, 16), F.lit("$"), md5_a, md5_b))
+        .when(k == 10, F.concat(F.lit("{SSHA}"), F.substring(md5_s, 1, 30), F.lit("==")))
+        .otherwise(F.concat(md5_a, md5_b, md5_s, md5_a))
     )
 
 
@@ -101,24 +109,22 @@ def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PLANS: dict[tuple, DataFrame] = {}
 
 
-def raw_lines(spark: SparkSession, sf_dir: str, with_ids: bool = False) -> DataFrame:
-    """``(source, block, seq, line)``: one line per event plus a one-line file.
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(source, block, seq, line)``: one line per event, a one-line file and a file of blank lines.
 
     ``seq`` is the dense line number within the source; ``block`` is 0.
-    ``with_ids`` keeps ``event_id``/``user_id``/``event_type`` for derived
-    fixtures.  The (lazy) plan object is reused per session and directory:
+    The (lazy) plan object is reused per session and directory:
     building it costs hundreds of driver round trips; no data is cached.
     """
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, with_ids)
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if key not in _PLANS:
-        _PLANS[key] = _raw_lines(spark, sf_dir, with_ids)
+        _PLANS[key] = _raw_lines(spark, sf_dir)
     return _PLANS[key]
 
 
-def _raw_lines(spark: SparkSession, sf_dir: str, with_ids: bool) -> DataFrame:
+def _raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = numbered_events(spark, sf_dir)
     eid, u = F.col("event_id"), F.col("user_id")
-    ids = ["event_id", "user_id", "event_type"] if with_ids else []
     # Staged projections keep each generated expression to one copy.
     parts = ev.select(
         "event_id", "user_id", "event_type", "line_no",
@@ -134,20 +140,13 @@ def _raw_lines(spark: SparkSession, sf_dir: str, with_ids: bool) -> DataFrame:
         F.lit(0).cast("bigint").alias("block"),
         F.col("line_no").alias("seq"),
         _perturbed(F.col("_line"), F.col("line_no"), eid).alias("line"),
-        *ids,
     )
-    solo = spark.range(1).select(
-        F.lit(SOLO_SOURCE).alias("source"),
-        F.lit(0).cast("bigint").alias("block"),
-        F.lit(1).cast("bigint").alias("seq"),
-        F.lit(SOLO_LINE).alias("line"),
-        *(
-            [F.lit(None).cast("bigint").alias("event_id"), F.lit(None).cast("bigint").alias("user_id"),
-             F.lit(None).cast("string").alias("event_type")]
-            if with_ids else []
-        ),
+    fixed = [(SOLO_SOURCE, 1, SOLO_LINE), *((BLANK_SOURCE, k, line) for k, line in enumerate(BLANK_LINES, 1))]
+    rows = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(k).cast("bigint").alias("seq"), F.lit(v).alias("line")) for s, k, v in fixed])
+    few = spark.range(1).select(F.explode(rows).alias("r")).select(
+        "r.source", F.lit(0).cast("bigint").alias("block"), "r.seq", "r.line"
     )
-    return base.unionByName(solo)
+    return base.unionByName(few)
 
 
 def watch_users(spark: SparkSession, sf_dir: str) -> DataFrame:
