@@ -8,6 +8,8 @@ from scripts.oracle_check import digest
 from tests.conftest import SF_SMALL
 
 import __spark_entry__ as E
+from vigil.oracle import ORACLE_SQL
+from vigil.queries import QUERIES
 
 TABLES = ["events"]
 
@@ -20,11 +22,11 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(ORACLE_SQL[name])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
@@ -39,5 +41,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_registered():
-    assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) - set(E.oracle_sql()) == {"stream_resume"}
+    assert set(ORACLE_SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())

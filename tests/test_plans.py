@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from vigil.operators.exposure import exposure_check
@@ -142,24 +144,63 @@ def test_hot_identifier_preaggregated_before_shuffle(spark):
     assert row["n_records"] == 36000 and row["exposed"]
 
 
-def test_fallback_layout_join_spreads_a_hot_file(spark):
-    from vigil.operators.parse import SALTS, parse_detected
-    from vigil.operators.sizing import materialise
+def test_no_line_is_shuffled_at_any_bound(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/in")
+    for name, text in (("a", "a@x.test:p\nb@x.test:q\n"), ("b", "p;c@x.test\nq;d@x.test\n"), ("c", "one\n")):
+        with open(f"{tmp_dir}/in/{name}.txt", "w") as f:
+            f.write(text)
+    lines = read_lines(spark, f"{tmp_dir}/in")
+    layout = infer_layout(lines)
+    rows = {}
+    for bound in (1 << 26, 30, 0):
+        parsed = parse_detected(lines, layout, max_broadcast_bytes=bound)
+        tree = _plan(spark, parsed).split("\n\n")[0]
+        assert "SortMergeJoin" not in tree and "ShuffledHashJoin" not in tree
+        assert all("Broadcast" in ln for ln in tree.splitlines() if "Exchange" in ln), tree
+        rows[bound] = sorted(map(str, parsed.collect()))
+    assert rows[0] == rows[30] == rows[1 << 26]
+
+
+def test_lines_without_a_layout_are_counted(spark):
+    lines = spark.createDataFrame(
+        [("a", 0, 1, "x@x.test:p"), ("a", 0, 2, "y@x.test:p"), ("late", 0, 1, "z@x.test:p"), ("late", 0, 2, " ")],
+        "source string, block long, seq long, line string",
+    )
+    parsed = parse_detected(lines, infer_layout(lines.where("source = 'a'")), keep_blank=True)
+    assert sorted((r["source"], r["scope"], r["reason"]) for r in parsed.collect() if r["source"] == "late") == [
+        ("late", "file", "blank"), ("late", "file", "no_layout")
+    ]
+
 
-    lines = materialise(spark.range(0, 20000).select(
-        F.lit("hot").alias("source"), F.lit(0).cast("bigint").alias("block"), F.col("id").alias("seq"),
-        F.concat(F.lit("u"), F.col("id").cast("string"), F.lit("@x.test:p")).alias("line")).repartition(4))
-    parsed = parse_detected(lines, infer_layout(lines), max_broadcast_bytes=0)
-    # observe the raw join partitions (AQE would merge these small ones)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        per_task = parsed.groupBy(F.spark_partition_id().alias("p")).count().collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert sum(r["count"] for r in per_task) == 20000
-    # without salting one task would hold all 20,000 lines of the file; with
-    # 16 salts over the 8 test shuffle partitions no task holds half of it
-    assert len(per_task) >= 4 and max(r["count"] for r in per_task) < 20000 // 2
+def test_dedupe_plans_without_sorting(spark):
+    from vigil.operators.dedupe import dedupe, first_occurrence
+    from vigil.operators.merge import merge_roots
+
+    recs = protected_detected(fixtures.raw_lines(spark, SF_SMALL), TEST_KEYS, keep=["block", "seq"])
+    flat = spark.createDataFrame([], recs.schema)
+    for out in (dedupe(flat), first_occurrence(flat), first_occurrence(flat, ["seq"]), merge_roots([flat, flat])):
+        plan = _plan(spark, out)
+        assert "HashAggregate" in plan and "SortAggregate" not in plan and "\n+- Sort" not in plan
+
+
+def test_stored_range_pushes_shard_keys(spark, tmp_dir):
+    from vigil.operators.exposure import exposure_check, prefix_range
+
+    recs = protected_detected(fixtures.raw_lines(spark, SF_SMALL), TEST_KEYS)
+    write_protected(recs, f"{tmp_dir}/shards")
+    stored = read_protected(spark, f"{tmp_dir}/shards")
+    ids = [r[0] for r in stored.select("id_digest").distinct().limit(3).collect()]
+    wl = spark.createDataFrame([(i, i[:4]) for i in ids], "id_digest string, prefix string")
+    from vigil.operators.exposure import _scoped, measured_digests
+
+    req, _, dirs = measured_digests(wl.selectExpr("prefix AS p4", "substr(prefix, 1, 2) AS p2").distinct(), 1 << 20)
+    plan = _plan(spark, _scoped(stored, req, "p4", dirs))
+    assert "PushedFilters: [In(p4" in plan or "EqualTo(p4" in plan
+    assert prefix_range(stored, wl, k=2).count() >= 3
+    plan = _plan(spark, exposure_check(stored, wl.select("id_digest")))
+    assert "In(id_digest" in plan or "EqualTo(id_digest" in plan
+    with pytest.raises(ValueError):
+        prefix_range(stored, wl, k=1)
 
 
 def test_hot_duplicate_key_collapses_before_shuffle(spark):

@@ -95,7 +95,7 @@ def test_number_within_matches_row_number(spark):
     from pyspark.sql import Window
 
     df = spark.range(0, 5000).select((F.col("id") % 7).alias("g"), ((F.col("id") * 7919) % 100003).alias("k"))
-    got = number_within(df, ["g"], "k", out="n", bucket_bits=6)
+    got = number_within(df, ["g"], "k", out="n", ranges=6)
     ref = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("k")))
     assert _rows(got, ["g", "k", "n"]) == _rows(ref, ["g", "k", "n"])
 

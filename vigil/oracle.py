@@ -7,12 +7,13 @@ Spark result.  Only the public fixture keys are used.
 
 from __future__ import annotations
 
-from vigil.functions import classify as C
 from vigil.functions.digest import TEST_ID_KEY, TEST_SECRET_KEY, HmacKey
-from vigil.functions.text import JS_WHITESPACE
 from vigil.sources import fixtures
 
-_WS = " || ".join(f"chr({ord(c)})" for c in JS_WHITESPACE)
+# Written out here and not imported, so that a wrong rule in the engine shows.
+# Code points that JavaScript's trim removes.
+_TRIMMED = (9, 10, 11, 12, 13, 32, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288, 65279)
+_WS = " || ".join(f"chr({c})" for c in _TRIMMED)
 
 
 def jt(x: str) -> str:
@@ -42,33 +43,27 @@ def norm_b(x: str) -> str:
 
 def scheme_sql(x: str) -> str:
     p = jt(x)
-    crypt = [
-        f"WHEN regexp_matches({p}, '{C.CRYPT_RE}') AND substr({p}, 2, 1) = '{d}' THEN '{n}'"
-        for d, n in C.CRYPT_NAMES.items()
-    ]
-    hexes = [
-        f"WHEN regexp_matches({p}, '{C.HEX_RE}') AND length({p}) = {n} THEN '{name}'"
-        for n, name in C.HEX_NAMES.items()
-    ]
-    return " ".join(
-        [
-            "(CASE",
-            f"WHEN regexp_matches({p}, '{C.BCRYPT_RE}') THEN 'bcrypt'",
-            f"WHEN regexp_matches({p}, '{C.ARGON2_RE}') THEN 'argon2'",
-            *crypt,
-            f"WHEN regexp_matches({p}, '{C.SSHA_RE}') THEN 'ssha'",
-            f"WHEN regexp_matches({p}, '{C.SHA_B64_RE}') THEN 'sha1-base64'",
-            *hexes,
-            "ELSE 'plaintext' END)",
-        ]
+    rules = (  # fixed values, in match order
+        (r"^\$2[aby]\$[0-9]{2}\$[A-Za-z0-9./]{53}\z", "bcrypt"),
+        (r"^\$argon2(i|d|id)\$v=[0-9]+\$.*\$.*\$.*\z", "argon2"),
+        (r"^\$1\$[^$]+\$[A-Za-z0-9./]+\z", "md5-crypt"),
+        (r"^\$5\$[^$]+\$[A-Za-z0-9./]+\z", "sha256-crypt"),
+        (r"^\$6\$[^$]+\$[A-Za-z0-9./]+\z", "sha512-crypt"),
+        (r"^\{SSHA\}[A-Za-z0-9+/=]+\z", "ssha"),
+        (r"^\{SHA\}[A-Za-z0-9+/=]+\z", "sha1-base64"),
+        (r"^[A-Fa-f0-9]{32}\z", "md5-hex"),
+        (r"^[A-Fa-f0-9]{40}\z", "sha1-hex"),
+        (r"^[A-Fa-f0-9]{64}\z", "sha256-hex"),
+        (r"^[A-Fa-f0-9]{128}\z", "sha512-hex"),
     )
+    return "(CASE " + " ".join(f"WHEN regexp_matches({p}, '{r}') THEN '{n}'" for r, n in rules) + " ELSE 'plaintext' END)"
 
 
 def scheme_compat_sql(x: str) -> str:
     return (
-        f"(CASE WHEN regexp_matches({x}, '{C.COMPAT_MD5_RE}') THEN 'md5' "
-        f"WHEN regexp_matches({x}, '{C.COMPAT_SHA1_RE}') THEN 'sha1' "
-        f"WHEN regexp_matches({x}, '{C.COMPAT_BCRYPT_RE}') THEN 'bcrypt' ELSE 'plaintext' END)"
+        f"(CASE WHEN regexp_matches({x}, '^[0-9a-fA-F]{{32}}\\z') THEN 'md5' "
+        f"WHEN regexp_matches({x}, '^[0-9a-fA-F]{{40}}\\z') THEN 'sha1' "
+        f"WHEN regexp_matches({x}, '^\\$2[aby]\\$') THEN 'bcrypt' ELSE 'plaintext' END)"
     )
 
 
@@ -99,13 +94,19 @@ fx AS (
       WHEN 1 THEN 'User' || {_s('u')} || '+t' || {_s('event_id % 3')} || '@Mail' || {_s('u % 9')} || '.example.com'
       WHEN 2 THEN '--USER' || {_s('u')} || '@MAIL' || {_s('u % 9')} || '.EXAMPLE.COM'
       ELSE '"user' || {_s('u')} || '@mail' || {_s('u % 9')} || '.example.com' END AS ident,
-    CASE event_id % 6
+    CASE event_id % 12
       WHEN 0 THEN 'pw' || {_s('event_id % 50')}
       WHEN 1 THEN md5('s' || {_s('u')})
       WHEN 2 THEN upper(sha1('s' || {_s('u')}))
       WHEN 3 THEN '$2b$10$' || md5('a' || {_s('u')}) || substr(md5('b' || {_s('u')}), 1, 21)
       WHEN 4 THEN md5('a' || {_s('u')}) || md5('b' || {_s('u')})
-      ELSE '{{SHA}}' || substr(md5('s' || {_s('u')}), 1, 27) || '=' END AS secret
+      WHEN 5 THEN '{{SHA}}' || substr(md5('s' || {_s('u')}), 1, 27) || '='
+      WHEN 6 THEN '$argon2id$v=19$m=65536,t=2,p=1$' || substr(md5('a' || {_s('u')}), 1, 16) || '$' || md5('b' || {_s('u')})
+      WHEN 7 THEN '$1$' || substr(md5('a' || {_s('u')}), 1, 8) || '$' || substr(md5('b' || {_s('u')}), 1, 22)
+      WHEN 8 THEN '$5$' || substr(md5('a' || {_s('u')}), 1, 16) || '$' || md5('b' || {_s('u')})
+      WHEN 9 THEN '$6$' || substr(md5('a' || {_s('u')}), 1, 16) || '$' || md5('a' || {_s('u')}) || md5('b' || {_s('u')})
+      WHEN 10 THEN '{{SSHA}}' || substr(md5('s' || {_s('u')}), 1, 30) || '=='
+      ELSE md5('a' || {_s('u')}) || md5('b' || {_s('u')}) || md5('s' || {_s('u')}) || md5('a' || {_s('u')}) END AS secret
   FROM ev
 ),
 shaped AS (
@@ -123,6 +124,8 @@ raw_lines AS (
   UNION ALL
   SELECT '{fixtures.SOLO_SOURCE}', CAST(1 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT),
          CAST(NULL AS VARCHAR), '{fixtures.SOLO_LINE}'
+  UNION ALL SELECT '/syn/blank.txt', CAST(1 AS BIGINT), NULL, NULL, NULL, ''
+  UNION ALL SELECT '/syn/blank.txt', CAST(2 AS BIGINT), NULL, NULL, NULL, '  '
 )"""
 
 LAYOUT_CTE = f"""
@@ -229,9 +232,15 @@ def _with(*ctes: str) -> str:
 
 BASE = (LINES_CTE, LAYOUT_CTE, PARSE_CTE)
 
+_STATUS_CTE = """, files AS (
+  SELECT source, count(*) AS n_lines,
+    CASE regexp_extract(source, '([a-z]+)[.]txt$', 1) WHEN 'view' THEN 'done' WHEN 'click' THEN 'done'
+      WHEN 'solo' THEN 'rejected' WHEN 'error' THEN 'in-progress' WHEN 'signup' THEN 'in-progress' ELSE 'new' END AS prior_status
+  FROM raw_lines GROUP BY source)"""
+
 _K_CASE = "CASE l.source " + " ".join(
     f"WHEN '/syn/{n}.txt' THEN {k}" for n, k in zip(sorted(fixtures.SHAPES), fixtures.RUN_K_TENTHS)
-) + " END"
+) + " ELSE 10 END"
 
 ORACLE_SQL: dict[str, str] = {
     "layout_inference": _with(LINES_CTE, LAYOUT_CTE)
@@ -271,23 +280,14 @@ ORACLE_SQL: dict[str, str] = {
     + " SELECT id_digest, secret_digest, source, min(hash_type) AS hash_type, count(*) AS copies"
     " FROM roots GROUP BY id_digest, secret_digest, source",
     "pending_files": _with(LINES_CTE)
-    + """, manifest AS (
-      SELECT source, CASE WHEN source IN ('/syn/view.txt', '/syn/click.txt') THEN 'done'
-                          WHEN source = '/syn/error.txt' THEN 'in-progress' END AS status
-      FROM (SELECT DISTINCT source FROM raw_lines))
-    SELECT c.source, coalesce(m.status, 'new') AS prior_status, c.n_lines
-    FROM (SELECT source, count(*) AS n_lines FROM raw_lines GROUP BY source) c
-    LEFT JOIN manifest m ON c.source = m.source
-    WHERE coalesce(m.status, 'new') <> 'done'""",
+    + _STATUS_CTE
+    + """ SELECT source, prior_status, n_lines FROM files WHERE prior_status NOT IN ('done', 'rejected')""",
     "progress_summary": _with(LINES_CTE)
-    + """, files AS (
-      SELECT source, CASE WHEN source IN ('/syn/view.txt', '/syn/click.txt') THEN 'done'
-                          WHEN source = '/syn/error.txt' THEN 'in-progress' END AS status
-      FROM (SELECT DISTINCT source FROM raw_lines))
-    SELECT count(*) AS n_files,
-      CAST(sum(CASE WHEN status = 'done' THEN 1 ELSE 0 END) AS BIGINT) AS n_done,
-      CAST(sum(CASE WHEN status = 'in-progress' THEN 1 ELSE 0 END) AS BIGINT) AS n_in_progress,
-      CAST(sum(CASE WHEN coalesce(status, 'new') <> 'done' THEN 1 ELSE 0 END) AS BIGINT) AS n_pending
+    + _STATUS_CTE
+    + """ SELECT count(*) AS n_files,
+      count(*) FILTER (prior_status IN ('done', 'rejected')) AS n_done,
+      count(*) FILTER (prior_status = 'in-progress') AS n_in_progress,
+      count(*) FILTER (prior_status NOT IN ('done', 'rejected')) AS n_pending
     FROM files""",
     "exposure_check": _with(*BASE, WATCH_CTE)
     + """, hits AS (
@@ -352,31 +352,42 @@ ORACLE_SQL: dict[str, str] = {
     FROM expected e FULL OUTER JOIN actual a ON e.column_name = a.column_name
     LEFT JOIN nulls n ON n.column_name = coalesce(e.column_name, a.column_name)""",
     "run_grades": _with(*BASE)
-    + f""", loaded AS (
-      SELECT source, count(*) AS loaded FROM raw_lines WHERE source <> '{fixtures.SOLO_SOURCE}' GROUP BY source),
-    rejected AS (
-      SELECT source, count(*) FILTER (WHERE reason IS NOT NULL) AS rejected FROM parsed GROUP BY source),
-    metrics AS (
-      SELECT l.source, l.loaded, CAST(coalesce(r.rejected, 0) AS BIGINT) AS rejected,
-        CAST(floor(l.loaded * ({_K_CASE}) / 10.0) AS BIGINT) AS elapsed_ms
-      FROM loaded l LEFT JOIN rejected r ON l.source = r.source),
-    rated AS (
-      SELECT *, CASE WHEN loaded > 0 THEN round((elapsed_ms / 60000.0) / (loaded / 1e6), 1) ELSE 0.0 END
-        AS min_per_million FROM metrics)
-    SELECT source, loaded, rejected, elapsed_ms, min_per_million,
-      CASE WHEN min_per_million <= 30 THEN 'good' WHEN min_per_million <= 40 THEN 'acceptable' ELSE 'poor' END AS grade,
-      min_per_million > 45 AS alert
+    + f""", l AS (
+      SELECT s.source, count(p.source) FILTER (p.reason IS NULL) AS loaded,
+        count(p.source) FILTER (p.reason IS NOT NULL) AS rejected
+      FROM (SELECT DISTINCT source FROM raw_lines) s LEFT JOIN parsed p ON p.source = s.source GROUP BY s.source),
+    metrics AS (SELECT l.*, CAST(floor(l.loaded * ({_K_CASE}) / 10.0) AS BIGINT) AS elapsed_ms FROM l),
+    rated AS (SELECT *, CASE WHEN loaded > 0 THEN (elapsed_ms / 60000.0) / (loaded / 1e6) ELSE 0.0 END AS rate FROM metrics)
+    SELECT source, loaded, rejected, elapsed_ms, round(rate, 1) AS min_per_million,
+      CASE WHEN rate <= 30 THEN 'good' WHEN rate <= 40 THEN 'acceptable' ELSE 'poor' END AS grade,
+      rate > 45 AS alert
     FROM rated""",
     "legacy_protect": _with(LINES_CTE, FIRST_COLON_CTE)
     + """, tagged AS (
-      SELECT *, CASE WHEN line_no % 97 IN (5, 6) THEN 'malformed' END AS bad FROM fprotected)
-    SELECT 'protected' AS outcome, source, hash_type, count(*) AS n_records, count(DISTINCT id_digest) AS n_ids
-    FROM tagged WHERE bad IS NULL GROUP BY source, hash_type
+      SELECT *, '/legacy/' || regexp_extract(source, '([^/]*)$', 1) || '.jsonl.gz' AS root_file,
+        line_no % 97 IN (5, 6) AS bad,
+        CASE WHEN line_no % 97 = 8 THEN regexp_extract(source, '([^/]*)$', 1) || '.jsonl' ELSE source END AS named
+      FROM fprotected)
+    SELECT 'protected' AS outcome, root_file, named AS source, hash_type, count(*) AS n_records, count(DISTINCT id_digest) AS n_ids
+    FROM tagged WHERE NOT bad GROUP BY root_file, named, hash_type
     UNION ALL
-    SELECT 'malformed', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), count(*), CAST(NULL AS BIGINT)
-    FROM tagged WHERE bad IS NOT NULL HAVING count(*) > 0""",
+    SELECT 'malformed', root_file, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), count(*), 0
+    FROM tagged WHERE bad GROUP BY root_file""",
+    "stream_resume": _with(*BASE)
+    + """, once AS (SELECT DISTINCT id_digest, secret_digest, hash_type, source FROM protected)
+    SELECT regexp_extract(source, '([a-z]+)[.]txt$', 1) AS name, hash_type, count(*) AS n_records, count(DISTINCT id_digest) AS n_ids
+    FROM once GROUP BY ALL""",
+    "replay_direct_load": _with(*BASE)
+    + " SELECT source, hash_type, count(*) AS n_records FROM protected GROUP BY ALL",
+    "maintained_load": _with(*BASE)
+    + """ SELECT source, CAST(1 AS BIGINT) AS version, count(DISTINCT id_digest || secret_digest) AS n_records
+    FROM protected GROUP BY source""",
+    "csv_roundtrip": _with(*BASE)
+    + """ SELECT '/d/a "q", b\\''s/' || regexp_extract(source, '([^/]*)$', 1) AS source, is_hash, hash_type,
+      count(*) AS n_records, count(*) AS n_whole FROM protected GROUP BY ALL""",
     "file_roundtrip": _with(LINES_CTE, FIRST_COLON_CTE)
     + """ SELECT regexp_extract(source, '^/syn/(.*)[.]txt$', 1) AS name, count(*) AS n_records,
       count(DISTINCT id_digest) AS n_ids
     FROM fprotected GROUP BY 1""",
 }
+ORACLE_SQL["stored_prefix_range"] = ORACLE_SQL["prefix_range"]

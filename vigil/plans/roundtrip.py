@@ -38,3 +38,21 @@ def file_roundtrip(spark: SparkSession, lines: DataFrame, keys: Keys) -> DataFra
         F.count(F.lit(1)).alias("n_records"),
         F.count_distinct("id_digest").alias("n_ids"),
     )
+
+
+def csv_roundtrip(spark: SparkSession, records: DataFrame) -> DataFrame:
+    """Records whose source holds quotes, commas and backslashes, to CSV and back."""
+    root = scratch_path(spark, "csv")
+    odd = F.concat(F.lit('/d/a "q", b\\\'s/'), F.substring_index("source", "/", -1))
+    write_protected(records.withColumn("source", odd), root, fmt="csv", mode="errorifexists")
+    return read_protected(spark, root, fmt="csv").groupBy("source", "is_hash", "hash_type").agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.count_if(F.substring("id_digest", 1, 4) == F.col("p4")).alias("n_whole"),
+    )
+
+
+def stored(spark: SparkSession, records: DataFrame) -> DataFrame:
+    """``records`` written as Parquet shards and read back."""
+    root = scratch_path(spark, "shards")
+    write_protected(records, root, mode="errorifexists")
+    return read_protected(spark, root)

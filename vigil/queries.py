@@ -26,10 +26,10 @@ from vigil.operators.dedupe import first_occurrence, insert_if_absent
 from vigil.operators.layout import infer_layout
 from vigil.operators.legacy import legacy_outcomes
 from vigil.operators.merge import merge_roots, union_roots
-from vigil.operators.parse import accepted, outcome_counts, parse_first_colon
+from vigil.operators.parse import accepted, counted_reject, outcome_counts, parse_first_colon
 from vigil.operators.protect import TEST_KEYS
 from vigil.operators.sizing import materialise
-from vigil.plans import parse_protect
+from vigil.plans import ingest, parse_protect
 from vigil.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,12 +62,16 @@ def normalise_compare(spark: SparkSession, d: str) -> DataFrame:
     b = normalise_compat(F.col("ident"))
     normed = rows.select("source", (a != b).alias("_differ"), a.alias("_na"), b.alias("_nb"))
     digested = with_hmacs(normed, [("_da", "_na", KEYS.identifier), ("_db", "_nb", KEYS.identifier)])
-    return digested.groupBy("source").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if("_differ").alias("n_differ"),
-        F.count_distinct("_da").alias("n_ids_a"),
-        F.count_distinct("_db").alias("n_ids_b"),
+    # the digests of one form, then of both: no row is tripled for two distinct counts
+    pairs = digested.groupBy("source", "_da", "_db").agg(F.count(F.lit(1)).alias("_n"), F.count_if("_differ").alias("_d"))
+    by_a = pairs.groupBy("source", "_da").agg(F.sum("_n").alias("_n"), F.sum("_d").alias("_d"))
+    of_a = by_a.groupBy("source").agg(
+        F.sum("_n").cast("bigint").alias("n_rows"),
+        F.sum("_d").cast("bigint").alias("n_differ"),
+        F.count("_da").alias("n_ids_a"),
     )
+    of_b = pairs.select("source", "_db").distinct().groupBy("source").agg(F.count("_db").alias("n_ids_b"))
+    return of_a.join(of_b, "source")
 
 
 def id_digest(spark: SparkSession, d: str) -> DataFrame:
@@ -115,36 +119,26 @@ def merge_roots_query(spark: SparkSession, d: str) -> DataFrame:
     return merged.select("id_digest", "secret_digest", "source", "hash_type", "copies")
 
 
-def _manifest(lines: DataFrame) -> DataFrame:
-    """Synthetic load manifest: two files done, one in progress."""
-    status = (
-        F.when(F.col("source").isin("/syn/view.txt", "/syn/click.txt"), F.lit("done"))
-        .when(F.col("source") == "/syn/error.txt", F.lit("in-progress"))
-    )
-    return lines.select("source").distinct().select("source", status.alias("status")).where(
-        F.col("status").isNotNull()
+def _files(spark: SparkSession, d: str) -> DataFrame:
+    return _lines(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def _manifest(spark: SparkSession) -> DataFrame:
+    """Synthetic load manifest: two files done, one rejected, one first done
+    and in progress again, one in progress."""
+    rows = [("view", "done", 1), ("click", "done", 1), ("solo", "rejected", 1), ("error", "done", 1),
+            ("error", "in-progress", 2), ("signup", "in-progress", 2)]
+    return spark.createDataFrame(
+        [(f"/syn/{n}.txt", s, b) for n, s, b in rows], "source string, status string, batch_id bigint"
     )
 
 
 def pending_files(spark: SparkSession, d: str) -> DataFrame:
-    lines = _lines(spark, d)
-    candidates = lines.groupBy("source").agg(F.count(F.lit(1)).alias("n_lines"))
-    manifest = _manifest(lines)
-    pending = candidates.join(manifest.where(F.col("status") == "done"), "source", "left_anti")
-    return pending.join(manifest, "source", "left").select(
-        "source", F.coalesce(F.col("status"), F.lit("new")).alias("prior_status"), "n_lines"
-    )
+    return ingest.pending(_files(spark, d), _manifest(spark)).select("source", "prior_status", "n_lines")
 
 
 def progress_summary(spark: SparkSession, d: str) -> DataFrame:
-    lines = _lines(spark, d)
-    files = lines.select("source").distinct().join(_manifest(lines), "source", "left")
-    return files.agg(
-        F.count(F.lit(1)).alias("n_files"),
-        F.count_if(F.col("status") == "done").alias("n_done"),
-        F.count_if(F.col("status") == "in-progress").alias("n_in_progress"),
-        F.count_if(F.coalesce(F.col("status"), F.lit("new")) != "done").alias("n_pending"),
-    )
+    return ingest.progress(_files(spark, d), _manifest(spark))
 
 
 def _watchlist(spark: SparkSession, d: str) -> DataFrame:
@@ -172,24 +166,15 @@ def schema_audit(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _run_metrics(spark: SparkSession, d: str) -> DataFrame:
-    lines = _lines(spark, d).where(F.col("source") != fixtures.SOLO_SOURCE)
-    loaded = lines.groupBy("source").agg(F.count(F.lit(1)).alias("loaded"))
-    rejected = (
-        parse_protect.detected(lines)
-        .groupBy("source")
-        .agg(F.count_if(F.col("reason").isNotNull()).alias("rejected"))
-    )
-    names = sorted(fixtures.SHAPES)
-    k10 = None
-    for name, k in zip(names, fixtures.RUN_K_TENTHS):
-        src = f"/syn/{name}.txt"
-        k10 = F.when(F.col("source") == src, F.lit(k)) if k10 is None else k10.when(F.col("source") == src, F.lit(k))
-    return loaded.join(rejected, "source", "left").select(
-        "source",
-        "loaded",
-        F.coalesce(F.col("rejected"), F.lit(0)).cast("bigint").alias("rejected"),
-        F.floor(F.col("loaded") * k10 / F.lit(10.0)).cast("bigint").alias("elapsed_ms"),
+    """Rows loaded and rejected per source, in one pass, with synthetic elapsed times."""
+    per = parse_protect.detected(_lines(spark, d), keep_blank=True).groupBy("source").agg(
+        F.count_if(F.col("reason").isNull()).alias("loaded"),
+        F.count_if(counted_reject(F.col("reason"))).alias("rejected"),
     )
+    k10 = F.lit(10)
+    for name, k in zip(sorted(fixtures.SHAPES), fixtures.RUN_K_TENTHS):
+        k10 = F.when(F.col("source") == f"/syn/{name}.txt", F.lit(k)).otherwise(k10)
+    return per.select("source", "loaded", "rejected", F.floor(F.col("loaded") * k10 / F.lit(10.0)).cast("bigint").alias("elapsed_ms"))
 
 
 def run_grades(spark: SparkSession, d: str) -> DataFrame:
@@ -198,33 +183,33 @@ def run_grades(spark: SparkSession, d: str) -> DataFrame:
 
 def _legacy_lines(spark: SparkSession, d: str) -> DataFrame:
     """Legacy clear-text JSONL records built from the first-colon parse, with
-    two kinds of malformed lines mixed in."""
+    malformed lines, odd values in unused fields, and records without a source."""
     rows = accepted(parse_first_colon(_lines(spark, d)))
+    k = F.col("seq") % 97
     rec = F.to_json(
         F.struct(
             F.lit("legacy").alias("email_hash"),
             F.col("secret").alias("password"),
-            F.lit(False).alias("is_hash"),
-            F.lit("unknown").alias("hash_type"),
+            F.when(k == 7, F.lit("yes")).otherwise(F.lit("false")).alias("is_hash"),
+            F.lit(1).alias("hash_type"),
             lower_trim(F.col("ident")).alias("email"),
-            F.col("source"),
+            F.when(k != 8, F.col("source")).alias("source"),
         )
     )
-    k = F.col("seq") % 97
     value = F.when(k == 5, F.lit('{"email": "broken')).when(k == 6, F.lit("5")).otherwise(rec)
-    return rows.select(value.alias("value"))
+    file = F.concat(F.lit("/legacy/"), F.substring_index("source", "/", -1), F.lit(".jsonl.gz"))
+    return rows.select(value.alias("value"), file.alias("root_file"))
 
 
 def legacy_protect(spark: SparkSession, d: str) -> DataFrame:
     outcomes = legacy_outcomes(_legacy_lines(spark, d), KEYS)
     outcome = F.coalesce(F.col("reason"), F.lit("protected"))
-    g = outcomes.groupBy(outcome.alias("outcome"), "source", "hash_type").agg(
-        F.count(F.lit(1)).alias("n_records"),
-        F.count_distinct("id_digest").alias("_ids"),
+    g = outcomes.groupBy(outcome.alias("outcome"), "root_file", "source", "hash_type", "id_digest").agg(
+        F.count(F.lit(1)).alias("_n")
     )
-    return g.select(
-        "outcome", "source", "hash_type", "n_records",
-        F.when(F.col("outcome") == "protected", F.col("_ids")).cast("bigint").alias("n_ids"),
+    return g.groupBy("outcome", "root_file", "source", "hash_type").agg(
+        F.sum("_n").cast("bigint").alias("n_records"),
+        F.count_if(F.col("id_digest").isNotNull()).alias("n_ids"),
     )
 
 
@@ -240,8 +225,29 @@ def stream_resume(spark: SparkSession, d: str) -> DataFrame:
     return stream_resume_demo(spark, _lines(spark, d), KEYS)
 
 
-def _flagship(spark: SparkSession, d: str) -> DataFrame:
-    return scheme_profile(spark, d)
+def replay_direct_load(spark: SparkSession, d: str) -> DataFrame:
+    from vigil.streaming.ingest import replay_demo
+
+    return replay_demo(spark, _lines(spark, d), KEYS)
+
+
+def maintained_load(spark: SparkSession, d: str) -> DataFrame:
+    from vigil.streaming.ingest import maintained_demo
+
+    return maintained_demo(spark, _lines(spark, d), KEYS)
+
+
+def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    from vigil.plans.roundtrip import csv_roundtrip as run
+
+    return run(spark, _protected(spark, d, keep=()))
+
+
+def stored_prefix_range(spark: SparkSession, d: str) -> DataFrame:
+    from vigil.plans.roundtrip import stored
+
+    prefixes = _watchlist(spark, d).select(F.substring("id_digest", 1, 4).alias("prefix"))
+    return exposure.prefix_range(stored(spark, _protected(spark, d, keep=())), prefixes, k=2)
 
 
 QUERIES: dict[str, Query] = {
@@ -266,6 +272,10 @@ QUERIES: dict[str, Query] = {
     "legacy_protect": legacy_protect,
     "file_roundtrip": file_roundtrip,
     "stream_resume": stream_resume,
+    "replay_direct_load": replay_direct_load,
+    "maintained_load": maintained_load,
+    "csv_roundtrip": csv_roundtrip,
+    "stored_prefix_range": stored_prefix_range,
 }
 
 FLAGSHIP = "scheme_profile"
