@@ -74,3 +74,18 @@ def test_ingest_with_head_layouts(spark, tmp_dir):
     ra = sorted(tuple(r) for r in read_protected(spark, a.records).select(*cols).collect())
     rb = sorted(tuple(r) for r in read_protected(spark, b.records).select(*cols).collect())
     assert ra == rb and ra
+
+
+def test_long_lines_are_searched_once():
+    import io
+
+    from vigil.sources.heads import _second_nonblank
+
+    long = b"x" * 300_000
+    cases = {
+        long: None, long + b"\n": None, long + b"\r\ny:z": "y:z", b"\n \n" + long + b"\n\n b;c \n": " b;c ",
+        b"a\n" + long: long.decode(), (" " * 200_000).encode() + b"\n\xe3\x80\x80\nq\nr\n": "r", b"": None, b"\r\n\r\n": None,
+        "\u3000".encode() * 50_000 + b"\na\nb": "b", b"a\r" * 2: "a",
+    }
+    for raw, want in cases.items():
+        assert _second_nonblank(io.BytesIO(raw)) == want

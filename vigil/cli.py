@@ -64,8 +64,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--no-dedupe", action="store_true")
     s.add_argument("--compat", action="store_true")
     s.add_argument("--skip-header", action="store_true")
-    s.add_argument("--layout-reader", choices=ingest.LAYOUT_READERS, default="scan",
-                   help="heads: read only each file's head for layout inference")
+    s.add_argument("--layout-reader", choices=ingest.LAYOUT_READERS,
+                   help="heads (default, but with --skip-header): read only each file's head for layout inference")
     keyed(s)
 
     s = sub.add_parser("stream", help="incremental, exactly-once ingestion of a folder")
@@ -74,6 +74,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--mode", choices=ingest.MODES, default="detected")
     s.add_argument("--max-files-per-trigger", type=int)
+    s.add_argument("--max-bytes-per-trigger", help='e.g. "200g"; instead of a number of files')
+    s.add_argument("--maintain", action="store_true", help="compact and deduplicate after batches that make it due")
     s.add_argument("--processing-time", help='e.g. "2 seconds"; default: drain what is there and stop')
     s.add_argument("--stop-file", help="stop gracefully when this path appears")
     s.add_argument("--no-dedupe", action="store_true")
@@ -134,9 +136,17 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--path", required=True)
     s.add_argument("--glob", default="*", help="file name pattern, e.g. *.parquet")
 
-    s = sub.add_parser("maintenance-due", help="is compaction due since a batch id?")
+    s = sub.add_parser("maintenance-due", help="is compaction due since the last one (or a batch id)?")
+    s.add_argument("--out", required=True)
+    s.add_argument("--since-batch", type=int)
+
+    s = sub.add_parser("maintain", help="compact and deduplicate into the next version, if that is due")
+    s.add_argument("--out", required=True)
+    for name in ("records", "files", "minutes"):
+        s.add_argument(f"--{name}", type=int, default=getattr(maintenance.Thresholds(), name))
+
+    s = sub.add_parser("where", help="folder of a dataset's current records")
     s.add_argument("--out", required=True)
-    s.add_argument("--since-batch", type=int, default=-1)
     return p
 
 
@@ -155,6 +165,8 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
             spark, a.input, ingest.Outputs(a.out), a.checkpoint, _keys(spark, a), mode=a.mode,
             max_files_per_trigger=a.max_files_per_trigger, processing_time=a.processing_time,
             dedupe=not a.no_dedupe, compat=a.compat, skip_header=a.skip_header,
+            max_bytes_per_trigger=a.max_bytes_per_trigger,
+            limits=maintenance.Thresholds() if a.maintain else None,
         )
         if a.stop_file:
             run_until_stopped(spark, q, a.stop_file)
@@ -191,7 +203,15 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         audit.storage_profile(list_files(spark, a.path, glob=a.glob)).show(truncate=False)
     elif c == "maintenance-due":
         out = ingest.Outputs(a.out)
-        maintenance.maintenance_due(ingest.read_manifest(spark, out), a.since_batch).show(truncate=False)
+        _, since, when = ingest.latest_version(spark, out)
+        if a.since_batch is not None:
+            since, when = a.since_batch, None
+        maintenance.maintenance_due(ingest.read_manifest(spark, out), since, since_time=when).show(truncate=False)
+    elif c == "maintain":
+        limits = maintenance.Thresholds(a.records, a.files, a.minutes)
+        print("maintained" if maintenance.maintain(spark, ingest.Outputs(a.out), limits) else "not due")
+    elif c == "where":
+        print(ingest.records_path(spark, ingest.Outputs(a.out)))
     return 0
 
 

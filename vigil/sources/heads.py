@@ -1,4 +1,4 @@
-"""Layout inference from file heads (opt-in pass 1 that does not read whole files).
+"""Layout inference from file heads (pass 1 without reading whole files).
 
 The scan-based layout pass (:func:`vigil.operators.layout.infer_layout`)
 reads every line once more before the parse, although only the first two
@@ -72,31 +72,43 @@ def _open(uri: str):
     return fs.open_input_stream(unquote(path))
 
 
+def _blank(raw: bytes | bytearray) -> bool:
+    return not raw.decode("utf-8", errors="replace").strip(JS_WHITESPACE)
+
+
 def _second_nonblank(stream) -> str | None:
-    """Read until the second non-blank line (or end of file)."""
-    seen = 0
-    buf = b""
-    eof = False
+    """Read until the second non-blank line (or end of file).
+
+    Each byte is searched once.  Of a long first line only the fact that it is
+    not blank is kept; the second one is held whole, as the scan holds any line.
+    """
+    seen, said = 0, False  # non-blank lines so far; whether a cut-off part of this one was not blank
+    buf, at, eof = bytearray(), 0, False
     while True:
-        while True:
-            m = _SEP.search(buf)
-            # a trailing \r may be the first half of \r\n: wait for more bytes
-            if m is None or (m.group() == b"\r" and m.end() == len(buf) and not eof):
-                break
-            line, buf = buf[: m.start()], buf[m.end():]
-            if line.decode("utf-8", errors="replace").strip(JS_WHITESPACE):
+        m = _SEP.search(buf, at)
+        # a trailing \r may be the first half of \r\n: wait for more bytes
+        if m is not None and not (m.group() == b"\r" and m.end() == len(buf) and not eof):
+            line = buf[: m.start()]
+            if said or not _blank(line):
                 seen += 1
                 if seen == 2:
                     return line.decode("utf-8", errors="replace")
+            del buf[: m.end()]
+            at, said = 0, False
+            continue
         if eof:
-            if buf and buf.decode("utf-8", errors="replace").strip(JS_WHITESPACE):
-                seen += 1
-                if seen == 2:
-                    return buf.decode("utf-8", errors="replace")
-            return None
+            last = seen == 1 and not _blank(buf)
+            return buf.decode("utf-8", errors="replace") if last else None
+        if seen == 0 and len(buf) > HEAD_CHUNK:
+            # the last bytes may be half a character or half a line end
+            cut = len(buf) - 4
+            while cut > len(buf) - 8 and buf[cut] & 0xC0 == 0x80:
+                cut -= 1
+            said = said or not _blank(buf[:cut])
+            del buf[:cut]
+        at = max(0, len(buf) - 1)
         chunk = stream.read(HEAD_CHUNK)
-        if not chunk:
-            eof = True
+        eof = not chunk
         buf += chunk
 
 
