@@ -96,12 +96,16 @@ def test_op5_reads_back(spark):
     assert found[-1].formatted_chars == 2 * (len("<|im_start|>\n<|im_end|>\n") + len(says) + 2) + len("userassistant")
 
 
-def test_op6_sql(spark):
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
-    cur = con.execute(queries.ORACLE_SQL["op6_mixing"])
-    df = queries.QUERIES["op6_mixing"](spark, SF_SMALL)
-    assert digest(df.columns, [tuple(r) for r in df.collect()]) == digest([d[0] for d in cur.description], cur.fetchall())
+    for table in ("documents", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_SMALL}/{table}.parquet')")
+    cur = con.execute(queries.ORACLE_SQL[name])
+    df = queries.QUERIES[name](spark, SF_SMALL)
+    names = [d[0] for d in cur.description]
+    assert sorted(df.columns) == sorted(names)
+    assert digest(df.columns, [tuple(r) for r in df.collect()]) == digest(names, cur.fetchall())
 
 
 def test_op7_held_out_accuracy(spark, docs):

@@ -9,7 +9,7 @@ row per word, so candidates are found at a quarter of the length and doubled:
    one, so a full window can only repeat if its sample does.
 2. Samples whose words occur in two documents or more are extended to twice the
    length, to the left and to the right (a full window holds one of the two),
-   and counted again.  Those that do not repeat are gone.
+   and compared again.  Those that do not repeat are gone.
 3. Full windows that hold a survivor are written by hash; a window is removed
    where its hash has a smaller document.  If no candidates survive a level,
    the later ones have no rows.
@@ -17,10 +17,12 @@ row per word, so candidates are found at a quarter of the length and doubled:
 Hashes are 64-bit polynomials of 64-bit word hashes, so the levels never miss a
 repeat; a wrong one needs a collision among candidate windows.
 
-Skew: the first two levels count by partial aggregates.  At the last one, a
-batch ships a hash only for its smallest document; its other documents are
-marked there, as ranges.  So a passage that a third of all documents hold
-costs one row per batch, not one per document.
+Skew: what a task sees of one hash is settled there.  At the first two levels,
+windows that two documents of a task share are survivors already; only one row
+of the smallest and one of the largest document go to the hash's group, as
+witnesses for other tasks.  At the last, only the smallest document's rows
+go; the others are marked at once, as ranges.  So a passage that a third of all
+documents hold costs its group a row or two per task, not one per document.
 
 Defined cases: a null text has no words; a document shorter than the window
 loses nothing; rows without an id neither lose nor take words; rows with the
@@ -35,7 +37,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,115 +97,122 @@ def levels(window: int) -> tuple[int, int]:
     return first, min(2 * first, window)
 
 
-_ROWS = "hash long, id long, place long"  # place: the text's tag and the window's start
+#: place: the text's tag and the window's start.  n: 0 for a window still to be
+#: judged, else the number of starts from this one on that are settled.
+_ROWS = "hash long, id long, place long, n long"
+#: Windows that a task holds and settles together.
+_HELD = 1_000_000
 
 
 def _place(tag: int, starts: np.ndarray) -> np.ndarray:
     return np.int64(tag << 31) + starts.astype(np.int64)
 
 
-def _emit(rows: list[tuple[np.ndarray, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    if rows:
-        hashes = np.concatenate([h for h, _, _ in rows]).view(np.int64)
-        ids = np.repeat(np.array([i for _, i, _ in rows], np.int64), [len(h) for h, _, _ in rows])
-        places = np.concatenate([p for _, _, p in rows])
-        yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(ids), pa.array(places)], ["hash", "id", "place"])
+def _spread(places: np.ndarray) -> np.ndarray:
+    """Any even value: settled rows need no group."""
+    return places.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-#: Windows that are held before they are passed on.
-_HELD = 1_000_000
+def _batch(hashes, ids, places, n) -> pa.RecordBatch:
+    cols = [pa.array(hashes.view(np.int64)), pa.array(ids), pa.array(places), pa.array(n.astype(np.int64))]
+    return pa.RecordBatch.from_arrays(cols, ["hash", "id", "place", "n"])
+
 
+def _grouped(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by hash and id, and each ordered row's first and last place in its group."""
+    order = np.lexsort((ids, hashes))
+    h = hashes[order]
+    heads = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+    size = np.diff(np.r_[heads, len(h)])
+    return order, np.repeat(heads, size), np.repeat(heads + size - 1, size)
+
+
+def _shared(hashes: np.ndarray, ids: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+    """Windows of two documents or more are settled; of these, two rows stay as witnesses."""
+    order, first, last = _grouped(hashes, ids)
+    at, i = np.arange(len(order)), ids[order]
+    settled = i[first] < i[last]
+    free = settled & (at != first) & (at != last)
+    h = hashes[order]
+    h[free] = _spread(places[order][free])
+    return _batch(h, i, places[order], settled)
+
+
+def _smallest(hashes: np.ndarray, ids: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+    """Windows that also start in a smaller document are settled, as ranges."""
+    order, first, _ = _grouped(hashes, ids)
+    gone = np.empty(len(order), bool)
+    gone[order] = ids[order] > ids[order][first]
+    i, p = ids[gone], places[gone]
+    heads = np.flatnonzero(np.r_[True, (p[1:] != p[:-1] + 1) | (i[1:] != i[:-1])][: len(p)])
+    runs = np.diff(np.r_[heads, len(p)])
+    left = ~gone
+    return _batch(
+        np.r_[hashes[left], _spread(p[heads])],
+        np.r_[ids[left], i[heads]],
+        np.r_[places[left], p[heads]],
+        np.r_[np.zeros(int(left.sum()), np.int64), runs],
+    )
 
-def _texts(batch: pa.RecordBatch, with_starts: bool) -> Iterator[tuple[int, int, Rolling, np.ndarray | None]]:
-    """id, tag, rolling hashes and candidate starts of the rows that have an id."""
-    column = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
-    texts = column["_text"]
-    for k in range(batch.num_rows):
-        doc, text = column["_id"][k].as_py(), texts[k].as_py()
-        if doc is None or not text:
-            continue
-        starts = np.sort(column["_starts"][k].values.to_numpy(zero_copy_only=False)) if with_starts else None
-        yield doc, column["_tag"][k].as_py(), Rolling(text.encode()), starts
 
+def _windows(starts_of: Callable, length: int, settle: Callable) -> Callable:
+    """A map over texts that emits ``_ROWS`` for the windows of ``length`` words at
+    ``starts_of(rolling, candidates)``, settling what a task holds."""
 
-def _windows(with_starts: bool, hashes: Callable) -> Callable:
-    """A map over texts that emits ``_ROWS`` for what ``hashes(rolling, starts)`` gives."""
+    def flush(held: list[tuple[np.ndarray, int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if held:
+            ids = np.repeat(np.array([i for _, i, _ in held], np.int64), [len(h) for h, _, _ in held])
+            yield settle(np.concatenate([h for h, _, _ in held]), ids, np.concatenate([p for _, _, p in held]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
+        held, size = [], 0
         for batch in batches:
-            for doc, tag, rolling, starts in _texts(batch, with_starts):
-                for found, places in hashes(rolling, starts):
-                    if len(found):
-                        rows.append((found, doc, _place(tag, places)))
-                        held += len(found)
-                if held > _HELD:
-                    yield from _emit(rows)
-                    rows, held = [], 0
-        yield from _emit(rows)
+            column = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+            given = column.get("_starts")
+            for k in range(batch.num_rows):
+                doc, text = column["_id"][k].as_py(), column["_text"][k].as_py()
+                if doc is None or not text:
+                    continue
+                rolling = Rolling(text.encode())
+                candidates = None if given is None else given[k].values.to_numpy(zero_copy_only=False)
+                starts = starts_of(rolling, candidates)
+                if len(starts):
+                    held.append((rolling.at(starts, length), doc, _place(column["_tag"][k].as_py(), starts)))
+                    size += len(starts)
+                if size > _HELD:
+                    yield from flush(held)
+                    held, size = [], 0
+        yield from flush(held)
 
     return run
 
 
-def _repeated(rows: DataFrame) -> DataFrame:
-    """``_id, _tag, _starts`` of windows whose hash occurs with two ids or more."""
-    shared = rows.groupBy("hash").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("hash")
-    kept = rows.join(shared, "hash")
-    return _by_text(kept, F.collect_list(F.col("place").bitwiseAND(F.lit(0x7FFFFFFF).cast("long"))).alias("_starts"))
+def _start():
+    return F.col("place").bitwiseAND(F.lit(0x7FFFFFFF).cast("long")).cast("int")
 
 
-def _by_text(rows: DataFrame, gathered) -> DataFrame:
+def _by_text(rows: DataFrame, gathered: Column) -> DataFrame:
     # as many entries as the text has words, at most
     return rows.groupBy(F.col("id").alias("_id"), F.shiftrightunsigned("place", 31).alias("_tag")).agg(gathered)
 
 
-def _full_windows(window: int, second: int) -> Callable:
-    """Full windows that hold a surviving window, with each batch's own repeats marked.
+def _with(texts: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``texts`` with the array that ``found`` has for each.
 
-    Emits ``hash, id, place, n``: ``n`` = 0 for a window still to be judged, and
-    for marked ones the number of starts from ``place`` on.
+    All joins of texts are null-safe: that adds no filter to the side of the
+    texts, so they plan the same exchange of it and Spark runs it once.
     """
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc, tag, rolling, survivors in _texts(batch, True):
-                delta = np.zeros(rolling.n + 2, np.int64)
-                np.add.at(delta, np.maximum(survivors - (window - second), 0), 1)
-                np.add.at(delta, survivors + 1, -1)
-                starts = np.flatnonzero(np.cumsum(delta)[: max(0, rolling.n - window + 1)])
-                if len(starts):
-                    rows.append((rolling.at(starts, window), doc, _place(tag, starts)))
-            if not rows:
-                continue
-            hashes = np.concatenate([h for h, _, _ in rows])
-            ids = np.repeat(np.array([i for _, i, _ in rows], np.int64), [len(h) for h, _, _ in rows])
-            places = np.concatenate([p for _, _, p in rows])
-            order = np.lexsort((ids, hashes))
-            h, new = hashes[order], np.ones(len(order), bool)
-            new[1:] = h[1:] != h[:-1]
-            least = ids[order][new][np.cumsum(new) - 1]
-            marked = np.empty(len(order), bool)
-            marked[order] = ids[order] > least
-            yield _four(hashes[~marked], ids[~marked], places[~marked], np.zeros(int((~marked).sum()), np.int64))
-            if marked.any():  # runs of marked starts of one text, as ranges
-                i, p = ids[marked], places[marked]
-                head = np.ones(len(p), bool)
-                head[1:] = (p[1:] != p[:-1] + 1) | (i[1:] != i[:-1])
-                at = np.flatnonzero(head)
-                yield _four(_mixed(p[at]), i[at], p[at], np.diff(np.r_[at, len(p)]))
-
-    return run
-
-
-def _mixed(places: np.ndarray) -> np.ndarray:
-    """Any spread-out value: ranges need no partner."""
-    return places.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+    array = found.columns[-1]
+    other = found.select(F.col("_id").alias("_i"), F.col("_tag").alias("_t"), array)
+    on = F.col("_id").eqNullSafe(F.col("_i")) & F.col("_tag").eqNullSafe(F.col("_t"))
+    return texts.join(other, on, how).select(*texts.columns, array)
 
 
-def _four(hashes, ids, places, n) -> pa.RecordBatch:
-    cols = [pa.array(hashes.view(np.int64)), pa.array(ids), pa.array(places), pa.array(n.astype(np.int64))]
-    return pa.RecordBatch.from_arrays(cols, ["hash", "id", "place", "n"])
+def _survivors(rows: DataFrame) -> DataFrame:
+    """``_id, _tag, _starts`` of windows that occur with two ids or more."""
+    same = Window.partitionBy("hash")  # at most two rows of a task, or one document's
+    seen = rows.select("*", F.min("id").over(same).alias("a"), F.max("id").over(same).alias("b"))
+    return _by_text(seen.where("n > 0 OR a < b"), F.collect_list(_start()).alias("_starts"))
 
 
 def removed_starts(texts: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -211,25 +220,32 @@ def removed_starts(texts: DataFrame, window: int = WINDOW) -> DataFrame:
 
     ``texts`` has ``_id, _tag, _text`` (and what else shares its shuffle)."""
     first, second = levels(window)
+    reach = window - second
+
+    def sampled(r: Rolling, _) -> np.ndarray:
+        return r.samples(first, window) if r.n >= window else np.zeros(0, np.int64)
+
+    def doubled(r: Rolling, starts: np.ndarray) -> np.ndarray:
+        both = np.union1d(starts, starts - first)  # to the right, to the left
+        return both[(both >= 0) & (both + second <= r.n)]
 
-    def sampled(r: Rolling, _):
-        if r.n >= window:
-            starts = r.samples(first, window)
-            yield r.at(starts, first), starts
+    def full(r: Rolling, starts: np.ndarray) -> np.ndarray:
+        """Starts of the full windows that hold a surviving window."""
+        delta = np.zeros(r.n + 2, np.int64)
+        np.add.at(delta, np.maximum(starts - reach, 0), 1)
+        np.add.at(delta, starts + 1, -1)
+        return np.flatnonzero(np.cumsum(delta)[: max(0, r.n - window + 1)])
 
-    def doubled(r: Rolling, starts: np.ndarray):
-        for s in (starts, starts - first):  # to the right, to the left
-            s = s[(s >= 0) & (s + second <= r.n)]
-            yield r.at(s, second), s
+    def level(starts_of: Callable, length: int, settle: Callable, candidates: DataFrame | None) -> DataFrame:
+        given = texts if candidates is None else _with(texts, candidates, "inner")
+        return given.mapInArrow(_windows(starts_of, length, settle), _ROWS)
 
-    a = _repeated(texts.mapInArrow(_windows(False, sampled), _ROWS))
-    b = _repeated(texts.join(a, ["_id", "_tag"]).mapInArrow(_windows(True, doubled), _ROWS).distinct())
-    full = texts.join(b, ["_id", "_tag"]).mapInArrow(_full_windows(window, second), _ROWS + ", n long")
-    # a hash has at most one document per batch here
+    one = _survivors(level(sampled, first, _shared, None))
+    two = _survivors(level(doubled, second, _shared, one))
+    last = level(full, window, _smallest, two)
     least = F.min(F.when(F.col("n") == 0, F.col("id"))).over(Window.partitionBy("hash"))
-    gone = full.withColumn("_least", least).where((F.col("n") > 0) | (F.col("id") > F.col("_least")))
-    start = F.col("place").bitwiseAND(F.lit(0x7FFFFFFF).cast("long")).cast("int")
-    ranges = F.collect_list(F.struct(start.alias("at"), F.greatest("n", F.lit(1)).cast("int").alias("n")))
+    gone = last.withColumn("_least", least).where((F.col("n") > 0) | (F.col("id") > F.col("_least")))
+    ranges = F.collect_list(F.struct(_start().alias("at"), F.greatest("n", F.lit(1)).cast("int").alias("n")))
     return _by_text(gone, ranges.alias("_gone"))
 
 
@@ -271,7 +287,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
                 [*batch.columns[: len(names)], *new], [*names, "n_words", "n_removed", "kept_text"]
             )
 
-    joined = texts.join(removed_starts(texts, window), ["_id", "_tag"], "left").select(*names, "_gone")
+    joined = _with(texts, removed_starts(texts, window), "left")
     done = joined.mapInArrow(keep, T.StructType(fields))
     back = {id_col: "_id", text_col: "_text"} | {c: f"_c{k}" for k, c in enumerate(rest)}
     row = F.struct(*[F.col(back[c]).alias(c) for c in docs.columns])
@@ -285,3 +301,25 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs).select(
         "row.doc_id", "n_words", "n_removed", F.sha2(F.coalesce("kept_text", whole), 256).alias("kept_sha256")
     )
+
+
+SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)),
+windows AS (
+  SELECT doc_id, i, word,
+    CASE WHEN count(*) OVER w = 50 THEN string_agg(word, ' ') OVER w END AS text50
+  FROM words WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+judged AS (
+  SELECT doc_id, i, word, text50 IS NOT NULL AND min(doc_id) OVER (PARTITION BY text50) < doc_id AS gone FROM windows),
+covered AS (
+  SELECT doc_id, i, word,
+    max(CAST(gone AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 1 AS gone
+  FROM judged),
+kept AS (
+  SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS text
+  FROM covered GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
