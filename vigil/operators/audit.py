@@ -53,14 +53,20 @@ def constraint_audit(records: DataFrame, key: Sequence[str] = RECORD_KEY) -> Dat
 
 
 def schema_audit(df: DataFrame, expected: T.StructType = PROTECTED_SCHEMA) -> DataFrame:
-    """Expected vs actual columns and types, with observed null counts.
+    """Expected vs actual columns, types and nullability, with observed null counts.
 
-    ``status``: ``ok``, ``missing``, ``unexpected`` or ``type_mismatch``.
+    Files carry no NOT NULL, so nullability is judged on the data: ``status`` is
+    ``ok``, ``missing``, ``unexpected``, ``type_mismatch``, or ``has_nulls`` for a
+    column that must not be null and is.
     """
     spark = df.sparkSession
-    schema = "column_name string, type_name string"
-    exp = spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in expected.fields], schema)
-    act = spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields], schema)
+    exp = spark.createDataFrame(
+        [(f.name, f.dataType.simpleString(), f.nullable) for f in expected.fields],
+        "column_name string, type_name string, expected_nullable boolean",
+    )
+    act = spark.createDataFrame(
+        [(f.name, f.dataType.simpleString()) for f in df.schema.fields], "column_name string, type_name string"
+    )
     agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(df.columns)])
     null_counts = agg.select(
         F.explode(
@@ -79,10 +85,11 @@ def schema_audit(df: DataFrame, expected: T.StructType = PROTECTED_SCHEMA) -> Da
         F.when(F.col("actual_type").isNull(), F.lit("missing"))
         .when(F.col("expected_type").isNull(), F.lit("unexpected"))
         .when(F.col("expected_type") != F.col("actual_type"), F.lit("type_mismatch"))
+        .when(~F.col("expected_nullable") & (F.col("n_nulls") > 0), F.lit("has_nulls"))
         .otherwise(F.lit("ok"))
     )
     return joined.join(null_counts, "column_name", "left").select(
-        "column_name", "expected_type", "actual_type", status.alias("status"), "n_nulls"
+        "column_name", "expected_type", "actual_type", "expected_nullable", status.alias("status"), "n_nulls"
     )
 
 

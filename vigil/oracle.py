@@ -331,8 +331,9 @@ ORACLE_SQL: dict[str, str] = {
     FROM per_key""",
     "schema_audit": _with(*BASE)
     + """, expected AS (
-      SELECT * FROM (VALUES ('id_digest', 'string'), ('secret_digest', 'string'), ('is_hash', 'boolean'),
-        ('hash_type', 'string'), ('source', 'string'), ('p2', 'string'), ('p4', 'string')) t(column_name, expected_type)),
+      SELECT *, false AS expected_nullable FROM (VALUES ('id_digest', 'string'), ('secret_digest', 'string'),
+        ('is_hash', 'boolean'), ('hash_type', 'string'), ('source', 'string'), ('p2', 'string'), ('p4', 'string'))
+        t(column_name, expected_type)),
     actual AS (
       SELECT * FROM (VALUES ('id_digest', 'string'), ('secret_digest', 'string'), ('is_hash', 'boolean'),
         ('hash_type', 'string'), ('source', 'string'), ('p2', 'string'), ('p4', 'string'), ('seq', 'bigint'))
@@ -345,9 +346,10 @@ ORACLE_SQL: dict[str, str] = {
           count(*) - count(line_no) AS seq
         FROM protected) UNPIVOT (n_nulls FOR column_name IN (id_digest, secret_digest, is_hash, hash_type,
           source, p2, p4, seq)))
-    SELECT coalesce(e.column_name, a.column_name) AS column_name, e.expected_type, a.actual_type,
+    SELECT coalesce(e.column_name, a.column_name) AS column_name, e.expected_type, a.actual_type, e.expected_nullable,
       CASE WHEN a.actual_type IS NULL THEN 'missing' WHEN e.expected_type IS NULL THEN 'unexpected'
-           WHEN e.expected_type <> a.actual_type THEN 'type_mismatch' ELSE 'ok' END AS status,
+           WHEN e.expected_type <> a.actual_type THEN 'type_mismatch'
+           WHEN NOT e.expected_nullable AND n.n_nulls > 0 THEN 'has_nulls' ELSE 'ok' END AS status,
       CAST(n.n_nulls AS BIGINT) AS n_nulls
     FROM expected e FULL OUTER JOIN actual a ON e.column_name = a.column_name
     LEFT JOIN nulls n ON n.column_name = coalesce(e.column_name, a.column_name)""",
