@@ -35,6 +35,21 @@ def test_first_occurrence_keeps_earliest(spark):
     assert _rows(first, RECORD_KEY + ["seq", "copies"]) == _rows(expect, RECORD_KEY + ["seq", "copies"])
 
 
+def test_insert_into_a_target_with_a_hot_key(spark):
+    """What the probe finds is made distinct: repeats in the target do not grow it."""
+    recs = _recs(spark).drop("seq")
+    hot = recs.limit(1)
+    target = hot.crossJoin(spark.range(5000)).drop("id").unionByName(recs.sample(fraction=0.3, seed=5))
+    new = insert_if_absent(recs, target)
+    assert _rows(union_roots([new, target]).dropDuplicates(RECORD_KEY)) == _rows(dedupe(recs))
+    plan = new._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert "LeftSemi" in plan and "LeftAnti" in plan and "HashAggregate(keys=[id_digest" in plan
+    # keys with nulls match too
+    odd = recs.withColumn("source", F.lit(None).cast("string"))
+    assert insert_if_absent(odd, odd).count() == 0
+    assert insert_if_absent(odd, odd, max_broadcast_bytes=0).count() == 0
+
+
 def test_insert_if_absent(spark):
     recs = _recs(spark).drop("seq")
     target = recs.sample(fraction=0.5, seed=3)
@@ -115,22 +130,8 @@ import hmac as _hmac
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tests.test_functions import _model_normalise, _model_scheme
-from vigil.functions.text import JS_WHITESPACE as JS_WS
-
-
-def _model_first_colon(line, keys):
-    if not line:
-        return None
-    sep = line.find(":")
-    if sep < 1:
-        return "no_separator"
-    raw_id, raw_pw = line[:sep], line[sep + 1:]
-    if "@" not in raw_id.lower().strip(JS_WS):
-        return "no_at"
-    idd = _hmac.new(keys.identifier.material, _model_normalise(raw_id).encode(), _hashlib.sha256).hexdigest()
-    sd = _hmac.new(keys.secret.material, raw_pw.encode(), _hashlib.sha256).hexdigest()
-    return (idd, sd, _model_scheme(raw_pw))
+from tests.test_functions import _scheme
+from vigil.functions.text import normalise_identifier
 
 
 _fc_line = st.one_of(
@@ -142,17 +143,28 @@ _fc_line = st.one_of(
 
 @settings(max_examples=25, deadline=None)
 @given(st.lists(_fc_line, min_size=1, max_size=25))
-def test_first_colon_protect_matches_model(spark, lines):
+def test_first_colon_records(spark, lines):
+    """Accepted lines are those with a character before their first colon and an
+    ``@`` there; digests are stdlib HMACs of the normalised identifier and of
+    everything after that colon."""
     from vigil.operators.parse import parse_first_colon
     from vigil.operators.protect import protect
 
     df = spark.createDataFrame([("s", 0, i, ln) for i, ln in enumerate(lines)],
                                "source string, block bigint, seq bigint, line string")
-    got = sorted((r["seq"], r["id_digest"], r["secret_digest"], r["hash_type"])
-                 for r in protect(parse_first_colon(df), TEST_KEYS, keep=["seq"]).collect())
-    want = sorted((i, *m) for i, m in ((i, _model_first_colon(ln, TEST_KEYS)) for i, ln in enumerate(lines))
-                  if isinstance(m, tuple))
-    assert got == want
+    got = {r["seq"]: (r["id_digest"], r["secret_digest"], r["hash_type"])
+           for r in protect(parse_first_colon(df), TEST_KEYS, keep=["seq"]).collect()}
+    cut = {i: ln.partition(":") for i, ln in enumerate(lines)}
+    assert set(got) == {i for i, (ident, colon, _) in cut.items() if colon and "@" in ident}
+
+    def digest(key, text):
+        return _hmac.new(key.material, text.encode(), _hashlib.sha256).hexdigest()
+
+    idents = spark.createDataFrame([(i, c[0]) for i, c in cut.items()], "i bigint, v string")
+    normal = dict(idents.select("i", normalise_identifier(F.col("v"))).collect())
+    for i, found in got.items():
+        secret = cut[i][2]
+        assert found == (digest(TEST_KEYS.identifier, normal[i]), digest(TEST_KEYS.secret, secret), _scheme(secret))
 
 
 def test_record_key_is_not_an_ambiguous_string(spark):
