@@ -30,7 +30,8 @@ from vigil.llm.encoding import encoder, vocabulary_path
 from vigil.llm.spark import frozen, table
 
 CAPACITY = 2048
-#: Salts per length.  Each (length, salt) group is numbered by itself.
+#: Salts per length, or the session's shuffle partitions if those are more.
+#: Each (length, salt) group is numbered by itself.
 SALTS = 64
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -114,13 +115,14 @@ def plan_slots(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tupl
     return plan
 
 
-def ranked(pieces: DataFrame, key: str, order: list[str], salts: int = SALTS, rank: str = "rank") -> DataFrame:
+def ranked(pieces: DataFrame, key: str, order: list[str], salts: int | None = None, rank: str = "rank") -> DataFrame:
     """Adds a dense 0-based ``rank`` within ``key``, without one group per key.
 
     ``pieces`` must be frozen: it is read twice.  Rows that tie on all of
     ``order`` are told apart arbitrarily, so ``order`` should hold every column
     that matters.
     """
+    salts = salts or max(SALTS, int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     salt = F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int")
     salted = pieces.withColumn("_salt", salt)
     before = Window.partitionBy(key).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
@@ -136,7 +138,7 @@ def ranked(pieces: DataFrame, key: str, order: list[str], salts: int = SALTS, ra
     )
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, salts: int | None = None) -> DataFrame:
     """``PIECES`` plus ``sequence_id`` and ``offset``: pieces of one sequence
     follow each other without gaps from offset 0 and fill at most ``capacity``."""
     spark = pieces.sparkSession
