@@ -23,16 +23,16 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.llm.simhash import shingle_hashes
 from vigil.llm.spark import table
+from vigil.operators.numbering import quantile_bounds, range_of
 
 K = 128
 WORDS = 5
@@ -104,17 +104,6 @@ def sketch_hashes(parts: DataFrame, key: str, text_col: str = "text", k: int = K
     return rows.select(key, unsigned.cast("decimal(20,0)").alias("hash"))
 
 
-def _bucket(value: Column, bounds: list[int]) -> Column:
-    """How many of the ascending ``bounds`` are at most ``value`` (0 for null), searched in two steps."""
-    if not bounds:
-        return F.lit(0)
-    step = math.isqrt(len(bounds)) + 1
-    coarse = F.array(*[F.lit(b).cast("long") for b in bounds[::step]])
-    fine = F.array(*[F.lit(b).cast("long") for b in bounds])
-    block = F.greatest(F.size(F.filter(coarse, lambda b: b <= value)) - 1, F.lit(0)) * step
-    return (block + F.size(F.filter(F.slice(fine, block + 1, step), lambda b: b <= value))).cast("int")
-
-
 def next_in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> DataFrame:
     """``doc_id, text, target, extra``, partitioned by ``target`` and sorted so that
     each row's successor is the row after it; ``extra`` rows only follow others.
@@ -126,9 +115,8 @@ def next_in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ids = rows.select("doc_id")
-    cuts = ids.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 50 * n).alias("q")).first()["q"] if n > 1 else []
-    bounds = sorted(set(cuts or []))
-    bucket = _bucket(F.col("doc_id"), bounds)
+    bounds = quantile_bounds(ids, "doc_id", n)
+    bucket = range_of(F.col("doc_id"), bounds).cast("int")
     heads = {r["b"]: r["head"] for r in ids.groupBy(bucket.alias("b")).agg(F.max("doc_id").alias("head")).collect()}
     there = sorted(heads)
     # a range's first document also goes to the range that comes before; the very first goes to the last
