@@ -35,15 +35,10 @@ def _small_star(links: DataFrame) -> DataFrame:
 def component_ids(links: DataFrame) -> DataFrame:
     """``id, component`` for every node of ``links`` (``src`` > ``dst``) but the
     components' smallest nodes, which have themselves as component and no row."""
-    links = frozen(links.select("src", "dst"))
+    links = frozen(links.select("src", "dst").distinct())
 
     def state(df: DataFrame):
-        r = df.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.coalesce(F.bit_xor(F.xxhash64("src", "dst")), F.lit(0)).alias("x"),
-            F.count_distinct("src").alias("nodes"),
-        ).first()
-        return r["n"], r["x"], r["nodes"]
+        return tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("src", "dst"))).first())
 
     before = state(links)
     for _ in range(_MAX_ROUNDS):
