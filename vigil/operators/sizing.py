@@ -1,8 +1,7 @@
-"""Size-checked broadcast.
+"""Sizes of join sides.
 
-A side is broadcast only after it has been materialised in the shared
-checkpoint folder and measured; above the bound it is returned as is and
-the join falls back to a shuffle join (AQE splits skewed partitions).
+A side is broadcast only after it has been measured; each operator says what
+it does above the bound.
 """
 
 from __future__ import annotations
@@ -36,19 +35,3 @@ def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (cuts lineage)."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def sized_side(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """Materialise ``df`` and report whether it fits the broadcast bound."""
-    m = materialise(df)
-    _, size = estimate_bytes(m)
-    return m, size <= max_bytes
-
-
-def bounded_broadcast(
-    df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, materialize: bool = True
-) -> DataFrame:
-    """Return ``df`` with a broadcast hint when its measured size fits."""
-    m = materialise(df) if materialize else df
-    _, size = estimate_bytes(m)
-    return F.broadcast(m) if size <= max_bytes else m
