@@ -27,6 +27,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,9 @@ from vigil.llm.encoding import encoder, vocabulary_path
 from vigil.llm.spark import scratch_path, table
 
 SEQ_LEN = 512
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
+#: Documents or records that a task passes on at a time.
+_DOCS, _RECORDS = 128, 2048
 KEY = 0x5EED_0F_7261
 ROUNDS = 6
 SEPARATOR = 0
@@ -128,7 +131,7 @@ def sequences(docs: DataFrame, path: str, layout: Layout) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for batch in batches:
+        for batch in (b.slice(k, _DOCS) for b in batches for k in range(0, b.num_rows, _DOCS)):
             addresses, ties, records = [], [], []
             for doc, text, tie in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 ids = np.append(enc.encode(text.as_py()), SEPARATOR).astype(f"<u{layout.id_bytes}")
@@ -171,53 +174,55 @@ def manifest(spark: SparkSession, at: str, layout: Layout) -> DataFrame:
     return listed.withColumn("first_slot", F.coalesce(F.sum("records").over(before), F.lit(0)))
 
 
-def read_shards(spark: SparkSession, at: str, layout: Layout, from_slot: int = 0) -> DataFrame:
-    """``slot, shard, doc_id, piece, n_tokens, ids`` from ``from_slot`` on; earlier shards are not opened."""
-    names = ["slot", "shard", "doc_id", "piece", "n_tokens", "ids"]
-    record = np.dtype([("h", _HEADER), ("ids", f"<u{layout.id_bytes}", (layout.seq_len,)), ("end", "u1")])
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for shard, first, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                rows = np.frombuffer(content.as_buffer(), record)
-                if (rows["end"] != 10).any():
-                    raise ValueError(f"shard {shard} is not a whole number of records")
-                skip = max(0, from_slot - first)
-                for k in range(skip, len(rows), 4096):
-                    part = rows[k : k + 4096]
-                    n = part["h"]["n_tokens"].astype(np.int64)
-                    inside = np.arange(layout.seq_len) < n[:, None]
-                    flat = part["ids"][inside].astype(np.int32)
-                    ends = np.r_[0, np.cumsum(n)].astype(np.int32)
-                    docs = part["h"]["doc_id"].astype(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.arange(first + k, first + k + len(part))),
-                            pa.array(np.full(len(part), shard, np.int32)),
-                            pa.array(docs, mask=docs == layout.lowest),
-                            pa.array(part["h"]["piece"].astype(np.int32)),
-                            pa.array(n),
-                            pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                        ],
-                        names,
-                    )
+def read_shards(spark: SparkSession, at: str, layout: Layout, from_slot: int = 0, with_ids: bool = True) -> DataFrame:
+    """``slot, shard, doc_id, piece, n_tokens, ids_crc32`` and, ``with_ids``, ``ids``
+    from ``from_slot`` on; earlier shards are not opened.  ``ids_crc32`` is over the
+    ids as little-endian unsigned 32-bit integers.
 
+    Records are streamed by Hadoop's fixed-length reader (no DataFrame source
+    reads such files without holding one whole), which splits files between
+    records and gives each one's position.
+    """
+    schema = "shard int, place long, doc_id long, piece int, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
     listed = manifest(spark, at, layout).where(F.col("first_slot") + F.col("records") > from_slot)
-    content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(at)
-    files = content.select("path", "content").join(F.broadcast(listed), "path")  # one row per shard
-    return files.select("shard", "first_slot", "content").mapInArrow(
-        run, "slot long, shard int, doc_id long, piece int, n_tokens long, ids array<int>"
-    )
-
-
-def crc32_of(ids, id_bytes: int = 4):
-    """CRC-32 of ids as little-endian unsigned integers, as a column."""
-
-    @F.pandas_udf("long")
-    def crc(values):
-        return values.map(lambda v: zlib.crc32(np.asarray(v, f"<u{id_bytes}").tobytes()))
+    paths = [r["path"] for r in listed.select("path").collect()]  # one per shard
+    if not paths:
+        return spark.createDataFrame([], schema).select(F.lit(0).cast("long").alias("slot"), "*").drop("place")
+    record = np.dtype([("h", _HEADER), ("ids", f"<u{layout.id_bytes}", (layout.seq_len,)), ("end", "u1")])
 
-    return crc(ids)
+    def decode(group: list[tuple[int, bytes]]) -> Iterator[tuple]:
+        rows = np.frombuffer(b"".join(raw for _, raw in group), record)
+        if (rows["end"] != 10).any():
+            raise ValueError("a shard is not a whole number of records")
+        own, piece = rows["h"]["doc_id"], rows["h"]["piece"].astype(np.int64)
+        places = permute((own - layout.lowest) * layout.pieces + piece, layout.domain, layout.key)
+        columns = (
+            layout.shard_of(places).tolist(),
+            [p // layout.stride for p, _ in group],
+            [None if d == layout.lowest else d for d in own.tolist()],
+            piece.tolist(),
+            rows["h"]["n_tokens"].tolist(),
+        )
+        for row, ids in zip(zip(*columns), rows["ids"].astype("<u4")):
+            ids = ids[: row[-1]]
+            yield (*row, zlib.crc32(ids.tobytes()), *([ids.tolist()] if with_ids else []))
+
+    def run(records: Iterable[tuple[int, bytes]]) -> Iterator[tuple]:
+        records = iter(records)
+        while group := list(islice(records, _RECORDS)):
+            yield from decode(group)
+
+    found = spark.sparkContext.newAPIHadoopFile(
+        ",".join(paths),
+        "org.apache.hadoop.mapreduce.lib.input.FixedLengthInputFormat",
+        "org.apache.hadoop.io.LongWritable",
+        "org.apache.hadoop.io.BytesWritable",
+        conf={"fixedlengthinputformat.record.length": str(layout.stride)},
+    )
+    rows = spark.createDataFrame(found.mapPartitions(run), schema, verifySchema=False)
+    slots = rows.join(F.broadcast(listed.select("shard", "first_slot")), "shard")  # one row per shard
+    slots = slots.withColumn("slot", F.col("first_slot") + F.col("place")).where(F.col("slot") >= from_slot)
+    return slots.select("slot", *[c for c in rows.columns if c != "place"])
 
 
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,5 +232,4 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = layout_for(docs, path)
     to = scratch_path(spark, "token-shards")
     write_shards(docs, path, to, layout)
-    found = read_shards(spark, to, layout)
-    return found.select("slot", "shard", "doc_id", "piece", "n_tokens", crc32_of("ids").alias("ids_crc32"))
+    return read_shards(spark, to, layout, with_ids=False)
