@@ -193,32 +193,33 @@ def _start():
 
 def _by_text(rows: DataFrame, gathered: Column) -> DataFrame:
     # as many entries as the text has words, at most
-    return rows.groupBy(F.col("id").alias("_id"), F.shiftrightunsigned("place", 31).alias("_tag")).agg(gathered)
+    text = [F.coalesce("id", F.lit(0)).alias("_key"), F.shiftrightunsigned("place", 31).alias("_tag")]
+    return rows.select(*text, "place", "n").groupBy("_key", "_tag").agg(gathered)
 
 
 def _with(texts: DataFrame, found: DataFrame, how: str) -> DataFrame:
     """``texts`` with the array that ``found`` has for each.
 
-    All joins of texts are null-safe: that adds no filter to the side of the
-    texts, so they plan the same exchange of it and Spark runs it once.
+    The keys are never null on the side of the texts, so no join adds a filter
+    there: all of them plan the same exchange of the texts and Spark runs it
+    once.  What is found is grouped by the same keys and moves no second time.
     """
     array = found.columns[-1]
-    other = found.select(F.col("_id").alias("_i"), F.col("_tag").alias("_t"), array)
-    on = F.col("_id").eqNullSafe(F.col("_i")) & F.col("_tag").eqNullSafe(F.col("_t"))
-    return texts.join(other, on, how).select(*texts.columns, array)
+    return texts.join(found, ["_key", "_tag"], how).select(*texts.columns, array)
 
 
 def _survivors(rows: DataFrame) -> DataFrame:
-    """``_id, _tag, _starts`` of windows that occur with two ids or more."""
+    """``_key, _tag, _starts`` of windows that occur with two ids or more."""
     same = Window.partitionBy("hash")  # at most two rows of a task, or one document's
     seen = rows.select("*", F.min("id").over(same).alias("a"), F.max("id").over(same).alias("b"))
     return _by_text(seen.where("n > 0 OR a < b"), F.collect_list(_start()).alias("_starts"))
 
 
 def removed_starts(texts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``_id, _tag, _from, _n`` (arrays): ranges of starts of removed windows, per text.
+    """``_key, _tag, _gone``: ranges (``at``, ``n``) of starts of removed windows, per text.
 
-    ``texts`` has ``_id, _tag, _text`` (and what else shares its shuffle)."""
+    ``texts`` has ``_key`` (the id, 0 for none), ``_id, _tag, _text`` (and what else
+    shares its shuffle)."""
     first, second = levels(window)
     reach = window - second
 
@@ -269,6 +270,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
     text = F.col(f"`{text_col}`").cast("string")
     texts = docs.select(
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0)).alias("_key"),
         F.col(f"`{id_col}`").cast("long").alias("_id"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("_tag"),
         text.alias("_text"),
@@ -279,8 +281,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, gone = batch.column(names.index("_text")), batch.column(len(names))
-            found = [_kept((t.as_py() or "").encode(), g.values if g.is_valid else None, window) for t, g in zip(raw, gone)]
+            own, raw, gone = (batch.column(k) for k in (names.index("_id"), names.index("_text"), len(names)))
+            found = [
+                _kept((t.as_py() or "").encode(), g.values if g.is_valid and i.is_valid else None, window)
+                for i, t, g in zip(own, raw, gone)
+            ]
             words, removed, kept = zip(*found) if found else ((), (), ())
             new = [pa.array(words, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays(
