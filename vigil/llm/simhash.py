@@ -32,7 +32,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.llm.components import component_ids
@@ -182,14 +182,18 @@ def one_per_group(
     (of rows without an id, that with the smallest text hash)."""
     found = near_duplicates(docs, words, max_bits, id_col, text_col)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("first")
-    kept = found.groupBy("group").agg(first).select(F.col("first.doc_id").alias("_i"), F.col("first.tag").alias("_t"))
+    chosen = found.groupBy("group").agg(first).select("first.*")
+    keys = ["_key", "_none", "_tag"]  # never null, so that texts are shuffled once for the join and the window
+
+    def keyed(row_id: Column, tag: Column) -> list[Column]:
+        return [F.coalesce(row_id, F.lit(0)).alias("_key"), row_id.isNull().alias("_none"), tag.alias("_tag")]
+
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.col(f"`{id_col}`").cast("long").alias("_id"),
-        F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("_tag"),
+        *keyed(F.col(f"`{id_col}`").cast("long"), F.xxhash64(F.col(f"`{text_col}`").cast("string"))),
     )
-    met = rows.join(kept, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_tag") == F.col("_t")))
-    nth = F.row_number().over(Window.partitionBy("_id", "_tag").orderBy(F.xxhash64("row")))  # repeated rows
+    met = rows.join(chosen.select(*keyed(F.col("doc_id"), F.col("tag"))), keys, "left_semi")
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("row")))  # repeated rows
     return met.withColumn("_n", nth).where("_n = 1").select("row.*")
 
 
