@@ -62,16 +62,14 @@ def normalise_compare(spark: SparkSession, d: str) -> DataFrame:
     b = normalise_compat(F.col("ident"))
     normed = rows.select("source", (a != b).alias("_differ"), a.alias("_na"), b.alias("_nb"))
     digested = with_hmacs(normed, [("_da", "_na", KEYS.identifier), ("_db", "_nb", KEYS.identifier)])
-    # the digests of one form, then of both: no row is tripled for two distinct counts
+    # by digest pair first: the two distinct counts then see each pair once, not each line
     pairs = digested.groupBy("source", "_da", "_db").agg(F.count(F.lit(1)).alias("_n"), F.count_if("_differ").alias("_d"))
-    by_a = pairs.groupBy("source", "_da").agg(F.sum("_n").alias("_n"), F.sum("_d").alias("_d"))
-    of_a = by_a.groupBy("source").agg(
+    return pairs.groupBy("source").agg(
         F.sum("_n").cast("bigint").alias("n_rows"),
         F.sum("_d").cast("bigint").alias("n_differ"),
-        F.count("_da").alias("n_ids_a"),
+        F.count_distinct("_da").alias("n_ids_a"),
+        F.count_distinct("_db").alias("n_ids_b"),
     )
-    of_b = pairs.select("source", "_db").distinct().groupBy("source").agg(F.count("_db").alias("n_ids_b"))
-    return of_a.join(of_b, "source")
 
 
 def id_digest(spark: SparkSession, d: str) -> DataFrame:
