@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vigil.llm import chat, embeddings, mixing, substring
+from vigil.llm import chat, embeddings, mixing, pivots, ranking, substring, trie
 from vigil.llm.langid import op7_language_id
 from vigil.llm.packing import op1_best_fit_packing
 from vigil.llm.shards import op8_token_shards
@@ -21,6 +21,9 @@ QUERIES = {
     "op8_token_shards": op8_token_shards,
     "op9_substring_dedup": substring.op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_topk_search": pivots.op11_topk_search,
+    "op12_prefix_trie": trie.op12_prefix_trie,
+    "op13_lexical_search": ranking.op13_lexical_search,
 }
 
 # The others need tokenizers, 64-bit hashes or trained profiles; tests hold them against brute force.
@@ -29,4 +32,7 @@ ORACLE_SQL: dict[str, str] = {
     "op5_chat": chat.SQL,
     "op6_mixing": mixing.SQL,
     "op9_substring_dedup": substring.SQL,
+    "op11_topk_search": pivots.SQL,
+    "op12_prefix_trie": trie.SQL,
+    "op13_lexical_search": ranking.SQL,
 }
