@@ -83,7 +83,7 @@ def test_batch_ingest_and_sinks(spark, tmp_dir):
     assert grade["loaded"] == 6 and grade["grade"] in ("good", "acceptable", "poor")
     recs = read_protected(spark, out.records)  # the replay has replaced the files listed before
     # shard layout: p2 directories, gzip JSON and CSV exports
-    assert all(d.startswith("p2=") for d in os.listdir(out.records) if not d.startswith(("_", ".")))
+    assert all(d.startswith("p2=") for d in os.listdir(f"{out.records}/run=b0") if not d.startswith(("_", ".")))
     write_protected(recs, f"{tmp_dir}/json", fmt="json")
     assert any(f.endswith(".json.gz") for _, _, fs in os.walk(f"{tmp_dir}/json") for f in fs)
     assert read_protected(spark, f"{tmp_dir}/json", fmt="json").count() == 7
@@ -253,7 +253,8 @@ def test_crash_between_records_and_manifest(spark, tmp_dir, monkeypatch):
     with pytest.raises(OSError):
         ingest_files(spark, src, out, TEST_KEYS, batch_id=0, dedupe=False)
     monkeypatch.undo()
-    assert read_protected(spark, out.records).count() == 2
+    # written, but not seen before the batch is committed
+    assert read_protected(spark, out.records).count() == 2 and ingest.current_records(spark, out).count() == 0
     assert [r["status"] for r in ingest.read_manifest(spark, out).collect()] == ["in-progress"]
     assert pending_files(spark, src, out).count() == 1
     for dedupe in (False, True):
@@ -276,8 +277,8 @@ def test_maintenance_switches_versions(spark, tmp_dir):
     assert latest_version(spark, out)[:2] == (1, 1) and current_records(spark, out).count() == 4
     assert not maintenance.maintain(spark, out, limits)
     _write(f"{src}/c.txt", b"e@x.test:p\na@x.test:p\n")
-    ingest_files(spark, src, out, TEST_KEYS, batch_id=2)  # goes to the new version
-    assert current_records(spark, out).count() == 6 and read_protected(spark, out.records).count() == 5
+    ingest_files(spark, src, out, TEST_KEYS, batch_id=2)  # beside the merged run
+    assert current_records(spark, out).count() == 6 and read_protected(spark, f"{out.records}/run=m1").count() == 4
 
 
 def test_path_length_counts_the_path(spark):

@@ -18,6 +18,8 @@ from vigil.functions.digest import HmacKey
 from vigil.operators import audit, exposure
 from vigil.operators.protect import Keys
 from vigil.plans import ingest, maintenance
+from vigil.plans.index import records_to_check
+from vigil.plans.runs import current_runs
 from vigil.session import build_session
 from vigil.sources.shards import read_protected
 
@@ -56,6 +58,11 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--id-key", required=True, help="file holding the identifier key (64 hex)")
         sp.add_argument("--secret-key", required=True, help="file holding the secret key (64 hex)")
 
+    def stored(sp: argparse.ArgumentParser) -> None:
+        where = sp.add_mutually_exclusive_group(required=True)
+        where.add_argument("--out", help="dataset root: the records of its committed batches")
+        where.add_argument("--records", help="a folder of shards")
+
     s = sub.add_parser("ingest", help="load text files once as one batch")
     s.add_argument("--input", required=True, nargs="+")
     s.add_argument("--out", required=True, help="dataset root (records, rejects, manifest, run_metrics)")
@@ -112,25 +119,25 @@ def _parser() -> argparse.ArgumentParser:
     keyed(s)
 
     s = sub.add_parser("check", help="exposure check for a table of id_digest values")
-    s.add_argument("--records", required=True)
+    stored(s)
     s.add_argument("--watchlist", required=True, help="parquet or .csv with an id_digest column")
     s.add_argument("--output", required=True)
     s.add_argument("--output-format", choices=("parquet", "csv"), default="csv")
 
     s = sub.add_parser("range", help="k-anonymous range lookup for 4-hex prefixes")
-    s.add_argument("--records", required=True)
+    stored(s)
     s.add_argument("--prefixes", required=True, help="parquet or .csv with a prefix column")
     s.add_argument("--k", type=_k, default=2, help="identifiers a bucket must hold, at least 2")
     s.add_argument("--output", required=True)
     s.add_argument("--output-format", choices=("parquet", "csv"), default="csv")
 
     s = sub.add_parser("profile", help="records and identifiers per source and scheme")
-    s.add_argument("--records", required=True)
+    stored(s)
     s.add_argument("--output", required=True)
     s.add_argument("--output-format", choices=("parquet", "csv"), default="csv")
 
     s = sub.add_parser("audit", help="constraint and schema audit of stored records")
-    s.add_argument("--records", required=True)
+    stored(s)
 
     s = sub.add_parser("storage", help="stored size of a table (files and bytes)")
     s.add_argument("--path", required=True)
@@ -145,11 +152,19 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("records", "files", "minutes"):
         s.add_argument(f"--{name}", type=int, default=getattr(maintenance.Thresholds(), name))
 
-    s = sub.add_parser("where", help="folder of a dataset's current records")
+    s = sub.add_parser("remove-replaced", help="delete runs that maintenance has replaced")
+    s.add_argument("--out", required=True)
+    s.add_argument("--grace-minutes", type=float, default=maintenance.GRACE_MINUTES, help="keep what was replaced later than that")
+
+    s = sub.add_parser("where", help="folders of a dataset's current records")
     s.add_argument("--out", required=True)
     return p
 
 
+def _stored(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    return read_protected(spark, a.records) if a.records else ingest.current_records(spark, ingest.Outputs(a.out))
+
+
 def run(spark: SparkSession, a: argparse.Namespace) -> int:
     c = a.command
     if c == "ingest":
@@ -187,14 +202,15 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         bad.show(truncate=False)
     elif c == "check":
         wl = _read_digests(spark, a.watchlist, "id_digest")
-        _write(exposure.exposure_check(read_protected(spark, a.records), wl), a.output, a.output_format)
+        recs = _stored(spark, a) if a.records else records_to_check(spark, ingest.Outputs(a.out), wl)
+        _write(exposure.exposure_check(recs, wl), a.output, a.output_format)
     elif c == "range":
         px = _read_digests(spark, a.prefixes, "prefix")
-        _write(exposure.prefix_range(read_protected(spark, a.records), px, k=a.k), a.output, a.output_format)
+        _write(exposure.prefix_range(_stored(spark, a), px, k=a.k), a.output, a.output_format)
     elif c == "profile":
-        _write(exposure.scheme_profile(read_protected(spark, a.records)), a.output, a.output_format)
+        _write(exposure.scheme_profile(_stored(spark, a)), a.output, a.output_format)
     elif c == "audit":
-        recs = read_protected(spark, a.records)
+        recs = _stored(spark, a)
         audit.constraint_audit(recs).show(vertical=True, truncate=False)
         audit.schema_audit(recs).orderBy("column_name").show(truncate=False)
     elif c == "storage":
@@ -210,8 +226,11 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
     elif c == "maintain":
         limits = maintenance.Thresholds(a.records, a.files, a.minutes)
         print("maintained" if maintenance.maintain(spark, ingest.Outputs(a.out), limits) else "not due")
+    elif c == "remove-replaced":
+        print("\n".join(maintenance.remove_replaced(spark, ingest.Outputs(a.out), a.grace_minutes)))
     elif c == "where":
-        print(ingest.records_path(spark, ingest.Outputs(a.out)))
+        out = ingest.Outputs(a.out)
+        print("\n".join(out.path(r) for r in current_runs(spark, out)))
     return 0
 
 

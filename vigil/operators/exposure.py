@@ -17,6 +17,26 @@ def scheme_profile(records: DataFrame, by: tuple[str, ...] = ("source", "hash_ty
     )
 
 
+def scheme_rollup(records: DataFrame) -> DataFrame:
+    """Totals by source and scheme, by source, by scheme and over all, with the share
+    of secrets that were not hashed (EXP-03).
+
+    ``level`` is the grouping id: 0 source and scheme, 1 source, 2 scheme, 3 all.  Rows collapse to
+    one per identifier, source and scheme before they are expanded into the four sets.
+    """
+    per_id = records.groupBy("id_digest", "source", "hash_type", "is_hash").agg(F.count(F.lit(1)).alias("_n"))
+    rows = per_id.groupingSets(
+        [["source", "hash_type"], ["source"], ["hash_type"], []], "source", "hash_type"
+    ).agg(
+        F.grouping_id("source", "hash_type").cast("bigint").alias("level"),
+        F.sum("_n").cast("bigint").alias("n_records"),
+        F.count_distinct("id_digest").alias("n_ids"),
+        F.coalesce(F.sum(F.when(~F.col("is_hash"), F.col("_n"))), F.lit(0)).cast("bigint").alias("n_not_hashed"),
+    )
+    share = F.when(F.col("n_records") > 0, F.round(F.col("n_not_hashed") / F.col("n_records"), 6)).otherwise(F.lit(0.0))
+    return rows.withColumn("share_not_hashed", share)
+
+
 def shard_histogram(records: DataFrame) -> DataFrame:
     """Per shard directory: records, distinct 4-hex shard keys, identifiers.
 

@@ -393,3 +393,51 @@ ORACLE_SQL: dict[str, str] = {
     FROM fprotected GROUP BY 1""",
 }
 ORACLE_SQL["stored_prefix_range"] = ORACLE_SQL["prefix_range"]
+ORACLE_SQL["scheme_rollup"] = _with(*BASE) + """ SELECT source, hash_type, CAST(grouping(source, hash_type) AS BIGINT) AS level,
+      count(*) AS n_records, count(DISTINCT id_digest) AS n_ids, count(*) FILTER (NOT is_hash) AS n_not_hashed,
+      round(count(*) FILTER (NOT is_hash) / count(*), 6) AS share_not_hashed
+    FROM protected GROUP BY GROUPING SETS ((source, hash_type), (source), (hash_type), ())"""
+ORACLE_SQL["crash_and_replay"] = _with(*BASE) + """, once AS (SELECT DISTINCT id_digest, secret_digest, hash_type, source FROM protected)
+    SELECT regexp_extract(source, '([a-z]+)[.]txt$', 1) AS name,
+      CAST(CASE WHEN source IN ('/syn/view.txt', '/syn/click.txt') THEN 1 ELSE 2 END AS BIGINT) AS batch_id,
+      hash_type, count(*) AS n_records, CAST(0 AS BIGINT) AS n_seen_before_commit
+    FROM once GROUP BY ALL"""
+ORACLE_SQL["tiered_maintenance"] = _with(LINES_CTE, FIRST_COLON_CTE) + """, upto AS (
+      SELECT v.version, count(DISTINCT (id_digest, secret_digest, source)) AS n
+      FROM fprotected JOIN (VALUES (1), (2), (3), (4)) v(version) ON line_no % 4 < v.version GROUP BY v.version)
+    SELECT CAST(u.version AS BIGINT) AS version, t.level, t.n_runs, CAST(u.n - coalesce(w.n, 0) AS BIGINT) AS rewritten,
+      u.n AS n_merged, (SELECT max(n) FROM upto) AS n_stored_at_last
+    FROM upto u JOIN (VALUES (1, 1, 1, 0), (2, 2, 1, 0), (3, 1, 2, 2), (4, 3, 1, 0)) t(version, level, n_runs, without) ON t.version = u.version
+    LEFT JOIN upto w ON w.version = t.without"""
+ORACLE_SQL["stored_insert"] = _with(LINES_CTE, FIRST_COLON_CTE) + """ SELECT DISTINCT id_digest, secret_digest, source, hash_type FROM fprotected b
+    WHERE NOT EXISTS (SELECT 1 FROM fprotected t WHERE t.line_no % 2 = 0 AND t.id_digest = b.id_digest
+                      AND t.secret_digest = b.secret_digest AND t.source = b.source)"""
+ORACLE_SQL["stored_check"] = _with(LINES_CTE, FIRST_COLON_CTE, WATCH_CTE) + """, once AS (
+      SELECT DISTINCT id_digest, secret_digest, source, hash_type FROM fprotected),
+    hits AS (
+      SELECT id_digest, count(*) AS n_records, count(DISTINCT source) AS n_sources,
+             string_agg(DISTINCT hash_type, ',' ORDER BY hash_type) AS schemes
+      FROM once WHERE id_digest IN (SELECT id_digest FROM watchlist) GROUP BY id_digest)
+    SELECT w.id_digest, coalesce(h.n_records, 0) AS n_records, coalesce(h.n_sources, 0) AS n_sources,
+           h.schemes, h.n_records IS NOT NULL AS exposed
+    FROM watchlist w LEFT JOIN hits h ON w.id_digest = h.id_digest"""
+ORACLE_SQL["resumed_merge"] = _with(*BASE, ROOTS_CTE) + (
+    " SELECT id_digest, secret_digest, source, min(hash_type) AS hash_type FROM roots GROUP BY id_digest, secret_digest, source"
+)
+ORACLE_SQL["observed_metrics"] = _with(*BASE) + """ SELECT load, count(*) FILTER (reason IS NULL) AS loaded, count(*) FILTER (reason IS NOT NULL) AS rejected
+    FROM parsed, (VALUES ('batch'), ('stream')) l(load) GROUP BY load"""
+_KEY, _ALL = "1,2,5", "1,2,3,4,5,6,7"  # columns by place
+ORACLE_SQL["catalog_audit"] = f"""
+    WITH columns_ AS (SELECT * FROM (VALUES ('id_digest', 'string'), ('secret_digest', 'string'), ('is_hash', 'boolean'),
+        ('hash_type', 'string'), ('source', 'string'), ('p2', 'string'), ('p4', 'string')) t(c, kind)),
+    items AS (
+      SELECT 'column ' || c AS item, kind AS expected FROM columns_
+      UNION ALL SELECT 'constraint vigil.not_null', '{_ALL}' UNION ALL SELECT 'constraint vigil.unique', '{_KEY}')
+    SELECT 'right' AS table_name, item, expected, expected AS actual, 'ok' AS status FROM items
+    UNION ALL SELECT 'wrong', item, expected,
+      CASE item WHEN 'column is_hash' THEN 'string' WHEN 'constraint vigil.not_null' THEN '1'
+        WHEN 'column p4' THEN NULL WHEN 'constraint vigil.unique' THEN NULL ELSE expected END,
+      CASE WHEN item IN ('column is_hash', 'constraint vigil.not_null') THEN 'mismatch'
+        WHEN item IN ('column p4', 'constraint vigil.unique') THEN 'missing' ELSE 'ok' END FROM items
+    UNION ALL SELECT 'wrong', 'column seq', NULL, 'bigint', 'unexpected'
+    UNION ALL SELECT 'absent', 'table', 'present', NULL, 'missing_table'"""

@@ -11,40 +11,39 @@ shuffle, cache or sink.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.operators import audit
-from vigil.operators.dedupe import insert_if_absent
+from vigil.plans.index import new_records
 from vigil.operators.layout import UNDETECTABLE
-from vigil.operators.parse import BLANK, SCOPE_FILE, counted_reject, parse_detected, parse_first_colon
+from vigil.operators.parse import BLANK, NO_LAYOUT, SCOPE_FILE, counted_reject, parse_detected, parse_first_colon
 from vigil.operators.protect import Keys, protect_outcomes, records_of
 from vigil.operators.sizing import materialise
 from vigil.plans.parse_protect import detected
-from vigil.sinks.shards import write_batch, write_table
-from vigil.sources.shards import read_batches, read_protected
+from vigil.plans.runs import (
+    DONE,
+    IN_PROGRESS,
+    NEW,
+    PROCESSED,
+    REJECTED,
+    Outputs,
+    batch_states,
+    current_records,
+    is_committed,
+    latest_version,
+    path_exists,
+    read_manifest,
+)
+from vigil.sinks.shards import write_run, write_table
 from vigil.sources.text_files import TXT_ANY_CASE, empty_files, list_files, literal_path, read_lines
 
-# A file's status: a rejected file was read and could not be loaded as a whole.
-NEW, IN_PROGRESS, DONE, REJECTED = "new", "in-progress", "done", "rejected"
-PROCESSED = (DONE, REJECTED)
-
 MODES = ("detected", "first_colon")
 
-MANIFEST_SCHEMA = T.StructType(
-    [
-        T.StructField("source", T.StringType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("loaded", T.LongType()),
-        T.StructField("rejected", T.LongType()),
-        T.StructField("committed_at", T.TimestampType()),
-        T.StructField("batch_id", T.LongType()),
-    ]
-)
 REJECT_SCHEMA = T.StructType(
     [
         T.StructField("source", T.StringType()),
@@ -56,83 +55,10 @@ REJECT_SCHEMA = T.StructType(
 )
 
 
-def read_manifest(spark: SparkSession, out: "Outputs") -> DataFrame:
-    """Manifest rows (empty when nothing was committed yet)."""
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(out.manifest)
-
-
-def read_rejects(spark: SparkSession, out: "Outputs") -> DataFrame:
+def read_rejects(spark: SparkSession, out: Outputs) -> DataFrame:
     return spark.read.schema(REJECT_SCHEMA).parquet(out.rejects)
 
 
-VERSION_SCHEMA = T.StructType(
-    [
-        T.StructField("version", T.LongType()),
-        T.StructField("through_batch", T.LongType()),
-        T.StructField("maintained_at", T.TimestampType()),
-    ]
-)
-
-
-@dataclass(frozen=True)
-class Outputs:
-    """Locations of one dataset's tables under a shared root.
-
-    Records live in numbered versions; maintenance writes the next one and
-    then adds a row to ``versions``, which loads and readers follow.
-    """
-
-    root: str
-
-    @property
-    def records(self) -> str:
-        """The first version; see ``records_path`` for the current one."""
-        return self.records_of(0)
-
-    @property
-    def rejects(self) -> str:
-        return f"{self.root}/rejects"
-
-    @property
-    def manifest(self) -> str:
-        return f"{self.root}/manifest"
-
-    @property
-    def metrics(self) -> str:
-        return f"{self.root}/run_metrics"
-
-    @property
-    def versions(self) -> str:
-        return f"{self.root}/versions"
-
-    def records_of(self, version: int) -> str:
-        return f"{self.root}/records" if version == 0 else f"{self.root}/records-v{version}"
-
-
-def latest_version(spark: SparkSession, out: Outputs) -> tuple[int, int, object]:
-    """(version, last batch that maintenance covered, when): (0, -1, None) before any maintenance."""
-    if not path_exists(spark, out.versions):
-        return 0, -1, None
-    row = spark.read.schema(VERSION_SCHEMA).parquet(out.versions).orderBy(F.col("version").desc()).head()
-    return (0, -1, None) if row is None else (row["version"], row["through_batch"], row["maintained_at"])
-
-
-def records_path(spark: SparkSession, out: Outputs) -> str:
-    """Where the current version's records are."""
-    return out.records_of(latest_version(spark, out)[0])
-
-
-def current_records(spark: SparkSession, out: Outputs) -> DataFrame:
-    return read_protected(spark, records_path(spark, out))
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
-
-
 LAYOUT_READERS = ("scan", "heads")
 
 
@@ -152,17 +78,18 @@ def parse_lines(
     return parse_detected(lines, layout, skip_header=skip_header, keep_blank=True)
 
 
-def _claim(spark: SparkSession, out: Outputs, files: DataFrame, batch_id: int) -> None:
-    """Mark ``files`` (source) as in progress under ``batch_id``.
+def claim(spark: SparkSession, out: Outputs, files: DataFrame, batch_id: int) -> None:
+    """Mark ``files`` (source) as in progress under ``batch_id``, until ``commit``.
 
     A batch id names one set of files for ever: the same set may be tried again,
     another one is refused, since its rows would replace the first set's.
     """
-    if path_exists(spark, out.manifest):
+    if path_exists(spark, f"{out.manifest}/batch_id={batch_id}"):
         known = read_manifest(spark, out).where(F.col("batch_id") == batch_id).select("source")
         other = known.exceptAll(files).unionAll(files.exceptAll(known))
-        if known.limit(1).count() and other.limit(1).count():
+        if other.limit(1).count():
             raise ValueError(f"batch id {batch_id} already belongs to other files")
+        return
     _write_manifest(files.select("source", F.lit(IN_PROGRESS).alias("status"), F.lit(0).alias("loaded"), F.lit(0).alias("rejected")), out, batch_id)
 
 
@@ -174,6 +101,16 @@ def _write_manifest(rows: DataFrame, out: Outputs, batch_id: int) -> None:
     write_table(typed, out.manifest, partition="batch_id")
 
 
+def _per_file(outcomes: DataFrame) -> DataFrame:
+    """``source, loaded, rejected, failed`` (the reason why a file as a whole was not loaded)."""
+    whole = F.when(F.col("scope") == SCOPE_FILE, F.coalesce(F.nullif("reason", F.lit(BLANK)), F.lit(UNDETECTABLE)))
+    return outcomes.groupBy("source").agg(
+        F.count_if(F.col("reason").isNull()).alias("loaded"),
+        F.count_if(counted_reject(F.col("reason")) & (F.col("reason") != NO_LAYOUT)).alias("rejected"),
+        F.max(whole).alias("failed"),
+    )
+
+
 def load_outcomes(
     spark: SparkSession,
     lines: DataFrame,
@@ -190,67 +127,81 @@ def load_outcomes(
     """Parse, protect and load one batch of lines; returns the manifest rows.
 
     ``compat=True`` protects with the compatibility normaliser and classifier.
-    ``without_lines`` (source) names files of the batch that have no line.
-
-    Exactly once per ``batch_id``, with and without ``dedupe``: the batch's
-    files are marked in progress first, its records, rejects and manifest rows
-    replace the batch's own partitions, and the manifest says ``done`` (or
-    ``rejected``, for a file that could not be read as a whole) last.
+    ``without_lines`` (``source``, and ``failed``: why, null if that is no fault)
+    names files of the batch that have no line.
+
+    Exactly once per ``batch_id``, with and without ``dedupe``, also when it is tried
+    again after a crash or after maintenance: a committed batch is not loaded
+    again; until then its files are marked in progress, readers do not see what it has
+    written, and a retry replaces it.  The manifest says ``done`` (or
+    ``rejected``, for a file that could not be read as a whole) last.  A file that
+    came too late to have a layout stays ``new``, for a later batch.
+
+    The run metric counts rows on the way (an observation of the parse job), so streams
+    and batch loads write one alike, without a job of its own.
     """
-    outcomes = materialise(protect_outcomes(parse_lines(lines, mode, skip_header, layout), keys, compat=compat))
-    per_file = outcomes.groupBy("source").agg(
-        F.count_if(F.col("reason").isNull()).alias("loaded"),
-        F.count_if(counted_reject(F.col("reason"))).alias("rejected"),
-        F.max(F.when(F.col("scope") == SCOPE_FILE, F.coalesce(F.nullif("reason", F.lit(BLANK)), F.lit(UNDETECTABLE)))).alias("failed"),
+    t0 = time.monotonic()
+    if is_committed(spark, out, batch_id):
+        return read_manifest(spark, out).where(F.col("batch_id") == batch_id)
+    seen = Observation(f"load-{batch_id}-{uuid.uuid4().hex[:8]}")
+    outcomes = protect_outcomes(parse_lines(lines, mode, skip_header, layout), keys, compat=compat)
+    outcomes = materialise(
+        outcomes.observe(
+            seen,
+            F.count_if(F.col("reason").isNull()).alias("loaded"),
+            F.count_if(counted_reject(F.col("reason")) & (F.col("reason") != NO_LAYOUT)).alias("rejected"),
+        )
     )
+    per_file = _per_file(outcomes)
     if without_lines is not None:
-        failed = F.lit(UNDETECTABLE) if mode == "detected" else F.lit(None).cast("string")
         none = F.lit(0).cast("bigint")
-        per_file = per_file.unionByName(
-            without_lines.select("source", none.alias("loaded"), none.alias("rejected"), failed.alias("failed"))
-        )
+        per_file = per_file.unionByName(without_lines.select("source", none.alias("loaded"), none.alias("rejected"), "failed"))
     per_file = materialise(per_file)
-    _claim(spark, out, per_file.select("source"), batch_id)
+    claim(spark, out, per_file.select("source"), batch_id)
 
     records = records_of(outcomes)
-    path = records_path(spark, out)
     if dedupe:
-        # what an earlier try of this batch has written is replaced, not kept
-        stored = read_batches(spark, path) if path_exists(spark, path) else None
-        others = None if stored is None else stored.where(F.col("batch_id") != batch_id).drop("batch_id")
-        records = insert_if_absent(records, others)
-        if others is not None:
-            records = materialise(records)  # the target is not read while it is written
-    write_batch(records, path, batch_id)
+        records = new_records(spark, out, records)
+    write_run(records, out.path(out.batch_run(batch_id)))
+    commit(spark, out, batch_id, outcomes, per_file)
+    write_metric(spark, out, batch_id, seen.get, time.monotonic() - t0)
+    return read_manifest(spark, out).where(F.col("batch_id") == batch_id)
 
+
+def commit(spark: SparkSession, out: Outputs, batch_id: int, outcomes: DataFrame, per_file: DataFrame) -> None:
+    """Reject counts, then the manifest rows that make the batch visible."""
     counted = (
-        outcomes.where(counted_reject(F.col("reason")))
+        outcomes.where(counted_reject(F.col("reason")) & (F.col("reason") != NO_LAYOUT))
         .groupBy("source", "scope", "reason")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # a file that failed as a whole without a line to count still gets its row
-    silent = per_file.where((F.col("rejected") == 0) & F.col("failed").isNotNull()).select(
+    silent = per_file.where((F.col("rejected") == 0) & F.col("failed").isNotNull() & (F.col("failed") != NO_LAYOUT)).select(
         "source", F.lit(SCOPE_FILE).alias("scope"), F.col("failed").alias("reason"), F.lit(0).cast("bigint").alias("n")
     )
     rejects = counted.unionByName(silent).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     write_table(rejects, out.rejects, partition="batch_id")
-    status = F.when(F.col("failed").isNotNull(), F.lit(REJECTED)).otherwise(F.lit(DONE))
+    failed = F.col("failed")
+    status = F.when(failed == NO_LAYOUT, F.lit(NEW)).when(failed.isNotNull(), F.lit(REJECTED)).otherwise(F.lit(DONE))
     _write_manifest(per_file.select("source", status.alias("status"), "loaded", "rejected"), out, batch_id)
-    return read_manifest(spark, out).where(F.col("batch_id") == batch_id)
 
 
-def _unloaded(
-    spark: SparkSession, inputs: str | Sequence[str], out: Outputs, batch_id: int, glob: str
-) -> tuple[list[str] | None, DataFrame]:
-    """(paths of files with content that no other batch has processed, or None for
-    all; such files of zero bytes)."""
-    empty = empty_files(spark, inputs, glob)
-    if not path_exists(spark, out.manifest):
-        return None, empty
-    seen = read_manifest(spark, out).where(F.col("status").isin(*PROCESSED) & (F.col("batch_id") != batch_id)).select("source")
-    files = list_files(spark, inputs, glob=glob).join(seen, "source", "left_anti")
-    # as many names as Spark's own file index holds for the read that follows
-    return [literal_path(r["path"]) for r in files.select("path").toLocalIterator()], empty.join(seen, "source", "left_anti")
+def write_metric(spark: SparkSession, out: Outputs, batch_id: int, counts: dict, seconds: float) -> None:
+    """One graded row of rows loaded, rows rejected and elapsed time."""
+    row = [(batch_id, int(counts["loaded"]), int(counts["rejected"]), int(seconds * 1000))]
+    totals = spark.createDataFrame(row, "batch_id bigint, loaded bigint, rejected bigint, elapsed_ms bigint")
+    write_table(audit.run_grades(totals), out.metrics, partition="batch_id")
+
+
+# A claimed file that is gone when its batch is tried again.
+MISSING = "missing"
+
+
+def _listing(spark: SparkSession, inputs: str | Sequence[str], glob: str) -> DataFrame:
+    """``source, path`` of all matching files; of those of zero bytes ``path`` is null."""
+    listed = list_files(spark, inputs, glob=glob).select("source", "path")
+    empty = empty_files(spark, inputs, glob).select("source", F.lit(None).cast("string").alias("path"))
+    return materialise(listed.unionByName(empty))
 
 
 def ingest_files(
@@ -266,9 +217,15 @@ def ingest_files(
     skip_header: bool = False,
     layout_reader: str | None = None,
 ) -> DataFrame:
-    """Load the matching files under ``inputs`` that no earlier batch has
-    processed, as batch ``batch_id``, and record a run metric (rows, elapsed
-    time, grade).  Returns the batch's manifest rows; none if nothing is new.
+    """Load the matching files under ``inputs`` that no batch has processed, as batch
+    ``batch_id``, and record a run metric (rows, elapsed time, grade).  Returns
+    the batch's manifest rows; none if nothing is new.
+
+    Batches that an earlier run has claimed and not committed are loaded first, each
+    under its own id and with its own files, so a load that crashed goes on
+    whatever has arrived since.  The files are listed and claimed before anything is read,
+    and exactly those are read: a file that arrives meanwhile is the next batch's.  Run one
+    load of a dataset at a time.
 
     ``layout_reader="heads"`` (the default, but for ``skip_header``) infers
     layouts from the head of each file; ``"scan"`` with a full extra pass over
@@ -278,36 +235,36 @@ def ingest_files(
         raise ValueError(f"layout_reader must be one of {LAYOUT_READERS}")
     if layout_reader == "heads" and mode == "detected" and skip_header:
         raise ValueError("skip_header needs the scan-based layout reader")
-    t0 = time.monotonic()
-    paths, empty = _unloaded(spark, inputs, out, batch_id, glob)
-    if paths is None:
-        lines, files = read_lines(spark, inputs, glob=glob), inputs
-    elif paths:
-        lines, files = read_lines(spark, paths, glob=glob), paths
-    elif empty.limit(1).count():
-        lines, files = spark.createDataFrame([], "source string, block bigint, seq bigint, line string"), []
-    else:
-        return read_manifest(spark, out).where(F.lit(False))
-    layout = None
-    if layout_reader == "heads" and mode == "detected" and files:
-        from vigil.sources.heads import infer_layout_from_heads
-
-        layout = infer_layout_from_heads(spark, files, glob=glob)
-    manifest = load_outcomes(
-        spark, lines, out, keys, batch_id, mode, dedupe, compat, skip_header, layout, without_lines=empty
-    )
-    elapsed_ms = int((time.monotonic() - t0) * 1000)
-    totals = manifest.agg(
-        F.coalesce(F.sum("loaded"), F.lit(0)).cast("bigint").alias("loaded"),
-        F.coalesce(F.sum("rejected"), F.lit(0)).cast("bigint").alias("rejected"),
-    ).select(
-        F.lit(batch_id).cast("bigint").alias("batch_id"),
-        "loaded",
-        "rejected",
-        F.lit(elapsed_ms).cast("bigint").alias("elapsed_ms"),
-    )
-    write_table(audit.run_grades(totals), out.metrics, partition="batch_id")
-    return manifest
+    files = _listing(spark, inputs, glob)
+
+    def load(chosen: DataFrame, as_batch: int) -> None:
+        # as many names as Spark's own file index holds for the read that follows
+        paths = [literal_path(r["path"]) for r in chosen.where(F.col("path").isNotNull()).select("path").toLocalIterator()]
+        why = F.when(F.col("gone"), F.lit(MISSING))
+        empty = chosen.where(F.col("path").isNull()).select("source", (why.otherwise(F.lit(UNDETECTABLE)) if mode == "detected" else why).alias("failed"))
+        lines = read_lines(spark, paths, glob=glob) if paths else spark.createDataFrame([], "source string, block bigint, seq bigint, line string")
+        layout = None
+        if layout_reader == "heads" and mode == "detected" and paths:
+            from vigil.sources.heads import layouts_of
+
+            layout = layouts_of(chosen.where(F.col("path").isNotNull()).select("source"))
+        load_outcomes(spark, lines, out, keys, as_batch, mode, dedupe, compat, skip_header, layout, without_lines=empty)
+
+    states = batch_states(spark, out)
+    for unfinished in sorted(b for b, ok in states.items() if not ok):
+        claimed = read_manifest(spark, out).where(F.col("batch_id") == unfinished).select("source")
+        here = files.withColumn("gone", F.lit(False))
+        load(materialise(claimed.join(here, "source", "left").fillna(True, ["gone"])), unfinished)
+    seen = read_manifest(spark, out).where(F.col("status").isin(*PROCESSED)).select("source")
+    rest = files.join(seen, "source", "left_anti").withColumn("gone", F.lit(False)) if states else files.withColumn("gone", F.lit(False))
+    if not rest.isEmpty():
+        if batch_id in states:
+            if states[batch_id]:
+                raise ValueError(f"batch id {batch_id} already belongs to other files")
+        else:
+            claim(spark, out, rest.select("source"), batch_id)
+            load(rest, batch_id)
+    return read_manifest(spark, out).where(F.col("batch_id") == batch_id)
 
 
 def prior_status(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.digest import with_hmacs
 from vigil.functions.text import lower_trim, normalise_compat, normalise_identifier
-from vigil.operators import audit, exposure
+from vigil.operators import audit, catalog, exposure
 from vigil.operators.dedupe import first_occurrence, insert_if_absent
 from vigil.operators.layout import infer_layout
 from vigil.operators.legacy import legacy_outcomes
@@ -29,7 +29,8 @@ from vigil.operators.merge import merge_roots, union_roots
 from vigil.operators.parse import accepted, counted_reject, outcome_counts, parse_first_colon
 from vigil.operators.protect import TEST_KEYS
 from vigil.operators.sizing import materialise
-from vigil.plans import ingest, parse_protect
+from vigil.plans import ingest, parse_protect, scenarios
+from vigil.session import scratch_path
 from vigil.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -248,6 +249,49 @@ def stored_prefix_range(spark: SparkSession, d: str) -> DataFrame:
     return exposure.prefix_range(stored(spark, _protected(spark, d, keep=())), prefixes, k=2)
 
 
+def scheme_rollup(spark: SparkSession, d: str) -> DataFrame:
+    return exposure.scheme_rollup(_protected(spark, d, keep=()))
+
+
+def crash_and_replay(spark: SparkSession, d: str) -> DataFrame:
+    return scenarios.crash_and_replay(spark, _lines(spark, d), KEYS)
+
+
+def tiered_maintenance(spark: SparkSession, d: str) -> DataFrame:
+    return scenarios.tiered_maintenance(spark, _lines(spark, d), KEYS)
+
+
+def stored_insert(spark: SparkSession, d: str) -> DataFrame:
+    return scenarios.stored_insert(spark, _lines(spark, d), KEYS)
+
+
+def stored_check(spark: SparkSession, d: str) -> DataFrame:
+    return scenarios.stored_check(spark, _lines(spark, d), KEYS, _watchlist(spark, d))
+
+
+def resumed_merge(spark: SparkSession, d: str) -> DataFrame:
+    return scenarios.resumed_merge(spark, _roots(spark, d))
+
+
+def observed_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return scenarios.observed_metrics(spark, _lines(spark, d), KEYS)
+
+
+def catalog_audit(spark: SparkSession, d: str) -> DataFrame:
+    """A right table, one with a wrong, a missing and a foreign column and no key, and one that is not there."""
+    root = scratch_path(spark, "catalog")
+    recs = materialise(_protected(spark, d))
+    unique = root.rsplit("-", 1)[1]
+    right, wrong, absent = (f"vigil_{n}_{unique}" for n in ("right", "wrong", "absent"))
+    catalog.register(recs.drop("seq"), right, f"{root}/right")
+    odd = recs.withColumn("is_hash", F.col("is_hash").cast("string")).drop("p4")
+    catalog.register(odd, wrong, f"{root}/wrong", {catalog.NOT_NULL: "1"})
+    found = catalog.catalog_audit(spark, [right, wrong, absent])
+    for name in (right, wrong):  # the session's catalog is left as it was; the files stay
+        spark.sql(f"DROP TABLE {name}")
+    return found.withColumn("table_name", F.split_part("table_name", F.lit("_"), F.lit(2)))
+
+
 QUERIES: dict[str, Query] = {
     "layout_inference": layout_inference,
     "parse_detected_rejects": parse_detected_rejects,
@@ -274,6 +318,14 @@ QUERIES: dict[str, Query] = {
     "maintained_load": maintained_load,
     "csv_roundtrip": csv_roundtrip,
     "stored_prefix_range": stored_prefix_range,
+    "scheme_rollup": scheme_rollup,
+    "crash_and_replay": crash_and_replay,
+    "tiered_maintenance": tiered_maintenance,
+    "stored_insert": stored_insert,
+    "stored_check": stored_check,
+    "resumed_merge": resumed_merge,
+    "observed_metrics": observed_metrics,
+    "catalog_audit": catalog_audit,
 }
 
 FLAGSHIP = "scheme_profile"

@@ -18,21 +18,19 @@ from vigil.sources.shards import CSV_DIALECT
 FORMATS = ("parquet", "json", "csv")
 
 
-BATCH = "batch_id"
+def write_run(records: DataFrame, path: str) -> None:
+    """Write one run's records under ``path/p2=xx/``, in place of what an earlier try has left there."""
+    layout_for_write(records).write.mode("overwrite").option("compression", "zstd").partitionBy("p2").parquet(path)
 
 
-def write_batch(records: DataFrame, path: str, batch_id: int) -> None:
-    """Write one batch's records under ``path/p2=xx/batch_id=n/``.
-
-    Only the batch's own directories are replaced, so a batch that is tried
-    again holds its records once, with or without deduplication.
-    """
-    laid = layout_for_write(records).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+def replace_shards(records: DataFrame, path: str) -> None:
+    """Write the shard directories that ``records`` has rows for, each in place of its earlier content."""
     (
-        laid.write.mode("overwrite")
+        layout_for_write(records)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
-        .partitionBy("p2", BATCH)
+        .partitionBy("p2")
         .parquet(path)
     )
 

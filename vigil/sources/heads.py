@@ -126,8 +126,13 @@ def _layouts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["source", "delim", "email_first", "status"])
 
 
+def layouts_of(sources: DataFrame) -> DataFrame:
+    """``(source, delim, email_first, status)`` of the files named by ``source``, reading heads only."""
+    return sources.select("source").mapInPandas(_layouts, LAYOUT_SCHEMA)
+
+
 def infer_layout_from_heads(
     spark: SparkSession, paths: str | Sequence[str], glob: str = TXT_ANY_CASE
 ) -> DataFrame:
     """``(source, delim, email_first, status)`` per listed file, reading heads only."""
-    return list_files(spark, paths, glob=glob).select("source").mapInPandas(_layouts, LAYOUT_SCHEMA)
+    return layouts_of(list_files(spark, paths, glob=glob))

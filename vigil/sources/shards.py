@@ -33,13 +33,6 @@ def read_protected(spark: SparkSession, paths: str | Sequence[str], fmt: str = "
     return found.select(*PROTECTED_COLUMNS)
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """Protected records of a loaded dataset with the batch that brought each."""
-    found = spark.read.schema(PROTECTED_SCHEMA).parquet(path)
-    batch = F.col("batch_id") if "batch_id" in found.columns else F.lit(None)
-    return found.select(*PROTECTED_COLUMNS, batch.cast("bigint").alias("batch_id"))
-
-
 def read_legacy_jsonl(spark: SparkSession, roots: str | Sequence[str]) -> DataFrame:
     """Raw legacy JSONL lines (plain or gzip by extension) from several roots;
     ``root_file`` keeps which file each line came from."""

@@ -18,10 +18,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vigil.operators.protect import Keys
 from vigil.functions.paths import partition_value
-from vigil.plans.ingest import Outputs, current_records, latest_version, load_outcomes
+from vigil.operators.sizing import materialise
+from vigil.plans.ingest import LAYOUT_READERS, Outputs, current_records, latest_version, load_outcomes
 from vigil.plans.maintenance import Thresholds, maintain
 from vigil.plans.roundtrip import write_named_text
+from vigil.plans.runs import is_committed
 from vigil.session import scratch_path
+from vigil.sources.heads import layouts_of
 from vigil.sources.text_files import TXT_ANY_CASE
 
 
@@ -43,6 +46,7 @@ def start_ingest(
     skip_header: bool = False,
     max_bytes_per_trigger: str | None = None,
     limits: Thresholds | None = None,
+    layout_reader: str | None = None,
 ) -> StreamingQuery:
     """Start the ingestion stream.  Without ``processing_time`` it runs as
     ``availableNow`` (drain what is there, then stop).
@@ -54,7 +58,14 @@ def start_ingest(
     ``limits``, maintenance runs after any batch that crosses them.
 
     A batch is bounded by ``max_bytes_per_trigger`` (such as ``"200g"``) or by a
-    number of files, also on the first load of a full folder."""
+    number of files, also on the first load of a full folder.
+
+    ``layout_reader="heads"`` (the default, but for ``skip_header``) opens the batch's
+    files only up to their second line; ``"scan"`` infers layouts from the batch's lines, with
+    a sort of line flags."""
+    layout_reader = layout_reader or ("scan" if skip_header else "heads")
+    if layout_reader not in LAYOUT_READERS or (layout_reader == "heads" and skip_header):
+        raise ValueError(f"layout_reader must be one of {LAYOUT_READERS}, and scan with skip_header")
     reader = (
         spark.readStream.format("text")
         .option("pathGlobFilter", TXT_ANY_CASE)
@@ -71,10 +82,15 @@ def start_ingest(
     )
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
+        if is_committed(batch.sparkSession, out, batch_id):  # it died after that, before Spark knew
+            return
         lines = batch.withColumn("seq", F.monotonically_increasing_id())
+        layout = None
+        if layout_reader == "heads" and mode == "detected":
+            layout = layouts_of(materialise(batch.select("source").distinct()))
         load_outcomes(
             batch.sparkSession, lines, out, keys, batch_id,
-            mode=mode, dedupe=dedupe, compat=compat, skip_header=skip_header,
+            mode=mode, dedupe=dedupe, compat=compat, skip_header=skip_header, layout=layout,
         )
         if limits is not None:
             maintain(batch.sparkSession, out, limits)
