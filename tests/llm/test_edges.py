@@ -225,6 +225,80 @@ def test_mixing_meets_targets(spark):
     assert abs(total / sum(1 + i % 7 for i in range(30_000)) - 0.2) < 0.02
 
 
+def test_mixing_meets_targets_where_cells_run_out(spark):
+    from pyspark.sql import functions as F
+
+    # a third of all words in one cell; scarce cells; a value with target zero, and one without any target
+    table = [(i, "w " * (1 + i % 5), "a" if i % 3 else "b", "xyz"[min(2, i % 40)], "t" if i % 50 else "u") for i in range(4000)]
+    table += [(5000 + i, "w", "zero", "z", "t") for i in range(50)] + [(6000 + i, "w", "none", "z", "t") for i in range(50)]
+    df = spark.createDataFrame(table, "doc_id long, text string, source string, lang string, topic string")
+    aim = {"source": {"a": 0.4, "b": 0.6, "zero": 0.0}, "lang": {"x": 0.05, "y": 0.05, "z": 0.9}, "topic": {"t": 0.9, "u": 0.1}}
+    targets = {d: spark.createDataFrame(list(v.items()), f"{d} string, target double") for d, v in aim.items()}
+    rows_ = df.select("source", "lang", "topic", mixing.words(F.col("text")).alias("tokens"))
+    total = rows_.agg(F.sum("tokens")).head()[0]
+    have = {d: {r[0]: r[1] for r in rows_.groupBy(d).agg(F.sum("tokens")).collect()} for d in aim}
+    for cells in (mixing.CELLS, 0):  # both plans
+        keep, mixing.CELLS = mixing.CELLS, cells
+        try:
+            raked, _ = mixing.raked_cells(rows_, list(aim), targets, keep=0.4, tolerance=1e-6)
+            found = {(r.dimension, r.value): (r.aim, r.expected) for r in mixing.marginals(raked, list(aim)).collect()}
+            chances = [r[0] for r in raked.select(mixing.probability(list(aim))).collect()]
+        finally:
+            mixing.CELLS = keep
+        assert all(0 <= p <= 1 for p in chances) and any(p == 1 for p in chances)
+        for (d, value), (aimed, expected) in found.items():
+            assert abs(expected - aimed) / (0.4 * total) < 0.001
+            assert aimed <= have[d][value] + 1e-6
+        assert found["source", "zero"] == found["source", "none"] == (0.0, 0.0)
+        assert abs(sum(a for (d, _), (a, _) in found.items() if d == "topic") - 0.4 * total) < 1e-6 * total
+        assert found["topic", "u"][0] == have["topic"]["u"]  # it has less than its part and gives all
+
+
+def test_language_vectors_by_definition():
+    import unicodedata
+    from collections import Counter
+
+    import numpy as np
+
+    def vector(text, size):
+        marks = "".join(c if c.isalpha() or unicodedata.category(c)[0] == "M" else " " for c in text.lower())
+        seq = " " + " ".join(marks.split()) + " "
+        out = np.zeros(size)
+        for (a, b, c), n in Counter(zip(seq, seq[1:], seq[2:])).items():
+            la, lb, lc = (langid._letter(ord(x), size).astype(int) for x in (a, b, c))
+            out += n * np.roll(la, 2) * np.roll(lb, 1) * lc
+        return out
+
+    rng = np.random.default_rng(4)
+    texts = ["The cat, the hat!", "कि हिन्दी में", "a", "สวัสดี ครับ", "x" * 50] + ["".join(map(chr, rng.integers(0x4E00, 0x9FA5, 60))) for _ in range(40)]
+    counts, trigrams = langid._COUNTS, langid._TRIGRAMS
+    for langid._COUNTS, langid._TRIGRAMS in ((counts, trigrams), (500, 7)):
+        found = {k: v for at, vectors in langid.bundles(texts, 32) for k, v in zip(at, vectors)}
+        assert all(np.array_equal(found[k], vector(t, 32)) for k, t in enumerate(texts))
+    langid._COUNTS, langid._TRIGRAMS = counts, trigrams
+
+
+def test_many_short_texts_in_a_large_alphabet_stay_small():
+    import resource
+
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    texts = ["".join(map(chr, rng.integers(0x4E00, 0x9FA5, 60))) for _ in range(4000)]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    assert sum(len(at) for at, _ in langid.bundles(texts, 256)) == 4000
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1 << 20  # 1 GB
+
+
+def test_recognised_follows_one_rule_at_every_length(spark):
+    from pyspark.sql import functions as F
+
+    table = [("en", 0.0, "a" * n) for n in (1, 100, 150, 200, 10_000)] + [("en", 0.09, "a" * 10_000), ("und", 1.0, "a"), ("en", 0.2, "a" * 10_000)]
+    df = spark.createDataFrame(table, "lang string, score double, text string")
+    found = [r[0] for r in df.select(langid.recognised(F.col("lang"), F.col("score"), F.col("text"))).collect()]
+    assert found == [True, True, False, False, False, True, False, True]
+
+
 def test_languages(docs):
     found = {r.doc_id: r for r in langid.predict(docs, langid.prototypes(docs)).collect()}
     assert [found[i].lang_pred for i in (2, 3, 4, 12)] == ["und"] * 4 and found[2].score == 0
@@ -264,6 +338,20 @@ def test_shards(spark, docs, clashing, empty, tmp_dir):
     shards.write_shards(empty, BYTES, f"{tmp_dir}/none", none)
 
 
+def test_shards_of_ids_from_all_64_bits(spark, tmp_dir):
+    table = [(-(1 << 63), "least"), ((1 << 63) - 1, "most " * 200), (0, None), (None, "no id " * 100), (None, ""), (12345678901234567, "x"), (-5, "y")]
+    df = spark.createDataFrame(table, "doc_id long, text string")
+    layout = shards.layout_for(df, BYTES, seq_len=64, shard_bytes=200)
+    assert layout.domain == 0 and layout.shards > 1
+    shards.write_shards(df.repartition(3), BYTES, f"{tmp_dir}/wide", layout)
+    found = sorted(shards.read_shards(spark, f"{tmp_dir}/wide", layout).collect(), key=lambda r: r.slot)
+    assert [r.slot for r in found] == list(range(len(found))) and [r.shard for r in found] == sorted(r.shard for r in found)
+    assert {r.doc_id for r in found} == {r[0] for r in table}
+    pieces = sorted((r.piece for r in found if r.doc_id == (1 << 63) - 1))
+    assert pieces == list(range(len(pieces))) and len(pieces) > 1
+    assert sum(r.n_tokens for r in found if r.doc_id is None) > 2
+
+
 def test_substring(docs):
     unique = {r[0]: r[1] for r in rows()}
     want = brute.substring(list(unique.items()))

@@ -24,6 +24,7 @@ columns are kept by ``predict``.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -40,6 +41,8 @@ SEED = 20240501
 UNKNOWN = "und"
 #: Characters whose trigrams are counted together.
 _CHARS = 600_000
+#: Entries of a table of counts (texts x trigrams), and trigrams whose vectors are held at a time.
+_COUNTS, _TRIGRAMS = 1 << 23, 1 << 14
 _BLANK = 0x20
 
 
@@ -48,6 +51,12 @@ def _is_letter() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
+@lru_cache(maxsize=1)
+def _in_word() -> np.ndarray:
+    """Letters, and the marks that belong to them (many scripts write vowels as marks)."""
+    return _is_letter() | np.fromiter((unicodedata.category(chr(c))[0] == "M" for c in range(0x110000)), bool, 0x110000)
+
+
 @lru_cache(maxsize=200_000)
 def _letter(code: int, dimensions: int) -> np.ndarray:
     return np.random.default_rng((SEED, code)).integers(0, 2, dimensions, np.int8) * np.int8(2) - np.int8(1)
@@ -56,10 +65,9 @@ def _letter(code: int, dimensions: int) -> np.ndarray:
 def letters(text: str) -> np.ndarray:
     """Code points of the lower-case letters, with one blank for each run of others; empty if there is no letter."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    is_letter = _is_letter()[codes]
-    if not is_letter.any():
+    if not _is_letter()[codes].any():
         return np.zeros(0, np.uint32)
-    codes = np.r_[_BLANK, np.where(is_letter, codes, _BLANK), _BLANK].astype(np.uint32)
+    codes = np.r_[_BLANK, np.where(_in_word()[codes], codes, _BLANK), _BLANK].astype(np.uint32)
     blank = codes == _BLANK
     keep = ~blank
     keep[1:] |= ~blank[:-1]  # of a run of blanks, the first stays
@@ -67,8 +75,9 @@ def letters(text: str) -> np.ndarray:
     return codes[keep & ~np.r_[False, blank[1:] & blank[:-1]]]
 
 
-def trigram_counts(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct trigrams (n x 3 code points) of some letter sequences, and the counts (sequences x n)."""
+def trigram_counts(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray | None]:
+    """Distinct trigrams (n x 3 code points) of some letter sequences, and the counts (sequences x n),
+    or None if these would be more than ``_COUNTS`` for several sequences."""
     alphabet, coded = np.unique(np.concatenate(parts), return_inverse=True)
     k = len(alphabet)
     ends = np.cumsum([len(p) for p in parts])
@@ -86,8 +95,10 @@ def trigram_counts(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         at = number[codes]
     else:
         known, at = np.unique(codes, return_inverse=True)
-    counts = np.bincount(doc * len(known) + at, minlength=len(parts) * len(known)).reshape(len(parts), -1)
     triples = np.stack([known // (k * k), known // k % k, known % k], axis=1)
+    if len(parts) > 1 and len(parts) * len(known) > _COUNTS:
+        return alphabet[triples], None
+    counts = np.bincount(doc * len(known) + at, minlength=len(parts) * len(known)).reshape(len(parts), -1)
     return alphabet[triples], counts.astype(np.float32)
 
 
@@ -113,7 +124,13 @@ def bundles(texts: list[str | None], dimensions: int) -> Iterator[tuple[list[int
 
     def vectors(group):
         triples, counts = trigram_counts([p for _, p in group])
-        return counts @ bound(triples, dimensions)
+        if counts is None:  # texts with few trigrams in common: a table of their counts would be mostly empty
+            half = len(group) // 2
+            return np.concatenate([vectors(group[:half]), vectors(group[half:])])
+        out = np.zeros((len(group), dimensions), np.float32)
+        for k in range(0, len(triples), _TRIGRAMS):  # sums of whole numbers: exact in any order
+            out += counts[:, k : k + _TRIGRAMS] @ bound(triples[k : k + _TRIGRAMS], dimensions)
+        return out
 
     for k, text in enumerate(texts):
         seq = letters(text) if text else np.zeros(0, np.uint32)
@@ -192,10 +209,15 @@ def predict(docs: DataFrame, learned: dict[str, np.ndarray], text_col: str = "te
 
 
 def recognised(lang: Column, score: Column, text: Column, dimensions: int = DIMENSIONS) -> Column:
-    """False for texts without a language: ``und``, or texts of some length whose
-    cosine is no larger than unrelated vectors have (three spreads of 1/sqrt(dimensions))."""
-    noise = 3 / dimensions**0.5
-    return (lang != UNKNOWN) & ((score >= noise) | (F.char_length(text) < 200))
+    """False for texts without a language: ``und``, or a cosine that even with its own spread
+    stays below what unrelated vectors reach.
+
+    Unrelated vectors reach three spreads of 1/sqrt(dimensions).  The cosine of a text of n
+    letters varies by up to 1/sqrt(n), so the bound falls smoothly as texts get shorter, at
+    every length by the same rule.
+    """
+    n = F.greatest(F.lit(1), F.char_length(F.regexp_replace(text, F.lit(r"[^\p{L}]+"), F.lit(""))))
+    return (lang != UNKNOWN) & (score + F.lit(1.0) / F.sqrt(n) >= F.lit(3 / dimensions**0.5))
 
 
 def held_out(id_col):

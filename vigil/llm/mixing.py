@@ -1,22 +1,27 @@
 """Mixing documents to target weights, with DataFrame functions only.
 
-Documents are summed into cells (one per source, language and topic).  The
-cells' token weights are raked: scaled to the target share of each source, then
-each language, then each topic, round after round (iterative proportional
-fitting), until all marginals hold.  A token budget is then spread over the cells
-by weight; where a cell has fewer tokens than its part, it gives all it has
-and the rest goes to the others (one scale found from running sums over cells).
+Documents are summed into cells (one per source, language and topic).  A token
+budget is spread over each dimension's values by their target shares; a value
+that has fewer tokens than its part gives all it has, and the rest goes to the others.
+These are the marginals that the cells are raked to (iterative proportional fitting): a cell
+keeps the part min(1, f_source f_lang f_topic) of its tokens, and the factors of one
+dimension after the other are set so that its marginals hold, with the cells that
+already give all they have taken out of the sum.  So caps are part of the raking, not an
+afterthought.  Rounds go on until no marginal is off by more than ``tolerance`` of the
+budget, or until they no longer come nearer: then the cells contradict the targets,
+and ``marginals`` shows target against expected result.
 Each document is kept with its cell's probability, decided by a hash of its id,
 so a decision never depends on partitions, order or retries.
 
 Only the cells are raked, never the documents: their number is that of
 the combinations, and a source with a third of all rows is summed by partial
-aggregates.  Raking runs on as few partitions as the cells need.
+aggregates.  Up to ``CELLS`` cells are raked by windows in one partition; more by aggregates
+per value, joined back, so no task needs all cells.
 
 Defined cases: null dimensions are the value ``unknown``; a null or empty text
-weighs one token; rows without an id are decided by their text; repeated rows
-share one decision; an empty table gives an empty result; other columns stay,
-whatever their names.
+weighs one token; a value with target 0, or not in its table of targets, gets nothing; rows
+without an id are decided by their text; repeated rows share one decision; an empty
+table gives an empty result; other columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,8 +38,11 @@ DIMENSIONS = ("source", "lang", "topic")
 TEMPER = 0.7
 #: Part of all tokens to keep.
 KEEP = 0.5
-ROUNDS = 12
-#: Cells per raking partition, and the most cells that are broadcast.
+#: How far a marginal may be off, as a part of the budget.
+TOLERANCE = 1e-12
+#: Rounds between two tests of that.
+ROUNDS = 4
+#: The most cells that are raked in one partition, and that are broadcast.
 CELLS = 100_000
 _U = 2**52
 
@@ -66,34 +74,99 @@ def chance(doc_id: Column, text: Column, seed: str) -> Column:
 def tempered(cells: DataFrame, dimension: str, power: float = TEMPER) -> DataFrame:
     """``dimension, target``: present shares to a power, scaled to one."""
     shares = cells.groupBy(dimension).agg(F.sum("tokens").alias("_t"))
-    all_ = Window.partitionBy(F.lit(1))  # one row per value of the dimension
-    raised = shares.withColumn("_p", F.pow(F.col("_t") / F.sum("_t").over(all_), F.lit(power)))
-    return raised.select(dimension, (F.col("_p") / F.sum("_p").over(all_)).alias("target"))
+    whole = shares.agg(F.sum("_t")).head()[0] or 1
+    raised = shares.withColumn("_p", F.pow(F.col("_t") / F.lit(float(whole)), F.lit(power)))
+    total = raised.agg(F.sum("_p")).head()[0] or 1.0
+    return raised.select(dimension, (F.col("_p") / F.lit(total)).alias("target"))
 
 
-def rake(cells: DataFrame, dimensions: Sequence[str], rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` with ``weight``: shares of the whole that meet each ``target_<dimension>``."""
-    out = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for _ in range(rounds):
-        for d in dimensions:
-            out = out.withColumn("weight", F.col("weight") * F.col(f"target_{d}") / F.sum("weight").over(Window.partitionBy(d)))
-    return out
+def aims(cells: DataFrame, dimension: str, target: DataFrame, budget: float) -> DataFrame:
+    """``dimension, aim``: the budget by target share, no value aimed at more than it has.
+
+    The common scale rises while values run out; each step takes those out and spreads the
+    rest, so it ends after as many steps as there are values that run out one by one.
+    """
+    have = cells.groupBy(dimension).agg(F.sum("tokens").cast("double").alias("_have"))
+    have = frozen(have.join(target, dimension, "left").fillna(0.0, ["target"]))
+    part = lambda scale: F.col("target") * F.lit(scale)
+    scale = 0.0
+    while True:
+        full = part(scale) >= F.col("_have")
+        row = have.agg(F.sum(F.when(full, F.col("_have"))).alias("full"), F.sum(F.when(~full, F.col("target"))).alias("free")).head()
+        if not row["free"]:
+            break
+        new = (budget - (row["full"] or 0.0)) / row["free"]
+        if new <= scale * (1 + 1e-15):
+            break
+        scale = new
+    return have.select(dimension, F.least("_have", part(scale)).alias(f"aim_{dimension}"))
 
 
-def probabilities(cells: DataFrame, keep: float) -> DataFrame:
-    """``cells`` with ``probability``: the budget spread by weight, no cell giving more than it has."""
-    order = Window.partitionBy(F.lit(1)).orderBy("_ratio", *DIMENSIONS)
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    on = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    all_ = Window.partitionBy(F.lit(1))
-    spread = (
-        cells.withColumn("_ratio", F.col("tokens") / F.col("weight"))
-        .withColumn("_budget", F.sum("tokens").over(all_) * F.lit(keep))
-        .withColumn("_scale", (F.col("_budget") - F.coalesce(F.sum("tokens").over(before), F.lit(0))) / F.sum("weight").over(on))
-        # in order of rising ratio, the first scale that its cell can bear
-        .withColumn("_scale", F.min(F.when(F.col("_scale") <= F.col("_ratio"), F.struct("_ratio", "_scale"))).over(all_)["_scale"])
+def _fitted(cells: DataFrame, dimension: str, dimensions: Sequence[str], small: bool) -> DataFrame:
+    """``cells`` with the factors of ``dimension`` set to meet its aims."""
+    others = F.lit(1.0)
+    for d in dimensions:
+        if d != dimension:
+            others = others * F.col(f"f_{d}")
+    own, aim = F.col(f"f_{dimension}"), F.col(f"aim_{dimension}")
+    told = cells.withColumn("_r", others).withColumn("_x", own * F.col("_r"))
+    sums = {
+        "_full": F.sum(F.when(F.col("_x") >= 1, F.col("tokens")).otherwise(F.lit(0.0))),
+        "_rest": F.sum(F.when(F.col("_x") < 1, F.col("tokens") * F.col("_r")).otherwise(F.lit(0.0))),
+        "_got": F.sum(F.least(F.lit(1.0), F.col("_x")) * F.col("tokens")),
+    }
+    if small:
+        told = told.withColumns({n: c.over(Window.partitionBy(dimension)) for n, c in sums.items()})
+    else:
+        told = told.join(told.groupBy(dimension).agg(*[c.alias(n) for n, c in sums.items()]), dimension)
+    factor = (
+        F.when(aim <= 0, F.lit(0.0))
+        .when((F.col("_rest") > 0) & (aim > F.col("_full")), (aim - F.col("_full")) / F.nullif("_rest", F.lit(0.0)))
+        .when(F.col("_got") > 0, own * aim / F.nullif("_got", F.lit(0.0)))
+        .otherwise(own)
     )
-    return spread.withColumn("probability", F.least(F.lit(1.0), F.coalesce(F.col("_scale") / F.col("_ratio"), F.lit(1.0))))
+    return told.withColumn(f"f_{dimension}", factor).drop("_r", "_x", *sums)
+
+
+def probability(dimensions: Sequence[str]) -> Column:
+    out = F.lit(1.0)
+    for d in dimensions:
+        out = out * F.col(f"f_{d}")
+    return F.least(F.lit(1.0), out)
+
+
+def marginals(cells: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """``dimension, value, aim, expected``: tokens aimed at and tokens that the probabilities give."""
+    parts = [
+        cells.groupBy(F.lit(d).alias("dimension"), F.col(d).alias("value")).agg(
+            F.max(f"aim_{d}").alias("aim"), F.sum(probability(dimensions) * F.col("tokens")).alias("expected")
+        )
+        for d in dimensions
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def rake(cells: DataFrame, dimensions: Sequence[str], budget: float, n_cells: int, tolerance: float = TOLERANCE) -> DataFrame:
+    """``cells`` (with ``aim_<dimension>``) with factors ``f_<dimension>`` that meet the aims."""
+    small = n_cells <= CELLS
+    whole = cells.agg(F.sum("tokens")).head()[0] or 1
+    begin = (budget / whole) ** (1 / len(dimensions))
+    out = cells.withColumns({f"f_{d}": F.lit(begin) for d in dimensions})
+    before = float("inf")
+    while True:
+        for _ in range(ROUNDS):
+            for d in dimensions:
+                out = _fitted(out, d, dimensions, small)
+                if not small:
+                    out = frozen(out)
+        out = frozen(out)
+        off = marginals(out, dimensions).agg(F.max(F.abs(F.col("expected") - F.col("aim")))).head()[0] or 0.0
+        if off <= tolerance * budget or off >= before * 0.999:
+            return out
+        before = off
 
 
 def mix(
@@ -104,7 +177,7 @@ def mix(
     text: Column,
     targets: Mapping[str, DataFrame] | None = None,
     keep: float = KEEP,
-    rounds: int = ROUNDS,
+    tolerance: float = TOLERANCE,
     seed: str = "mix",
 ) -> DataFrame:
     """``row`` (a struct of all columns), the dimensions, ``tokens`` and
@@ -120,22 +193,36 @@ def mix(
         tokens.alias("tokens"),
         chance(doc_id, text, seed).alias("_u"),
     )
+    raked, n = raked_cells(rows, names, targets, keep, tolerance)
+    found = raked.select(*names, probability(names).alias("probability"))
+    if n <= CELLS:
+        found = F.broadcast(found)
+    return rows.join(found, names).where(F.col("_u") < F.col("probability")).select("row", *names, "tokens", "probability")
+
+
+def raked_cells(
+    rows: DataFrame, names: Sequence[str], targets: Mapping[str, DataFrame] | None = None, keep: float = KEEP, tolerance: float = TOLERANCE
+) -> tuple[DataFrame, int]:
+    """(cells with aims and factors, how many) of ``rows`` (the dimensions, ``tokens``)."""
     cells = frozen(rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")))
-    n = cells.count()
-    cells = cells.coalesce(max(1, -(-n // CELLS)))
+    size = cells.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).head()
+    n, budget = size["n"], float(size["t"]) * keep
+    if n <= CELLS:
+        cells = cells.coalesce(1)
     aimed = cells
     for d in names:
         target = (targets or {}).get(d) or tempered(cells, d)
-        aimed = aimed.join(target.withColumnRenamed("target", f"target_{d}"), d)
-    raked = rake(frozen(aimed).coalesce(max(1, -(-n // CELLS))), names, rounds)
-    found = frozen(probabilities(raked, keep).select(*names, "probability"))
-    if n <= CELLS:
-        found = F.broadcast(found)
-    return rows.join(found, names).where(F.col("_u") < F.col("probability")).select("row", *names, "tokens", "probability")
+        aim = aims(cells, d, target.select(d, F.col("target").cast("double").alias("target")), budget)
+        aimed = aimed.join(F.broadcast(aim) if n <= CELLS else aim, d)
+    return rake(frozen(aimed), names, budget, n, tolerance), n
+
 
+def mix_documents(docs: DataFrame, keep: float = KEEP, seed: str = "mix", tolerance: float = TOLERANCE) -> DataFrame:
+    """``mix`` for tables like ``documents``.
 
-def mix_documents(docs: DataFrame, keep: float = KEEP, seed: str = "mix") -> DataFrame:
-    """``mix`` for tables like ``documents``, with topics from the texts' form."""
+    These tables have no topic and no token column: topics come from the texts' form (``form``)
+    and a token is a word (``words``).
+    """
     return mix(
         docs,
         {"source": F.col("source"), "lang": F.col("lang"), "topic": form(F.col("text"))},
@@ -143,6 +230,7 @@ def mix_documents(docs: DataFrame, keep: float = KEEP, seed: str = "mix") -> Dat
         F.col("doc_id"),
         F.col("text"),
         keep=keep,
+        tolerance=tolerance,
         seed=seed,
     )
 
@@ -155,20 +243,31 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Rounds that the SQL goes through without a test: beyond double precision on such tables.
+_SQL_ROUNDS = 20
+
+
 def _sql() -> str:
     steps = []
     last = "aimed"
-    for r in range(ROUNDS):
+    for r in range(_SQL_ROUNDS):
         for d in DIMENSIONS:
-            name = f"r{r}_{d}"
+            name, others = f"r{r}_{d}", " * ".join(f"f_{o}" for o in DIMENSIONS if o != d)
             steps.append(
-                f"{name} AS MATERIALIZED (SELECT * REPLACE (weight * target_{d} / sum(weight) OVER (PARTITION BY {d}) AS weight) FROM {last})"
+                f"""{name} AS MATERIALIZED (SELECT * EXCLUDE (r, sat, rest, got) REPLACE (CASE WHEN aim_{d} <= 0 THEN 0
+                WHEN rest > 0 AND aim_{d} > sat THEN (aim_{d} - sat) / rest WHEN got > 0 THEN f_{d} * aim_{d} / got ELSE f_{d} END AS f_{d}) FROM (
+                SELECT *, sum(CASE WHEN f_{d} * r >= 1 THEN tokens ELSE 0 END) OVER w AS sat,
+                  sum(CASE WHEN f_{d} * r < 1 THEN tokens * r ELSE 0 END) OVER w AS rest, sum(least(1, f_{d} * r) * tokens) OVER w AS got
+                FROM (SELECT *, {others} AS r FROM {last}) WINDOW w AS (PARTITION BY {d})))"""
             )
             last = name
     targets = ", ".join(
-        f"""t_{d} AS MATERIALIZED (SELECT {d}, p / sum(p) OVER () AS target_{d} FROM
-            (SELECT {d}, pow(t / sum(t) OVER (), {TEMPER}) AS p FROM
-                (SELECT {d}, CAST(sum(tokens) AS DOUBLE) AS t FROM cells GROUP BY {d})))"""
+        f"""p_{d} AS MATERIALIZED (SELECT {d}, t, pow(t / sum(t) OVER (), {TEMPER}) AS p FROM
+            (SELECT {d}, CAST(sum(tokens) AS DOUBLE) AS t FROM cells GROUP BY {d})),
+        s_{d} AS MATERIALIZED (SELECT *, p / sum(p) OVER () AS target FROM p_{d}),
+        o_{d} AS MATERIALIZED (SELECT *, t / target AS ratio, ((SELECT b FROM budget) - coalesce(sum(t) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(target) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS scale FROM s_{d} WINDOW w AS (ORDER BY t / target, {d})),
+        t_{d} AS MATERIALIZED (SELECT {d}, least(t, target * (SELECT arg_min(scale, ratio) FROM o_{d} WHERE scale <= ratio)) AS aim_{d} FROM o_{d})"""
         for d in DIMENSIONS
     )
     return f"""
@@ -180,17 +279,14 @@ WITH rows_ AS MATERIALIZED (
     CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(t))), 1, 13) AS UBIGINT) AS DOUBLE) / {float(_U)} AS u
   FROM (SELECT *, coalesce(text, '') AS t FROM documents)),
 cells AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(tokens) AS BIGINT) AS tokens FROM rows_ GROUP BY ALL),
+budget AS MATERIALIZED (SELECT sum(tokens) * {KEEP} AS b FROM cells),
 {targets},
-aimed AS MATERIALIZED (SELECT cells.*, target_source, target_lang, target_topic, CAST(tokens AS DOUBLE) AS weight
+aimed AS MATERIALIZED (SELECT source, lang, topic, CAST(tokens AS DOUBLE) AS tokens, aim_source, aim_lang, aim_topic,
+    {", ".join(f"pow({KEEP}, 1 / 3.0::DOUBLE) AS f_{d}" for d in DIMENSIONS)}
   FROM cells JOIN t_source USING (source) JOIN t_lang USING (lang) JOIN t_topic USING (topic)),
 {", ".join(steps)},
-ratios AS MATERIALIZED (SELECT *, tokens / weight AS ratio, sum(tokens) OVER () * {KEEP} AS budget FROM {last}),
-scales AS MATERIALIZED (SELECT *, (budget - coalesce(sum(tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-    / sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS scale
-  FROM ratios WINDOW w AS (ORDER BY ratio, source, lang, topic)),
-one AS MATERIALIZED (SELECT arg_min(scale, ratio) AS s FROM scales WHERE scale <= ratio),
-chances AS MATERIALIZED (SELECT source, lang, topic, least(1.0, coalesce(s / ratio, 1.0)) AS probability FROM scales LEFT JOIN one ON true)
-SELECT doc_id, source, lang, topic, CAST(tokens AS BIGINT) AS n_words, round(probability, 6) AS probability
+chances AS MATERIALIZED (SELECT source, lang, topic, least(1.0, f_source * f_lang * f_topic) AS probability FROM {last})
+SELECT doc_id, source, lang, topic, CAST(rows_.tokens AS BIGINT) AS n_words, round(probability, 6) AS probability
 FROM rows_ JOIN chances USING (source, lang, topic) WHERE u < probability
 """
 

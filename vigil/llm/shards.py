@@ -89,9 +89,21 @@ def unpermute(slot: np.ndarray, domain: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def permute_pairs(left: np.ndarray, right: np.ndarray, key: int = KEY) -> tuple[np.ndarray, np.ndarray]:
+    """The keyed permutation of all pairs of 64-bit numbers: two halves of 64 bits, so nothing to walk."""
+    left, right = left.astype(np.uint64), right.astype(np.uint64)
+    for k in range(ROUNDS):
+        left, right = right, left ^ _round(right, key, k)
+    return left, right
+
+
 @dataclass(frozen=True)
 class Layout:
-    """What a reader must know: all of it is fixed before encoding starts."""
+    """What a reader must know: all of it is fixed before encoding starts.
+
+    ``domain`` 0: ids lie more than 2**62 addresses apart; (id, piece) is then permuted as a
+    pair of 64-bit numbers and ordered by the pair.
+    """
 
     seq_len: int
     id_bytes: int
@@ -106,7 +118,14 @@ class Layout:
         return _HEADER.itemsize + self.seq_len * self.id_bytes + 1
 
     def shard_of(self, order: np.ndarray) -> np.ndarray:
-        return (order // -(-self.domain // self.shards)).astype(np.int32)
+        return (order // -(-(self.domain or 1 << 63) // self.shards)).astype(np.int32)
+
+    def places(self, own: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where sequences stand: a number, and one that decides between equal ones."""
+        if self.domain:
+            return permute((own - self.lowest) * self.pieces + piece, self.domain, self.key), np.zeros(len(own), np.int64)
+        left, right = permute_pairs(own.view(np.uint64), piece.view(np.uint64), self.key)
+        return (left >> np.uint64(1)).astype(np.int64), ((left << np.uint64(63)) | (right >> np.uint64(1))).view(np.int64)
 
 
 def layout_for(docs: DataFrame, path: str, seq_len: int = SEQ_LEN, shard_bytes: int = SHARD_BYTES, key: int = KEY) -> Layout:
@@ -119,10 +138,10 @@ def layout_for(docs: DataFrame, path: str, seq_len: int = SEQ_LEN, shard_bytes:
     lowest = (r["lo"] if r["lo"] is not None else 0) - 1  # the address of rows without an id
     pieces = -(-((r["most"] or 0) + 1) // seq_len)
     domain = ((r["hi"] if r["hi"] is not None else 0) - lowest + 1) * pieces
-    if domain > 1 << 62:
-        raise ValueError("ids are too far apart for 62-bit addresses; number the documents first")
     tokens = (r["sum"] or 0.0) / 3 + r["n"]  # only sizes the shards
     shards = max(1, min(domain, round(tokens * id_bytes / shard_bytes)))
+    if domain > 1 << 62:
+        lowest, domain = 0, 0
     return Layout(seq_len, id_bytes, lowest, pieces, domain, shards, key)
 
 
@@ -132,30 +151,33 @@ def sequences(docs: DataFrame, path: str, layout: Layout) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for batch in (b.slice(k, _DOCS) for b in batches for k in range(0, b.num_rows, _DOCS)):
-            addresses, ties, records = [], [], []
+            owns, pieces, ties, records = [], [], [], []
             for doc, text, tie in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 ids = np.append(enc.encode(text.as_py()), SEPARATOR).astype(f"<u{layout.id_bytes}")
                 own = layout.lowest if doc is None else doc
                 for piece, at in enumerate(range(0, len(ids), layout.seq_len)):
                     part = ids[at : at + layout.seq_len]
+                    if doc is None and not layout.domain:
+                        piece = -1 - piece  # no id is left to stand for none
                     head = np.array([(own, piece, len(part))], _HEADER)
-                    addresses.append((own - layout.lowest) * layout.pieces + piece)
+                    owns.append(own)
+                    pieces.append(piece)
                     ties.append(tie)
                     records.append(head.tobytes() + part.tobytes())
-            order = permute(np.array(addresses, np.int64), layout.domain, layout.key)
+            order, second = layout.places(np.array(owns, np.int64), np.array(pieces, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(order), pa.array(layout.shard_of(order)), pa.array(ties, pa.int64()), pa.array(records, pa.binary())],
-                ["place", "shard", "tie", "record"],
+                [pa.array(order), pa.array(second), pa.array(layout.shard_of(order)), pa.array(ties, pa.int64()), pa.array(records, pa.binary())],
+                ["place", "second", "shard", "tie", "record"],
             )
 
     given = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("tie"))
-    return given.mapInArrow(run, "place long, shard int, tie long, record binary")
+    return given.mapInArrow(run, "place long, second long, shard int, tie long, record binary")
 
 
 def write_shards(docs: DataFrame, path: str, to: str, layout: Layout) -> None:
     """One file per shard under ``to``/shard=<k>, records in order of their slots."""
     rows = sequences(docs.select("doc_id", "text"), path, layout)
-    dealt = rows.repartitionById(layout.shards, F.col("shard")).sortWithinPartitions("shard", "place", "tie")
+    dealt = rows.repartitionById(layout.shards, F.col("shard")).sortWithinPartitions("shard", "place", "second", "tie")
     # ids are padded only here, after the shuffle; a cast keeps bytes as they are
     padded = F.rpad("record", layout.stride - 1, F.lit(b"\x00"))
     dealt.select("shard", padded.cast("string").alias("value")).write.partitionBy("shard").option("lineSep", "\n").text(to)
@@ -195,12 +217,13 @@ def read_shards(spark: SparkSession, at: str, layout: Layout, from_slot: int = 0
         if (rows["end"] != 10).any():
             raise ValueError("a shard is not a whole number of records")
         own, piece = rows["h"]["doc_id"], rows["h"]["piece"].astype(np.int64)
-        places = permute((own - layout.lowest) * layout.pieces + piece, layout.domain, layout.key)
+        places, _ = layout.places(np.ascontiguousarray(own), piece)
+        none = own == layout.lowest if layout.domain else piece < 0
         columns = (
             layout.shard_of(places).tolist(),
             [p // layout.stride for p, _ in group],
-            [None if d == layout.lowest else d for d in own.tolist()],
-            piece.tolist(),
+            [None if n else d for d, n in zip(own.tolist(), none.tolist())],
+            np.where(piece < 0, -1 - piece, piece).tolist(),
             rows["h"]["n_tokens"].tolist(),
         )
         for row, ids in zip(zip(*columns), rows["ids"].astype("<u4")):
