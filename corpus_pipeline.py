@@ -28,6 +28,8 @@ from vigil.llm.substring import remove_repeats
 
 #: Part of the tokens that the mixture keeps.
 KEEP = 0.8
+#: How far a marginal of the mixture may be off, as a part of what is kept.
+OFF = 5e-4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +54,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix_documents(docs, keep=KEEP).select("row.*")
+    return mix_documents(docs, keep=KEEP, tolerance=OFF).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
