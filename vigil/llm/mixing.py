@@ -80,14 +80,20 @@ def tempered(cells: DataFrame, dimension: str, power: float = TEMPER) -> DataFra
     return raised.select(dimension, (F.col("_p") / F.lit(total)).alias("target"))
 
 
-def aims(cells: DataFrame, dimension: str, target: DataFrame, budget: float) -> DataFrame:
+def _one(cells: DataFrame, small: bool) -> DataFrame:
+    """Stored cells, few ones known to be in one partition, so that nothing on them shuffles."""
+    out = frozen(cells)
+    return out.coalesce(1) if small else out
+
+
+def aims(cells: DataFrame, dimension: str, target: DataFrame, budget: float, small: bool) -> DataFrame:
     """``dimension, aim``: the budget by target share, no value aimed at more than it has.
 
     The common scale rises while values run out; each step takes those out and spreads the
     rest, so it ends after as many steps as there are values that run out one by one.
     """
     have = cells.groupBy(dimension).agg(F.sum("tokens").cast("double").alias("_have"))
-    have = frozen(have.join(target, dimension, "left").fillna(0.0, ["target"]))
+    have = _one(have.join(F.broadcast(target) if small else target, dimension, "left").fillna(0.0, ["target"]), small)
     part = lambda scale: F.col("target") * F.lit(scale)
     scale = 0.0
     while True:
@@ -162,7 +168,7 @@ def rake(cells: DataFrame, dimensions: Sequence[str], budget: float, n_cells: in
                 out = _fitted(out, d, dimensions, small)
                 if not small:
                     out = frozen(out)
-        out = frozen(out)
+        out = _one(out, small)
         off = marginals(out, dimensions).agg(F.max(F.abs(F.col("expected") - F.col("aim")))).head()[0] or 0.0
         if off <= tolerance * budget or off >= before * 0.999:
             return out
@@ -207,14 +213,14 @@ def raked_cells(
     cells = frozen(rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")))
     size = cells.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).head()
     n, budget = size["n"], float(size["t"]) * keep
-    if n <= CELLS:
-        cells = cells.coalesce(1)
+    small = n <= CELLS
+    cells = cells.coalesce(1) if small else cells
     aimed = cells
     for d in names:
         target = (targets or {}).get(d) or tempered(cells, d)
-        aim = aims(cells, d, target.select(d, F.col("target").cast("double").alias("target")), budget)
-        aimed = aimed.join(F.broadcast(aim) if n <= CELLS else aim, d)
-    return rake(frozen(aimed), names, budget, n, tolerance), n
+        aim = aims(cells, d, target.select(d, F.col("target").cast("double").alias("target")), budget, small)
+        aimed = aimed.join(F.broadcast(aim) if small else aim, d)
+    return rake(_one(aimed, small), names, budget, n, tolerance), n
 
 
 def mix_documents(docs: DataFrame, keep: float = KEEP, seed: str = "mix", tolerance: float = TOLERANCE) -> DataFrame:
