@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vigil.functions.digest import HmacKey
 from vigil.operators import audit, exposure
 from vigil.operators.protect import Keys
-from vigil.plans import ingest, maintenance
+from vigil.plans import ingest, maintenance, profiles
 from vigil.plans.index import records_to_check
 from vigil.plans.runs import current_runs
 from vigil.session import build_session
@@ -208,7 +208,11 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         px = _read_digests(spark, a.prefixes, "prefix")
         _write(exposure.prefix_range(_stored(spark, a), px, k=a.k), a.output, a.output_format)
     elif c == "profile":
-        _write(exposure.scheme_profile(_stored(spark, a)), a.output, a.output_format)
+        if a.out:
+            found = profiles.stored_profile(spark, ingest.Outputs(a.out))
+        else:
+            found = exposure.scheme_profile(_stored(spark, a))
+        _write(found, a.output, a.output_format)
     elif c == "audit":
         recs = _stored(spark, a)
         audit.constraint_audit(recs).show(vertical=True, truncate=False)

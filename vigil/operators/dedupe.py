@@ -22,8 +22,9 @@ from vigil.operators.sizing import DEFAULT_MAX_BROADCAST_BYTES, estimate_bytes,
 _NAMES = [*SCHEMES, *(n for n in COMPAT_NAMES if n not in SCHEMES)]
 
 
-def one_per_key(records: DataFrame, *aggregates: Column) -> DataFrame:
-    """One protected record per key, plus ``aggregates`` over its rows.
+def one_per_key(records: DataFrame, *aggregates: Column, within: Sequence[str] = ()) -> DataFrame:
+    """One protected record per key, plus ``aggregates`` over its rows.  ``within`` names columns
+    that follow from the key and are grouped by and kept too (a stored table's bucket columns).
 
     Where a key came with several schemes (roots protected in different
     modes), the one listed first wins.  Names outside the known schemes stay
@@ -31,7 +32,7 @@ def one_per_key(records: DataFrame, *aggregates: Column) -> DataFrame:
     """
     code = F.array_position(F.array(*[F.lit(n) for n in _NAMES]), F.col("hash_type")).cast("int")
     coded = records.withColumn("_code", code).withColumn("_other", F.when(F.coalesce(F.col("_code"), F.lit(0)) == 0, F.col("hash_type")))
-    g = coded.groupBy(*RECORD_KEY, "_other").agg(F.min(F.when(F.col("_code") > 0, F.col("_code"))).alias("_code"), *aggregates)
+    g = coded.groupBy(*RECORD_KEY, *within, "_other").agg(F.min(F.when(F.col("_code") > 0, F.col("_code"))).alias("_code"), *aggregates)
     known = F.element_at(F.array(*[F.lit(n) for n in _NAMES]), F.col("_code"))
     named = g.withColumn("hash_type", F.when(F.col("_code").isNotNull(), known).otherwise(F.col("_other")))
     extra = [c for c in g.columns if c not in (*RECORD_KEY, "_other", "_code")]

@@ -441,3 +441,17 @@ ORACLE_SQL["catalog_audit"] = f"""
         WHEN item IN ('column p4', 'constraint vigil.unique') THEN 'missing' ELSE 'ok' END FROM items
     UNION ALL SELECT 'wrong', 'column seq', NULL, 'bigint', 'unexpected'
     UNION ALL SELECT 'absent', 'table', 'present', NULL, 'missing_table'"""
+# batches 0 and 1 become runs without repeats, batch 2 stays as loaded, batch 3 adds what is absent
+ORACLE_SQL["incremental_profile"] = _with(LINES_CTE, FIRST_COLON_CTE) + """, held AS (
+      SELECT DISTINCT id_digest, secret_digest, source, hash_type FROM fprotected WHERE line_no % 4 < 2
+      UNION ALL SELECT id_digest, secret_digest, source, hash_type FROM fprotected WHERE line_no % 4 = 2),
+    added AS (
+      SELECT * FROM held
+      UNION ALL SELECT DISTINCT id_digest, secret_digest, source, hash_type FROM fprotected f
+      WHERE line_no % 4 = 3 AND NOT EXISTS (SELECT 1 FROM held h WHERE h.id_digest = f.id_digest
+        AND h.secret_digest = f.secret_digest AND h.source = f.source))
+    SELECT source, hash_type, hash_type <> 'plaintext' AS is_hash, count(*) AS n_records, count(DISTINCT id_digest) AS n_ids
+    FROM added GROUP BY ALL"""
+ORACLE_SQL["bucketed_insert"] = _with(*BASE) + """ SELECT id_digest, secret_digest, source, min(hash_type) AS hash_type,
+      1 + count(*) FILTER (line_no % 2 = 1) AS copies
+    FROM protected GROUP BY id_digest, secret_digest, source"""

@@ -18,6 +18,7 @@ from vigil.operators.dedupe import one_per_key
 from vigil.operators.merge import union_roots
 from vigil.operators.protect import PROTECTED_COLUMNS, Keys
 from vigil.plans.index import absent_from_runs, index_run
+from vigil.plans.profiles import profile_run
 from vigil.plans.runs import (
     Outputs,
     Run,
@@ -204,6 +205,7 @@ def maintain(spark: SparkSession, out: Outputs, limits: Thresholds = Thresholds(
     fresh = absent_from_runs(spark, out, new, version.runs)
     write_run(fresh.unionByName(read_runs(spark, out, [r.run for r in joined])), out.path(name))
     index_run(spark, out, name)
+    profile_run(spark, out, name)
     n = read_runs(spark, out, [name]).count()
     held = [*((b, b) for b in loose), *(r for j in joined for r in j.batches)]
     kept = [r for r in version.runs if r not in joined]
@@ -217,8 +219,8 @@ GRACE_MINUTES = 24 * 60
 
 
 def remove_replaced(spark: SparkSession, out: Outputs, grace_minutes: float = GRACE_MINUTES) -> list[str]:
-    """Delete runs that maintenance replaced at least ``grace_minutes`` ago, with their filters
-    and zones; returns their folders.  Readers that began before that must have ended."""
+    """Delete runs that maintenance replaced at least ``grace_minutes`` ago, with their filters,
+    zones and profiles; returns their folders.  Readers that began before that must have ended."""
     age = (F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("maintained_at")) / 60.0
     old = read_versions(spark, out).where(age >= grace_minutes).select(F.explode("replaced").alias("run")).distinct()
     used = {r.run for r in current_version(spark, out).runs}
@@ -227,7 +229,7 @@ def remove_replaced(spark: SparkSession, out: Outputs, grace_minutes: float = GR
         run = row["run"]
         if run not in used and path_exists(spark, out.path(run)):
             delete_path(spark, out.path(run))
-            for index in (out.filters, out.zones):
+            for index in (out.filters, out.zones, out.profiles):
                 delete_path(spark, f"{index}/{run}")
             gone.append(run)
     return sorted(gone)

@@ -82,6 +82,10 @@ class Outputs:
     def zones(self) -> str:
         return f"{self.root}/zones"
 
+    @property
+    def profiles(self) -> str:
+        return f"{self.root}/profiles"
+
     def batch_run(self, batch_id: int) -> str:
         return f"run=b{batch_id}"
 

@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions.paths import partition_value
+from vigil.operators import buckets
 from vigil.operators.protect import Keys
 from vigil.operators.sizing import materialise
 from vigil.plans.index import new_records, records_to_check
 from vigil.plans.ingest import claim, ingest_files, load_outcomes
 from vigil.plans.maintenance import Thresholds, maintain, resumable_merge
 from vigil.plans.parse_protect import protected_first_colon
+from vigil.plans.profiles import stored_profile
 from vigil.plans.roundtrip import write_named_text
 from vigil.plans.runs import Outputs, current_records, read_manifest, read_versions
 from vigil.session import scratch_path
@@ -115,3 +117,32 @@ def observed_metrics(spark: SparkSession, lines: DataFrame, keys: Keys) -> DataF
     run_available(spark, f"{root}/input", stream, f"{root}/checkpoint", keys, max_files_per_trigger=3)
     both = [spark.read.parquet(o.metrics).withColumn("load", F.lit(n)) for n, o in (("batch", batch), ("stream", stream))]
     return both[0].unionByName(both[1]).groupBy("load").agg(F.sum("loaded").alias("loaded"), F.sum("rejected").alias("rejected"))
+
+
+def incremental_profile(spark: SparkSession, lines: DataFrame, keys: Keys) -> DataFrame:
+    """Three batches that share files, maintenance after each of the first two (two runs stay), a replay,
+    and a batch after that: the profile from what is stored beside the runs."""
+    out = Outputs(scratch_path(spark, "profiles"))
+    parts = [lines.where(F.col("seq") % 4 == k) for k in range(4)]
+    for batch_id in range(3):
+        load_outcomes(spark, parts[batch_id], out, keys, batch_id, mode="first_colon", dedupe=False)
+        if batch_id < 2:
+            maintain(spark, out, ALWAYS)
+    load_outcomes(spark, parts[1], out, keys, 1, mode="first_colon", dedupe=False)
+    load_outcomes(spark, parts[3], out, keys, 3, mode="first_colon")
+    return stored_profile(spark, out)
+
+
+def bucketed_insert(spark: SparkSession, records: DataFrame) -> DataFrame:
+    """A bucketed table of every second line takes all lines, twice, as a bulk load, then the other
+    lines unchecked: its records with their copies."""
+    root = scratch_path(spark, "buckets")
+    name = f"vigil_bucketed_{root.rsplit('-', 1)[1]}"
+    own = records.drop("seq")
+    buckets.create_bucketed(records.where(F.col("seq") % 2 == 0).drop("seq"), name, f"{root}/table", 8)
+    for _ in range(2):
+        buckets.insert_bulk(own, name)
+    buckets.append_records(records.where(F.col("seq") % 2 == 1).drop("seq"), name)
+    found = materialise(buckets.distinct_records(spark, name).select("id_digest", "secret_digest", "source", "hash_type", "copies"))
+    spark.sql(f"DROP TABLE {name}")  # the session's catalog is left as it was; the files stay
+    return found

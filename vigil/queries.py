@@ -277,6 +277,14 @@ def observed_metrics(spark: SparkSession, d: str) -> DataFrame:
     return scenarios.observed_metrics(spark, _lines(spark, d), KEYS)
 
 
+def incremental_profile(spark: SparkSession, d: str) -> DataFrame:
+    return scenarios.incremental_profile(spark, _lines(spark, d), KEYS)
+
+
+def bucketed_insert(spark: SparkSession, d: str) -> DataFrame:
+    return scenarios.bucketed_insert(spark, materialise(_protected(spark, d)))
+
+
 def catalog_audit(spark: SparkSession, d: str) -> DataFrame:
     """A right table, one with a wrong, a missing and a foreign column and no key, and one that is not there."""
     root = scratch_path(spark, "catalog")
@@ -326,6 +334,8 @@ QUERIES: dict[str, Query] = {
     "resumed_merge": resumed_merge,
     "observed_metrics": observed_metrics,
     "catalog_audit": catalog_audit,
+    "incremental_profile": incremental_profile,
+    "bucketed_insert": bucketed_insert,
 }
 
 FLAGSHIP = "scheme_profile"

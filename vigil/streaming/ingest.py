@@ -12,25 +12,46 @@ loaded table as its state, so no streaming state grows without bound.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.operators.protect import Keys
 from vigil.functions.paths import partition_value
+from vigil.operators.layout import UNDETECTABLE
 from vigil.operators.sizing import materialise
 from vigil.plans.ingest import LAYOUT_READERS, Outputs, current_records, latest_version, load_outcomes
 from vigil.plans.maintenance import Thresholds, maintain
 from vigil.plans.roundtrip import write_named_text
-from vigil.plans.runs import is_committed
+from vigil.plans.runs import is_committed, read_manifest
 from vigil.session import scratch_path
 from vigil.sources.heads import layouts_of
-from vigil.sources.text_files import TXT_ANY_CASE
+from vigil.sources.text_files import TXT_ANY_CASE, empty_files
 
 
 #: Files per micro-batch where neither bound is given.
 FILES_PER_TRIGGER = 10_000
 
+#: Seconds between two listings for files of zero bytes, while batches have lines.
+LISTING_SECONDS = 600
+
+
+def files_without_lines(spark: SparkSession, input_root: str, out: Outputs, batch_id: int, sources: DataFrame, listed: bool) -> DataFrame:
+    """``source`` of the zero-byte files of a batch, for the manifest; the stream has no line of them.
+
+    A batch that is tried again has those that it has claimed.  Otherwise, where ``listed``,
+    they are the empty files under the root that no batch has.
+    """
+    known = read_manifest(spark, out)
+    claimed = known.where(F.col("batch_id") == batch_id).select("source")
+    if not claimed.isEmpty():
+        return claimed.join(sources, "source", "left_anti")
+    if not listed:
+        return claimed
+    return empty_files(spark, input_root).join(known.select("source").distinct(), "source", "left_anti")
+
 
 def start_ingest(
     spark: SparkSession,
@@ -62,7 +83,11 @@ def start_ingest(
 
     ``layout_reader="heads"`` (the default, but for ``skip_header``) opens the batch's
     files only up to their second line; ``"scan"`` infers layouts from the batch's lines, with
-    a sort of line flags."""
+    a sort of line flags.
+
+    Files of zero bytes, which the stream hands out without a line, are listed in the first
+    batch of a run, in a batch without lines, and every ``LISTING_SECONDS``; they get the same manifest
+    and reject rows as in a batch load."""
     layout_reader = layout_reader or ("scan" if skip_header else "heads")
     if layout_reader not in LAYOUT_READERS or (layout_reader == "heads" and skip_header):
         raise ValueError(f"layout_reader must be one of {LAYOUT_READERS}, and scan with skip_header")
@@ -81,16 +106,25 @@ def start_ingest(
         F.col("value").alias("line"),
     )
 
+    listed_at: list[float] = []
+
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         if is_committed(batch.sparkSession, out, batch_id):  # it died after that, before Spark knew
             return
         lines = batch.withColumn("seq", F.monotonically_increasing_id())
+        sources = materialise(batch.select("source").distinct())
         layout = None
         if layout_reader == "heads" and mode == "detected":
-            layout = layouts_of(materialise(batch.select("source").distinct()))
+            layout = layouts_of(sources)
+        due = not listed_at or time.monotonic() - listed_at[-1] >= LISTING_SECONDS or sources.isEmpty()
+        if due:
+            listed_at[:] = [time.monotonic()]
+        empty = materialise(files_without_lines(batch.sparkSession, input_root, out, batch_id, sources, due))
+        why = F.lit(UNDETECTABLE if mode == "detected" else None).cast("string")
         load_outcomes(
             batch.sparkSession, lines, out, keys, batch_id,
             mode=mode, dedupe=dedupe, compat=compat, skip_header=skip_header, layout=layout,
+            without_lines=empty.withColumn("failed", why),
         )
         if limits is not None:
             maintain(batch.sparkSession, out, limits)
