@@ -13,8 +13,9 @@ ends, whose last token carries the word end.  Truncation and budget questions
 read the tables; no text is encoded again for them.
 
 White space is dropped by this kind of vocabulary, so a text's count is the sum
-over its pieces between ASCII white space.  Pieces with characters outside
-Latin, or with ``<|``, are counted by ``tokenizers`` itself.
+over its pieces between ASCII white space.  Whole pieces with characters outside
+Latin, or with ``<|``, are counted by ``tokenizers`` itself; the prefixes of the former come from
+the same tables of bytes, held against that count.
 
 Defined cases: a null or empty text has 0 bytes and 0 tokens; null ids stay;
 repeated rows are counted once each; an empty table gives an empty result;
@@ -26,12 +27,14 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,11 +47,16 @@ _LETTER = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _SIMPLE = re.compile(f"[\x21-\x7e{_LETTER}]+")
 #: The vocabulary's pre-tokenizer over such pieces (fixed value).
 _WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[0-9]|[^\\s0-9{_LETTER}]+")
+#: The same over all pieces (fixed value).
+_ANY_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _END = "</w>"
+#: Longer words (characters) and pieces (bytes) are not kept: they hardly come again.
+_WORD_KEPT, _PIECE_KEPT = 64, 256
 
 
 class PrefixCounter:
-    """Counts for one vocabulary file.  Tables of at most ``max_words`` words are kept; a dropped one is made again."""
+    """Counts for one vocabulary file.  Tables of at most ``max_words`` words
+    of bounded length are kept; a dropped one is made again."""
 
     def __init__(self, path: str, max_words: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -147,22 +155,36 @@ class PrefixCounter:
             stops.append(stop)
         if len(symbols) > len(word):  # a character ends before each byte that begins one
             stops = [stops[i] for i, b in enumerate(symbols) if b & 0xC0 != 0x80] + stops[-1:]
-        found = self._words[word] = bytes(stops) if stops[-1] < 200 and max(stops) < 256 else array("I", stops)
+        found = bytes(stops) if stops[-1] < 200 and max(stops) < 256 else array("I", stops)
+        if len(word) <= _WORD_KEPT:
+            self._words[word] = found
         return found
 
     def piece(self, piece: str) -> np.ndarray:
         """Token counts of the prefixes of 0, 1, ... characters of a text without white space."""
-        if not _SIMPLE.fullmatch(piece) or "<|" in piece:
-            return np.array([self._library(piece[:k]) for k in range(len(piece) + 1)], np.int64)
-        out, so_far = [0], 0
-        for m in _WORDS.finditer(piece.lower()):
+        simple = _SIMPLE.fullmatch(piece) is not None
+        lower = piece.lower() if simple else "".join(c.lower() for c in piece)  # letter by letter, as the vocabulary's rule
+        if "<|" not in piece and (simple or (len(lower) == len(piece) and unicodedata.is_normalized("NFC", piece))):
+            found = self._by_words(lower, _WORDS if simple else _ANY_WORDS)
+            # a letter that another version of Unicode classes differently shows here
+            if simple or found[-1] == self._library(piece):
+                return found
+        return np.array([self._library(piece[:k]) for k in range(len(piece) + 1)], np.int64)
+
+    def _by_words(self, lower: str, words) -> np.ndarray:
+        """``piece`` of a normalised, lower-case text, from the tables of its words; what is in no word has no tokens."""
+        out, so_far = np.zeros(len(lower) + 1, np.int64), 0
+        at = 0
+        for m in words.finditer(lower):
             word = m[0]
-            own = list(self.word(word))
-            if len(word) == 3 and word[0] == "'":  # cut inside a contraction: its quote and letter part
+            own = np.array(list(self.word(word)), np.int64)
+            if word in ("'re", "'ve", "'ll"):  # cut inside a contraction: its quote and letter part
                 own[2] = self.word("'")[1] + self.word(word[1])[1]
-            out += [so_far + c for c in own[1:]]
-            so_far += own[-1]
-        return np.array(out, np.int64)
+            out[at + 1 : m.start() + 1] = so_far
+            out[m.start() + 1 : m.end() + 1] = so_far + own[1:]
+            so_far, at = so_far + int(own[-1]), m.end()
+        out[at + 1 :] = so_far
+        return out
 
     def _library(self, text: str) -> int:
         return len(self.tokenizer.encode(text, add_special_tokens=False).ids) if text else 0
@@ -183,7 +205,9 @@ class PrefixCounter:
             for k, c in enumerate(got):
                 if c is None:
                     if (c := self._pieces.get(pieces[k])) is None:
-                        c = self._pieces[pieces[k]] = self._whole(pieces[k])
+                        c = self._whole(pieces[k])
+                        if len(pieces[k]) <= _PIECE_KEPT:
+                            self._pieces[pieces[k]] = c
                     got[k] = c
         return pieces, np.cumsum(np.array(got, np.int64))
 
