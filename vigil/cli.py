@@ -71,6 +71,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--no-dedupe", action="store_true")
     s.add_argument("--compat", action="store_true")
     s.add_argument("--skip-header", action="store_true")
+    s.add_argument("--files-per-batch", type=int, default=ingest.FILES_PER_BATCH,
+                   help="more files than that are loaded as several batches")
     s.add_argument("--layout-reader", choices=ingest.LAYOUT_READERS,
                    help="heads (default, but with --skip-header): read only each file's head for layout inference")
     keyed(s)
@@ -171,7 +173,7 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
         ingest.ingest_files(
             spark, a.input, ingest.Outputs(a.out), _keys(spark, a), a.batch_id,
             mode=a.mode, dedupe=not a.no_dedupe, compat=a.compat, skip_header=a.skip_header,
-            layout_reader=a.layout_reader,
+            layout_reader=a.layout_reader, files_per_batch=a.files_per_batch,
         )
     elif c == "stream":
         from vigil.streaming.ingest import run_until_stopped, start_ingest

@@ -130,10 +130,10 @@ def pretty_bytes(n: F.Column) -> F.Column:
     return out
 
 
-def storage_profile(files: DataFrame) -> DataFrame:
-    """Stored size of a table from its file listing (AGG-09):
-    ``(n_files, bytes, size)``; ``files`` is ``list_files`` output."""
-    t = files.agg(
+def storage_profile(files: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Stored size of a table, or of its parts ``by`` columns, from its file listing (AGG-09):
+    ``(*by, n_files, bytes, size)``; ``files`` is ``list_files`` output."""
+    t = files.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_files"),
         F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("bytes"),
     )

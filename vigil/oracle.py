@@ -455,3 +455,20 @@ ORACLE_SQL["incremental_profile"] = _with(LINES_CTE, FIRST_COLON_CTE) + """, hel
 ORACLE_SQL["bucketed_insert"] = _with(*BASE) + """ SELECT id_digest, secret_digest, source, min(hash_type) AS hash_type,
       1 + count(*) FILTER (line_no % 2 = 1) AS copies
     FROM protected GROUP BY id_digest, secret_digest, source"""
+ORACLE_SQL["numbered_ids"] = _with(*BASE) + """ SELECT row_number() OVER (ORDER BY id_digest) AS id, id_digest, count(*) AS n_lines
+    FROM protected GROUP BY id_digest"""
+_ONCE = """, once AS (SELECT DISTINCT id_digest, secret_digest, hash_type, source FROM protected)
+    SELECT regexp_extract(source, '([a-z]+)[.]txt$', 1) AS name, hash_type, count(*) AS n_records, count(DISTINCT id_digest) AS n_ids"""
+ORACLE_SQL["sliced_load"] = _with(*BASE) + _ONCE + ", CAST(2 AS BIGINT) AS most_files, CAST(0 AS BIGINT) AS n_left FROM once GROUP BY ALL"
+ORACLE_SQL["stopped_stream"] = _with(*BASE) + _ONCE + ", true AS stopped, CAST(2 AS BIGINT) AS most_files FROM once GROUP BY ALL"
+ORACLE_SQL["head_layouts"] = _with(LINES_CTE, LAYOUT_CTE) + (
+    " SELECT regexp_extract(source, '([a-z]+)[.]txt$', 1) AS name, delim, email_first, status FROM layout"
+)
+ORACLE_SQL["stored_sizes"] = _with(LINES_CTE) + """, sized AS (
+      SELECT root, regexp_extract(source, '([a-z]+)[.]txt$', 1) AS name, CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes
+      FROM raw_lines JOIN (VALUES ('a', 0), ('b', 1)) r(root, k) ON line_no % 3 <> k GROUP BY ALL)
+    SELECT root, name, '/merged/name=' || name AS destination, bytes,
+      CASE WHEN bytes >= 1073741824 THEN format('{:,.1f} GB', bytes / 1073741824)
+           WHEN bytes >= 1048576 THEN format('{:,.1f} MB', bytes / 1048576)
+           WHEN bytes >= 1024 THEN format('{:,.1f} kB', bytes / 1024) ELSE bytes || ' bytes' END AS size
+    FROM sized"""

@@ -10,6 +10,7 @@ shuffle, cache or sink.
 
 from __future__ import annotations
 
+import itertools
 import time
 import uuid
 from collections.abc import Sequence
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 from vigil.operators import audit
 from vigil.plans.index import new_records
 from vigil.operators.layout import UNDETECTABLE
+from vigil.operators.numbering import surrogate_ids
 from vigil.operators.parse import BLANK, NO_LAYOUT, SCOPE_FILE, counted_reject, parse_detected, parse_first_colon
 from vigil.operators.protect import Keys, protect_outcomes, records_of
 from vigil.operators.sizing import materialise
@@ -61,6 +63,9 @@ def read_rejects(spark: SparkSession, out: Outputs) -> DataFrame:
 
 LAYOUT_READERS = ("scan", "heads")
 
+#: Files of one batch of a batch load, whose names the driver holds while it is read.
+FILES_PER_BATCH = 10_000
+
 
 def parse_lines(
     lines: DataFrame, mode: str, skip_header: bool = False, layout: DataFrame | None = None
@@ -204,6 +209,12 @@ def _listing(spark: SparkSession, inputs: str | Sequence[str], glob: str) -> Dat
     return materialise(listed.unionByName(empty))
 
 
+def in_slices(files: DataFrame, most: int) -> DataFrame:
+    """``files`` with ``slice`` (0, 1, ...), each of ``most`` files but the last; dealt by the hash of ``source``."""
+    numbered = surrogate_ids(files.withColumn("_hash", F.xxhash64("source")), "_hash", out="_n", start=0)
+    return numbered.withColumn("slice", F.floor(F.col("_n") / most).cast("int")).drop("_hash", "_n")
+
+
 def ingest_files(
     spark: SparkSession,
     inputs: str | Sequence[str],
@@ -216,11 +227,16 @@ def ingest_files(
     compat: bool = False,
     skip_header: bool = False,
     layout_reader: str | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """Load the matching files under ``inputs`` that no batch has processed, as batch
     ``batch_id``, and record a run metric (rows, elapsed time, grade).  Returns
     the batch's manifest rows; none if nothing is new.
 
+    More than ``files_per_batch`` files are cut into batches of that many, under ``batch_id`` and the
+    free ids that follow it, each committed before the next is read: the driver holds the
+    names of one batch, and a load that crashes has lost one batch's work at most.
+
     Batches that an earlier run has claimed and not committed are loaded first, each
     under its own id and with its own files, so a load that crashed goes on
     whatever has arrived since.  The files are listed and claimed before anything is read,
@@ -235,10 +251,12 @@ def ingest_files(
         raise ValueError(f"layout_reader must be one of {LAYOUT_READERS}")
     if layout_reader == "heads" and mode == "detected" and skip_header:
         raise ValueError("skip_header needs the scan-based layout reader")
+    if files_per_batch < 1:
+        raise ValueError("files_per_batch must be at least 1")
     files = _listing(spark, inputs, glob)
 
     def load(chosen: DataFrame, as_batch: int) -> None:
-        # as many names as Spark's own file index holds for the read that follows
+        # the names of one batch, as Spark's own file index holds for the read that follows
         paths = [literal_path(r["path"]) for r in chosen.where(F.col("path").isNotNull()).select("path").toLocalIterator()]
         why = F.when(F.col("gone"), F.lit(MISSING))
         empty = chosen.where(F.col("path").isNull()).select("source", (why.otherwise(F.lit(UNDETECTABLE)) if mode == "detected" else why).alias("failed"))
@@ -256,15 +274,21 @@ def ingest_files(
         here = files.withColumn("gone", F.lit(False))
         load(materialise(claimed.join(here, "source", "left").fillna(True, ["gone"])), unfinished)
     seen = read_manifest(spark, out).where(F.col("status").isin(*PROCESSED)).select("source")
-    rest = files.join(seen, "source", "left_anti").withColumn("gone", F.lit(False)) if states else files.withColumn("gone", F.lit(False))
-    if not rest.isEmpty():
-        if batch_id in states:
-            if states[batch_id]:
-                raise ValueError(f"batch id {batch_id} already belongs to other files")
-        else:
-            claim(spark, out, rest.select("source"), batch_id)
-            load(rest, batch_id)
-    return read_manifest(spark, out).where(F.col("batch_id") == batch_id)
+    rest = files.join(seen, "source", "left_anti") if states else files
+    rest = materialise(rest.withColumn("gone", F.lit(False)))
+    n_files, loaded = rest.count(), [batch_id]
+    if n_files and batch_id not in states:
+        n_slices = -(-n_files // files_per_batch)
+        free = (b for b in itertools.count(batch_id) if b not in states)
+        loaded = list(itertools.islice(free, n_slices))
+        cut = materialise(in_slices(rest, files_per_batch)) if n_slices > 1 else rest.withColumn("slice", F.lit(0))
+        for k, as_batch in enumerate(loaded):
+            chosen = cut.where(F.col("slice") == k).drop("slice")
+            claim(spark, out, chosen.select("source"), as_batch)
+            load(chosen, as_batch)
+    elif n_files and states[batch_id]:
+        raise ValueError(f"batch id {batch_id} already belongs to other files")
+    return read_manifest(spark, out).where(F.col("batch_id").isin(loaded))
 
 
 def prior_status(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.functions.paths import partition_value
+from vigil.functions.paths import dir_name, merge_destination, partition_value, plain_path, relative
 from vigil.operators import buckets
+from vigil.operators.audit import storage_profile
 from vigil.operators.protect import Keys
 from vigil.operators.sizing import materialise
 from vigil.plans.index import new_records, records_to_check
-from vigil.plans.ingest import claim, ingest_files, load_outcomes
+from vigil.plans.ingest import claim, ingest_files, load_outcomes, pending_files
 from vigil.plans.maintenance import Thresholds, maintain, resumable_merge
 from vigil.plans.parse_protect import protected_first_colon
 from vigil.plans.profiles import stored_profile
@@ -22,6 +23,7 @@ from vigil.plans.roundtrip import write_named_text
 from vigil.plans.runs import Outputs, current_records, read_manifest, read_versions
 from vigil.session import scratch_path
 from vigil.sinks.shards import write_protected, write_run
+from vigil.sources.heads import infer_layout_from_heads
 from vigil.sources.shards import read_protected
 from vigil.sources.text_files import list_files, read_lines
 
@@ -146,3 +148,48 @@ def bucketed_insert(spark: SparkSession, records: DataFrame) -> DataFrame:
     found = materialise(buckets.distinct_records(spark, name).select("id_digest", "secret_digest", "source", "hash_type", "copies"))
     spark.sql(f"DROP TABLE {name}")  # the session's catalog is left as it was; the files stay
     return found
+
+
+def sliced_load(spark: SparkSession, lines: DataFrame, keys: Keys) -> DataFrame:
+    """A folder loaded in batches of two files, and once more: records by file name, with the files of
+    the largest batch and of those that are not processed."""
+    root = scratch_path(spark, "sliced")
+    inbox, out = f"{root}/input", Outputs(f"{root}/tables")
+    write_named_text(lines, inbox)
+    for batch_id in (0, 1 << 20):
+        ingest_files(spark, inbox, out, keys, batch_id=batch_id, files_per_batch=2)
+    most = read_manifest(spark, out).groupBy("batch_id").count().agg(F.max("count")).first()[0]
+    left = pending_files(spark, inbox, out).count()
+    name = partition_value(F.col("source"), "name").alias("name")
+    return current_records(spark, out).groupBy(name, "hash_type").agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.count_distinct("id_digest").alias("n_ids"),
+        F.lit(most).cast("bigint").alias("most_files"),
+        F.lit(left).cast("bigint").alias("n_left"),
+    )
+
+
+def head_layouts(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """Layouts of text files by their heads, which are read up to the second non-blank line."""
+    inbox = f"{scratch_path(spark, 'heads')}/input"
+    write_named_text(lines, inbox)
+    found = infer_layout_from_heads(spark, inbox)
+    return found.select(partition_value(F.col("source"), "name").alias("name"), "delim", "email_first", "status").distinct()
+
+
+def stored_sizes(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """Two folders of text files in one listing: size by folder and file name, and the folder that
+    a merge of the two would write."""
+    root = scratch_path(spark, "sizes")
+    paths = [f"{root}/{name}" for name in ("a", "b")]
+    for k, path in enumerate(paths):
+        write_named_text(lines.where(F.col("seq") % 3 != k), path)
+    path, top = plain_path(F.col("source")), plain_path(F.lit(root))
+    owner = F.split_part(relative(path, top), F.lit("/"), F.lit(1))
+    files = list_files(spark, paths).select(
+        "length",
+        owner.alias("root"),
+        partition_value(path, "name").alias("name"),
+        merge_destination(dir_name(path), F.concat(top, F.lit("/"), owner), "/merged/").alias("destination"),
+    )
+    return storage_profile(files, ["root", "name", "destination"]).drop("n_files")

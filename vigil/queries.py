@@ -26,6 +26,7 @@ from vigil.operators.dedupe import first_occurrence, insert_if_absent
 from vigil.operators.layout import infer_layout
 from vigil.operators.legacy import legacy_outcomes
 from vigil.operators.merge import merge_roots, union_roots
+from vigil.operators.numbering import surrogate_ids
 from vigil.operators.parse import accepted, counted_reject, outcome_counts, parse_first_colon
 from vigil.operators.protect import TEST_KEYS
 from vigil.operators.sizing import materialise
@@ -300,6 +301,31 @@ def catalog_audit(spark: SparkSession, d: str) -> DataFrame:
     return found.withColumn("table_name", F.split_part("table_name", F.lit("_"), F.lit(2)))
 
 
+def numbered_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Gap-free numbers of the identifier digests, in their order."""
+    ids = _protected(spark, d, keep=()).groupBy("id_digest").agg(F.count(F.lit(1)).alias("n_lines"))
+    place = F.conv(F.substring("id_digest", 1, 15), 16, 10).cast("bigint")
+    return surrogate_ids(materialise(ids.withColumn("_place", place)), "_place").select("id", "id_digest", "n_lines")
+
+
+def sliced_load(spark: SparkSession, d: str) -> DataFrame:
+    return scenarios.sliced_load(spark, _lines(spark, d), KEYS)
+
+
+def head_layouts(spark: SparkSession, d: str) -> DataFrame:
+    return scenarios.head_layouts(spark, _lines(spark, d))
+
+
+def stored_sizes(spark: SparkSession, d: str) -> DataFrame:
+    return scenarios.stored_sizes(spark, _lines(spark, d))
+
+
+def stopped_stream(spark: SparkSession, d: str) -> DataFrame:
+    from vigil.streaming.ingest import stopped_demo
+
+    return stopped_demo(spark, _lines(spark, d), KEYS)
+
+
 QUERIES: dict[str, Query] = {
     "layout_inference": layout_inference,
     "parse_detected_rejects": parse_detected_rejects,
@@ -336,6 +362,11 @@ QUERIES: dict[str, Query] = {
     "catalog_audit": catalog_audit,
     "incremental_profile": incremental_profile,
     "bucketed_insert": bucketed_insert,
+    "numbered_ids": numbered_ids,
+    "sliced_load": sliced_load,
+    "head_layouts": head_layouts,
+    "stored_sizes": stored_sizes,
+    "stopped_stream": stopped_stream,
 }
 
 FLAGSHIP = "scheme_profile"

@@ -207,3 +207,19 @@ def maintained_demo(spark: SparkSession, lines: DataFrame, keys: Keys) -> DataFr
         maintain(spark, out, limits)
     version = F.lit(latest_version(spark, out)[0]).cast("bigint")
     return current_records(spark, out).groupBy("source", version.alias("version")).agg(F.count(F.lit(1)).alias("n_records"))
+
+
+def stopped_demo(spark: SparkSession, lines: DataFrame, keys: Keys) -> DataFrame:
+    """A stream of two files a batch that finds its stop file, then a run to the end: what is loaded, with the
+    files of the largest batch."""
+    root = scratch_path(spark, "stopped")
+    inbox, out, ckpt = f"{root}/input", Outputs(f"{root}/tables"), f"{root}/checkpoint"
+    write_named_text(lines, inbox)
+    spark.range(1).select(F.lit("stop").alias("value")).write.text(f"{root}/stop")
+    query = start_ingest(spark, inbox, out, ckpt, keys, max_files_per_trigger=2, processing_time="0 seconds")
+    stopped = run_until_stopped(spark, query, f"{root}/stop")
+    run_available(spark, inbox, out, ckpt, keys, max_files_per_trigger=2)
+    most = read_manifest(spark, out).groupBy("batch_id").count().agg(F.max("count")).first()[0]
+    return _named(current_records(spark, out)).select(
+        "*", F.lit(stopped).alias("stopped"), F.lit(most).cast("bigint").alias("most_files")
+    )
