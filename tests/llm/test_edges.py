@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from vigil.llm import chat, embeddings, langid, mixing, packing, shards, simhash, sketches, substring, token_counts
@@ -176,6 +177,27 @@ def test_successors(spark):
     assert sketches.fingerprint_edits(df.where("doc_id IS NULL")).count() == 2
 
 
+def test_successors_of_hot_ids(spark):
+    """A third of the rows without an id, a third with one id: both are cut, and no successor is lost."""
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, f"w{k * k} text of row {k}") for k in range(600)]
+    rows += [(7, "alike"), (7, "alike"), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    ordered = [tuple(r) for r in df.withColumn("h", F.xxhash64("text")).collect()]
+    ordered.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[2]), reverse=True)
+    texts = [r[1] or "" for r in ordered]
+    want = []
+    for (i, _, _), own, after in zip(ordered, texts, [*texts[1:], texts[0]]):
+        third = len(own) // 3
+        want.append((str(i), len(own), brute.sha(own[: len(own) - third] + after[:third])))
+    for ranges in (1, 2, 8, 64):
+        found = sketches.fingerprint_edits(df, ranges=ranges).collect()
+        assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in found) == sorted(want)
+    dealt = sketches.next_in_order(df, ranges=12).groupBy("target").agg(F.count_if(F.col("extra") == 0).alias("n"), F.sum("extra").alias("x")).collect()
+    assert max(r.n for r in dealt) < 2 * len(rows) / 12 + 40 and max(r.x for r in dealt) <= 2
+    one = sketches.next_in_order(df.where("doc_id IS NULL AND text <> ''"), ranges=8).where("extra = 0").groupBy("target").count()
+    assert one.count() == 8
+
+
 def test_sketches_of_groups(docs):
     import numpy as np
 

@@ -10,7 +10,8 @@ are exact while the union has at most ``k`` shingles.
 ``next_in_order`` walks documents by descending id with each one's successor
 at hand.  Ids are cut into ranges by quantiles; each range's first row is also
 sent to the range before it, so every text is shuffled once and each task
-streams through its range.
+streams through its range.  An id that many rows share, and rows without an id,
+are cut further by the hash of the text; only rows alike in both stay together.
 
 Defined cases: a null text is empty; a text without words has the empty
 sketch, and two empty sketches are alike (1.0); one with fewer than five words
@@ -23,16 +24,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.llm.simhash import shingle_hashes
 from vigil.llm.spark import table
-from vigil.operators.numbering import quantile_bounds, range_of
+from vigil.operators.numbering import range_of
 
 K = 128
 WORDS = 5
@@ -104,36 +106,67 @@ def sketch_hashes(parts: DataFrame, key: str, text_col: str = "text", k: int = K
     return rows.select(key, unsigned.cast("decimal(20,0)").alias("hash"))
 
 
+class _Ranges:
+    """Ranges of the order by id (null lowest) and, within a hot id, by the hash of the text."""
+
+    def __init__(self, ids: DataFrame, ranges: int):
+        at = [i / ranges for i in range(1, ranges)]
+        cuts = F.percentile_approx("doc_id", at, 20 * ranges) if at else F.lit(None)
+        found, rows, none = ids.agg(cuts, F.count(F.lit(1)), F.count_if(F.col("doc_id").isNull())).first()
+        self.bounds = sorted(set(found or []))
+        # an id that fills several quantiles gets that many ranges of its own, as do rows without an id
+        filled = Counter(found or [])
+        slots = [-(-none * ranges // max(rows, 1)), *[filled[b] for b in self.bounds]]
+        self.slots = [n if n > 1 else 0 for n in slots]
+        self.any_hot = any(self.slots)
+        self.first = [sum(self.slots[:k]) + k for k in range(len(self.slots))]
+        self.n = sum(self.slots) + len(self.slots)
+
+    def deal(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (``doc_id``, ``tie``) with ``own``, the range: those of a hot id come before the other ids of its cut."""
+        cut = rows.withColumn("_cut", range_of(F.col("doc_id"), self.bounds).cast("int"))  # computed once
+
+        def at_cut(values: list) -> Column:
+            return F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), F.col("_cut") + 1)
+
+        if not self.any_hot:
+            return cut.withColumnRenamed("_cut", "own")
+        # even parts of the hashes, in their order
+        part = F.shiftright((F.shiftright("tie", 32) + (1 << 31)) * F.col("_slots"), 32)
+        is_hot = F.col("doc_id").eqNullSafe(at_cut([None, *self.bounds])) & (F.col("_slots") > 0)
+        own = at_cut(self.first) + F.when(is_hot, part).otherwise(F.col("_slots"))
+        return cut.withColumn("_slots", at_cut(self.slots)).withColumn("own", own.cast("int")).drop("_cut", "_slots")
+
+
 def next_in_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranges: int | None = None) -> DataFrame:
     """``doc_id, text, target, extra``, partitioned by ``target`` and sorted so that
     each row's successor is the row after it; ``extra`` rows only follow others.
 
     ``ranges`` (default: the session's shuffle partitions) bounds what is
-    collected: one quantile and one largest id per range.
+    collected: one quantile and one first row's id and hash per range.
     """
     spark = docs.sparkSession
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ids = rows.select("doc_id")
-    bounds = quantile_bounds(ids, "doc_id", n)
-    bucket = range_of(F.col("doc_id"), bounds).cast("int")
-    heads = {r["b"]: r["head"] for r in ids.groupBy(bucket.alias("b")).agg(F.max("doc_id").alias("head")).collect()}
+    cut = _Ranges(rows.select("doc_id"), n)
+    # texts are read for the cuts only where an id is hot
+    rows = rows.withColumn("tie", F.xxhash64("text") if cut.any_hot else F.lit(0).cast("long"))
+    rows = cut.deal(rows)
+    head = F.max(F.struct("doc_id", "tie"))  # null is lowest
+    heads = {r["own"]: r["head"] for r in rows.groupBy("own").agg(head.alias("head")).collect()}
     there = sorted(heads)
     # a range's first document also goes to the range that comes before; the very first goes to the last
-    before = {b: there[(k + 1) % len(there)] for k, b in enumerate(there)}
-    own = F.struct(bucket.alias("target"), F.lit(0).alias("extra"))
-    pairs = [(heads[b], t) for b, t in before.items()]
-    extra = F.lit(None)
-    for step in range(0, len(pairs), 256):  # a map from a range's largest id to the range before
-        part = {h: t for h, t in pairs[step : step + 256] if h is not None}
-        if part:
-            flat = [F.lit(x) for h, t in part.items() for x in (h, t)]
-            extra = F.coalesce(extra, F.element_at(F.create_map(*flat), F.col("doc_id")))
-    if heads and heads[there[0]] is None:  # a range of rows without an id: any of them may be its first
-        extra = F.coalesce(extra, F.when(F.col("doc_id").isNull(), F.lit(before[there[0]])))
-    sent = F.when(extra.isNotNull(), F.array(own, F.struct(extra.cast("int").alias("target"), F.lit(1).alias("extra")))).otherwise(F.array(own))
-    dealt = rows.withColumn("_to", F.explode(sent)).select("doc_id", "text", "_to.target", "_to.extra")
-    return dealt.repartitionById(len(bounds) + 1, F.col("target")).sortWithinPartitions(
+    before = {t: there[(k + 1) % len(there)] for k, t in enumerate(there)}
+
+    def of_own(value) -> Column:
+        return F.element_at(F.array(*[F.lit(value(t) if t in heads else None).cast("long") for t in range(cut.n)]), F.col("own") + 1)
+
+    is_head = F.col("doc_id").eqNullSafe(of_own(lambda t: heads[t]["doc_id"])) & (F.col("tie") == of_own(lambda t: heads[t]["tie"]))
+    own = F.struct(F.col("own").alias("target"), F.lit(0).alias("extra"))
+    further = F.struct(of_own(before.get).cast("int").alias("target"), F.lit(1).alias("extra"))
+    dealt = rows.withColumn("_to", F.explode(F.when(is_head, F.array(own, further)).otherwise(F.array(own))))
+    dealt = dealt.select("doc_id", "text", "_to.target", "_to.extra")
+    return dealt.repartitionById(cut.n, F.col("target")).sortWithinPartitions(
         "target", "extra", F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc()
     )
 
