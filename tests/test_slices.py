@@ -83,6 +83,6 @@ def test_sizes_by_part(spark, tmp_dir):
     files = list_files(spark, [f"{tmp_dir}/one", f"{tmp_dir}/two"])
     part = F.regexp_extract("source", "/(one|two)/", 1).alias("part")
     found = {r["part"]: tuple(r)[1:] for r in storage_profile(files.select(part, "length"), ["part"]).collect()}
-    assert found == {"one": (2, 42, "42 bytes"), "two": (1, 1219, "1.2 kB")}
+    assert found == {"one": (2, 46, "46 bytes"), "two": (1, 1219, "1.2 kB")}
     assert storage_profile(files).columns == ["n_files", "bytes", "size"]
     assert tuple(storage_profile(files.limit(0)).first()) == (0, 0, "0 bytes")
