@@ -189,3 +189,10 @@ def test_detected_parse_matches_model(spark, files):
         for i, reason, ident, secret in _model_detected(lines, f"f{k}")
     )
     assert got == want
+
+
+def test_lines_without_text_are_dropped_before_and_after_the_parse(spark):
+    rows = [("/f", 0, k, v) for k, v in enumerate(["a@x.test:p", "", None, " \t", "b@x.test:q"])]
+    lines = spark.createDataFrame(rows, "source string, block long, seq long, line string")
+    assert sorted(r["seq"] for r in detected(lines).collect()) == [0, 4]
+    assert sorted((r["seq"], r["reason"]) for r in detected(lines, keep_blank=True).where("reason = 'blank'").collect()) == [(1, "blank"), (3, "blank")]

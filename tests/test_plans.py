@@ -44,6 +44,20 @@ def test_text_scan_prunes_columns(spark, tmp_dir):
     assert "ReadSchema: struct<value:string>" in plan
 
 
+def test_accepted_lines_are_cut_once(spark):
+    recs = protected_detected(fixtures.raw_lines(spark, SF_SMALL), TEST_KEYS)
+    optimised = _plan(spark, recs, "extended").split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    # the filter on the reject reason does not repeat the cutting of the line below the parse
+    assert optimised.count("translate(") == 1
+
+
+def test_stored_lines_are_numbered_once(spark):
+    stored, derived = fixtures.stored_lines(spark, SF_SMALL), fixtures.raw_lines(spark, SF_SMALL)
+    assert "Window" in _plan(spark, derived) and "Window" not in _plan(spark, stored)
+    assert stored.columns == derived.columns
+    assert stored.exceptAll(derived).isEmpty() and derived.exceptAll(stored).isEmpty()
+
+
 def test_stored_lookup_pushes_filters(spark, tmp_dir):
     recs = protected_detected(fixtures.raw_lines(spark, SF_SMALL), TEST_KEYS)
     write_protected(recs, f"{tmp_dir}/shards")

@@ -44,15 +44,19 @@ def line_flags(line: F.Column) -> list[F.Column]:
     """Layout flags of one trimmed line: blank, delimiter, >2 fields, id first."""
     trimmed = js_trim(line)
     delim = delimiter_of(trimmed)
-    parts = F.split(trimmed, delim, -1)
+    return _flags(trimmed, delim, F.split(trimmed, delim, -1))
+
+
+def _flags(trimmed: F.Column, delim: F.Column, parts: F.Column) -> list[F.Column]:
+    first = F.get(parts, 0)
     return [
         F.coalesce(trimmed == F.lit(""), F.lit(True)).alias("_blank"),
         delim.alias("_delim"),
         (F.size(parts) > 2).alias("_wide"),
         # the contains() guards skip the regex for fields that cannot match
         F.when(
-            trimmed.contains("@") & trimmed.contains("."),
-            js_trim(F.get(parts, 0)).rlike(EMAIL_SHAPE_RE),
+            first.contains("@") & first.contains("."),
+            js_trim(first).rlike(EMAIL_SHAPE_RE),
         ).otherwise(F.lit(False)).alias("_id_first"),
     ]
 
@@ -66,7 +70,11 @@ def infer_layout(lines: DataFrame, order: Sequence[str] = LINE_ORDER) -> DataFra
     ``parse_detected(skip_header=True)``.
     """
     order = list(order)
-    flagged = lines.select("source", *order, *line_flags(F.col("line")))
+    # Staged projections: a line is trimmed and split once, not for each of its flags.
+    trimmed = lines.select("source", *order, js_trim(F.col("line")).alias("_trimmed"))
+    delimited = trimmed.withColumn("_delim", delimiter_of(F.col("_trimmed")))
+    split = delimited.withColumn("_parts", F.split(F.col("_trimmed"), F.col("_delim"), -1))
+    flagged = split.select("source", *order, *_flags(F.col("_trimmed"), F.col("_delim"), F.col("_parts")))
     # Non-blank lines sort first, so row 2 is the second non-blank line when
     # the file has at least two of them.
     w = Window.partitionBy("source").orderBy("_blank", *order)

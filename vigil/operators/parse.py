@@ -113,6 +113,17 @@ def layout_sides(
     return [F.broadcast(s.select(key, "_code", *extra)) for s in sides], key
 
 
+def where_once(rows: DataFrame, condition: F.Column) -> DataFrame:
+    """``rows`` that meet ``condition``, with each row's columns worked out once.
+
+    A plain filter on derived columns is pushed below the staged projections that derive
+    them, where it splits and trims a line anew for every use of a field.  A filter on
+    what an ``explode`` gives out stays above it.
+    """
+    held = rows.select(F.explode(F.array(F.struct(*rows.columns))).alias("_row"))
+    return held.select("_row.*").where(condition)
+
+
 def parse_detected(
     lines: DataFrame,
     layout: DataFrame,
@@ -151,10 +162,7 @@ def parse_detected(
         F.when(~ok, js_trim(F.col("line")) != F.lit("")).alias("_nonblank"),
     )
     nonblank = F.when(ok, F.col("_clean") != F.lit("")).otherwise(F.col("_nonblank"))
-    kept = cleaned.withColumn("_blank", ~nonblank)
-    if not keep_blank:
-        kept = kept.where(~F.col("_blank"))
-    split = kept.select(
+    split = cleaned.withColumn("_blank", ~nonblank).select(
         "source", "block", "seq", "email_first", "status", "_blank",
         F.split(F.col("_clean"), F.col("delim"), -1).alias("_parts"),
     )
@@ -178,11 +186,11 @@ def parse_detected(
         .when((F.col("ident") == "") | (F.col("secret") == ""), F.lit(EMPTY_FIELD))
         .when(_oversize(F.col("ident"), F.col("secret"), F.col("source"), max_chars), F.lit(OVERSIZE))
     )
-    return staged.select(
-        "source", "block", "seq", "ident", "secret",
-        F.when(ok, F.lit(SCOPE_LINE)).otherwise(F.lit(SCOPE_FILE)).alias("scope"),
-        reason.alias("reason"),
-    )
+    scope = F.when(ok, F.lit(SCOPE_LINE)).otherwise(F.lit(SCOPE_FILE)).alias("scope")
+    outcomes = ["source", "block", "seq", "ident", "secret", scope, reason.alias("reason")]
+    if keep_blank:
+        return staged.select(*outcomes)
+    return where_once(staged.select(*outcomes, "_blank"), ~F.col("_blank")).drop("_blank")
 
 
 def parse_first_colon(lines: DataFrame, keep_blank: bool = False) -> DataFrame:
@@ -210,7 +218,7 @@ def parse_first_colon(lines: DataFrame, keep_blank: bool = False) -> DataFrame:
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("reason").isNull())
+    return where_once(parsed, F.col("reason").isNull())
 
 
 def counted_reject(reason: F.Column) -> F.Column:

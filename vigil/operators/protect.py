@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from vigil.functions.classify import hash_scheme, hash_scheme_compat, is_hash
 from vigil.functions.digest import TEST_ID_KEY, TEST_SECRET_KEY, HmacKey, with_hmacs
 from vigil.functions.text import js_trim, normalise_compat, normalise_identifier
+from vigil.operators.parse import accepted
 
 PROTECTED_COLUMNS = ["id_digest", "secret_digest", "is_hash", "hash_type", "source", "p2", "p4"]
 RECORD_KEY = ["id_digest", "secret_digest", "source"]
@@ -57,7 +58,11 @@ def protect(
 
     ``compat=True`` uses the compatibility normaliser and classifier.
     """
-    rows = parsed.where(F.col("reason").isNull()) if "reason" in parsed.columns else parsed
+    if "reason" in parsed.columns:
+        needed = {"source", "ident", "secret", "reason", *keep}
+        rows = accepted(parsed.select(*[c for c in parsed.columns if c in needed]))
+    else:
+        rows = parsed
     # Each stage is its own projection: a column used several times by the
     # next stage is computed once instead of being inlined into every use.
     staged = rows.select(

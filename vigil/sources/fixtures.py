@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators.numbering import number_within
+from vigil.session import scratch_path
 
 SOLO_SOURCE = "/syn/solo.txt"
 SOLO_LINE = "only line"
@@ -122,8 +123,23 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _PLANS[key]
 
 
+def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_lines`` for a query that reads them several times: the events are numbered once.
+
+    The numbered events (ids, types and numbers, no line) are written to a scratch folder of
+    the caller; the lines are derived from them at each read.
+    """
+    path = scratch_path(spark, "numbered")
+    numbered = numbered_events(spark, sf_dir)
+    numbered.write.parquet(path)
+    return _lines_of(spark, spark.read.schema(numbered.schema).parquet(path))
+
+
 def _raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = numbered_events(spark, sf_dir)
+    return _lines_of(spark, numbered_events(spark, sf_dir))
+
+
+def _lines_of(spark: SparkSession, ev: DataFrame) -> DataFrame:
     eid, u = F.col("event_id"), F.col("user_id")
     # Staged projections keep each generated expression to one copy.
     parts = ev.select(
