@@ -1,6 +1,7 @@
 """Physical-plan shape: the properties that matter at scale."""
 
 import os
+import re
 
 import pytest
 
@@ -58,6 +59,13 @@ def test_stored_lines_are_numbered_once(spark):
     assert stored.exceptAll(derived).isEmpty() and derived.exceptAll(stored).isEmpty()
 
 
+def test_line_building_is_small_enough_to_be_compiled(spark):
+    # the JVM interprets methods of more than 8,000 bytes
+    plan = _plan(spark, fixtures.stored_lines(spark, SF_SMALL), "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", plan)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_stored_lookup_pushes_filters(spark, tmp_dir):
     recs = protected_detected(fixtures.raw_lines(spark, SF_SMALL), TEST_KEYS)
     write_protected(recs, f"{tmp_dir}/shards")

@@ -106,12 +106,22 @@ def _write_manifest(rows: DataFrame, out: Outputs, batch_id: int) -> None:
     write_table(typed, out.manifest, partition="batch_id")
 
 
-def _per_file(outcomes: DataFrame) -> DataFrame:
+def _totals(outcomes: DataFrame) -> DataFrame:
+    """``source, scope, reason, n``: the lines of each outcome, from which all counts of a batch follow."""
+    return outcomes.groupBy("source", "scope", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _rejected() -> F.Column:
+    return counted_reject(F.col("reason")) & (F.col("reason") != NO_LAYOUT)
+
+
+def _per_file(totals: DataFrame) -> DataFrame:
     """``source, loaded, rejected, failed`` (the reason why a file as a whole was not loaded)."""
     whole = F.when(F.col("scope") == SCOPE_FILE, F.coalesce(F.nullif("reason", F.lit(BLANK)), F.lit(UNDETECTABLE)))
-    return outcomes.groupBy("source").agg(
-        F.count_if(F.col("reason").isNull()).alias("loaded"),
-        F.count_if(counted_reject(F.col("reason")) & (F.col("reason") != NO_LAYOUT)).alias("rejected"),
+    none = F.lit(0).cast("bigint")
+    return totals.groupBy("source").agg(
+        F.sum(F.when(F.col("reason").isNull(), F.col("n")).otherwise(none)).alias("loaded"),
+        F.sum(F.when(_rejected(), F.col("n")).otherwise(none)).alias("rejected"),
         F.max(whole).alias("failed"),
     )
 
@@ -154,10 +164,11 @@ def load_outcomes(
         outcomes.observe(
             seen,
             F.count_if(F.col("reason").isNull()).alias("loaded"),
-            F.count_if(counted_reject(F.col("reason")) & (F.col("reason") != NO_LAYOUT)).alias("rejected"),
+            F.count_if(_rejected()).alias("rejected"),
         )
     )
-    per_file = _per_file(outcomes)
+    totals = materialise(_totals(outcomes))
+    per_file = _per_file(totals)
     if without_lines is not None:
         none = F.lit(0).cast("bigint")
         per_file = per_file.unionByName(without_lines.select("source", none.alias("loaded"), none.alias("rejected"), "failed"))
@@ -168,18 +179,14 @@ def load_outcomes(
     if dedupe:
         records = new_records(spark, out, records)
     write_run(records, out.path(out.batch_run(batch_id)))
-    commit(spark, out, batch_id, outcomes, per_file)
+    commit(spark, out, batch_id, totals, per_file)
     write_metric(spark, out, batch_id, seen.get, time.monotonic() - t0)
     return read_manifest(spark, out).where(F.col("batch_id") == batch_id)
 
 
-def commit(spark: SparkSession, out: Outputs, batch_id: int, outcomes: DataFrame, per_file: DataFrame) -> None:
+def commit(spark: SparkSession, out: Outputs, batch_id: int, totals: DataFrame, per_file: DataFrame) -> None:
     """Reject counts, then the manifest rows that make the batch visible."""
-    counted = (
-        outcomes.where(counted_reject(F.col("reason")) & (F.col("reason") != NO_LAYOUT))
-        .groupBy("source", "scope", "reason")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    counted = totals.where(_rejected()).select("source", "scope", "reason", "n")
     # a file that failed as a whole without a line to count still gets its row
     silent = per_file.where((F.col("rejected") == 0) & F.col("failed").isNotNull() & (F.col("failed") != NO_LAYOUT)).select(
         "source", F.lit(SCOPE_FILE).alias("scope"), F.col("failed").alias("reason"), F.lit(0).cast("bigint").alias("n")

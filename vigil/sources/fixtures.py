@@ -57,11 +57,13 @@ def _ident(eid: F.Column, u: F.Column) -> F.Column:
     )
 
 
+def _digests(u: F.Column) -> list[F.Column]:
+    return [F.md5(F.concat(F.lit(c), _s(u))).alias(f"_md5_{c}") for c in "abs"]
+
+
 def _secret(eid: F.Column, u: F.Column) -> F.Column:
     us = _s(u)
-    md5_a = F.md5(F.concat(F.lit("a"), us))
-    md5_b = F.md5(F.concat(F.lit("b"), us))
-    md5_s = F.md5(F.concat(F.lit("s"), us))
+    md5_a, md5_b, md5_s = [F.col(f"_md5_{c}") for c in "abs"]  # see _digests
     k = eid % 12
     return (
         F.when(k == 0, F.concat(F.lit("pw"), _s(eid % 50)))
@@ -141,8 +143,10 @@ def _raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lines_of(spark: SparkSession, ev: DataFrame) -> DataFrame:
     eid, u = F.col("event_id"), F.col("user_id")
-    # Staged projections keep each generated expression to one copy.
-    parts = ev.select(
+    # Staged projections keep each generated expression to one copy, and the generated
+    # method within the 8,000 bytes of bytecode that the JVM compiles.
+    digested = ev.select("event_id", "user_id", "event_type", "line_no", *_digests(u))
+    parts = digested.select(
         "event_id", "user_id", "event_type", "line_no",
         _ident(eid, u).alias("_ident"),
         _secret(eid, u).alias("_secret"),
