@@ -57,14 +57,16 @@ def _ident(eid: F.Column, u: F.Column) -> F.Column:
     )
 
 
-def _digests(u: F.Column) -> list[F.Column]:
-    return [F.md5(F.concat(F.lit(c), _s(u))).alias(f"_md5_{c}") for c in "abs"]
+def _shared(eid: F.Column, u: F.Column) -> list[F.Column]:
+    """What the branches below use again and again."""
+    digests = [F.md5(F.concat(F.lit(c), _s(u))).alias(f"_md5_{c}") for c in "abs"]
+    return [*digests, (eid % 12).alias("_k12"), F.when(F.col("line_no") > 2, eid % 97).alias("_k97")]
 
 
 def _secret(eid: F.Column, u: F.Column) -> F.Column:
     us = _s(u)
-    md5_a, md5_b, md5_s = [F.col(f"_md5_{c}") for c in "abs"]  # see _digests
-    k = eid % 12
+    md5_a, md5_b, md5_s = [F.col(f"_md5_{c}") for c in "abs"]  # see _shared
+    k = F.col("_k12")
     return (
         F.when(k == 0, F.concat(F.lit("pw"), _s(eid % 50)))
         .when(k == 1, md5_s)
@@ -91,15 +93,14 @@ def _shaped(event_type: F.Column, ident: F.Column, secret: F.Column) -> F.Column
     return out
 
 
-def _perturbed(line: F.Column, line_no: F.Column, eid: F.Column) -> F.Column:
-    k = eid % 97
-    late = line_no > 2
+def _perturbed(line: F.Column) -> F.Column:
+    k = F.col("_k97")  # null in the first two lines
     return (
-        F.when(late & (k == 0), F.lit(""))
-        .when(late & (k == 1), F.concat(line, F.lit(":extra:x")))
-        .when(late & (k == 2), F.concat(F.lit("\u0007"), line))
-        .when(late & (k == 3), F.lit(":"))
-        .when(late & (k == 4), F.rpad(line, 5000, "x"))
+        F.when(k == 0, F.lit(""))
+        .when(k == 1, F.concat(line, F.lit(":extra:x")))
+        .when(k == 2, F.concat(F.lit("\u0007"), line))
+        .when(k == 3, F.lit(":"))
+        .when(k == 4, F.rpad(line, 5000, "x"))
         .otherwise(line)
     )
 
@@ -145,21 +146,21 @@ def _lines_of(spark: SparkSession, ev: DataFrame) -> DataFrame:
     eid, u = F.col("event_id"), F.col("user_id")
     # Staged projections keep each generated expression to one copy, and the generated
     # method within the 8,000 bytes of bytecode that the JVM compiles.
-    digested = ev.select("event_id", "user_id", "event_type", "line_no", *_digests(u))
-    parts = digested.select(
-        "event_id", "user_id", "event_type", "line_no",
+    shared = ev.select("event_id", "user_id", "event_type", "line_no", *_shared(eid, u))
+    parts = shared.select(
+        "event_type", "line_no", "_k97",
         _ident(eid, u).alias("_ident"),
         _secret(eid, u).alias("_secret"),
     )
     shaped = parts.select(
-        "event_id", "user_id", "event_type", "line_no",
+        "event_type", "line_no", "_k97",
         _shaped(F.col("event_type"), F.col("_ident"), F.col("_secret")).alias("_line"),
     )
     base = shaped.select(
         F.concat(F.lit("/syn/"), F.col("event_type"), F.lit(".txt")).alias("source"),
         F.lit(0).cast("bigint").alias("block"),
         F.col("line_no").alias("seq"),
-        _perturbed(F.col("_line"), F.col("line_no"), eid).alias("line"),
+        _perturbed(F.col("_line")).alias("line"),
     )
     fixed = [(SOLO_SOURCE, 1, SOLO_LINE), *((BLANK_SOURCE, k, line) for k, line in enumerate(BLANK_LINES, 1))]
     rows = F.array(*[F.struct(F.lit(s).alias("source"), F.lit(k).cast("bigint").alias("seq"), F.lit(v).alias("line")) for s, k, v in fixed])
